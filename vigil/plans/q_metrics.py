@@ -181,7 +181,7 @@ cm AS (SELECT model,
        FROM stacked GROUP BY model),
 m AS (SELECT *, CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS pr,
                 CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS re FROM cm)
-SELECT m.model, 0.5 AS threshold, round(roc.roc_auc, 6) AS roc_auc, round(ap.pr_auc, 6) AS pr_auc,
+SELECT m.model, 0.5::DOUBLE AS threshold, round(roc.roc_auc, 6) AS roc_auc, round(ap.pr_auc, 6) AS pr_auc,
        round(pr, 6) AS precision, round(re, 6) AS recall,
        round(CASE WHEN pr + re = 0 THEN 0.0 ELSE 2 * pr * re / (pr + re) END, 6) AS f1,
        tn, fp, fn, tp, n_samples, n_positive

@@ -81,34 +81,36 @@ vel AS (
 )"""
 
 
-def psi_sql(ref: str, cur: str, features, group_col: str | None = None) -> str:
-    """CTEs rl, cl, edges, bins, psi for PSI of ``features`` between the
-    relations ``ref`` and ``cur`` (optionally per ``group_col`` of cur).
-    Bins are found per value by counting inner edges <= x."""
+def psi_sql(ref: str, cur: str, features, group_col: str | None = None, prefix: str = "") -> str:
+    """CTEs {prefix}rl, cl, edges, rb, cb, rn, cn, rc, cc, grid, shares, psi
+    for the PSI of ``features`` between relations ``ref`` and ``cur``
+    (optionally per ``group_col`` of cur). Each value's bin is found by
+    counting the inner edges <= x."""
+    p = prefix
     cols = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in features)
     on = ", ".join(features)
     g_sel = f"{group_col}, " if group_col else ""
-    g_by = f"{group_col}, " if group_col else ""
     probs = ", ".join(str(i / 10) for i in range(1, 10))
+    g_shares = f"g.{group_col}, " if group_col else ""
+    g_join = f"AND c.{group_col} = g.{group_col}" if group_col else ""
     return f"""
-rl AS (UNPIVOT (SELECT {cols} FROM {ref}) ON {on} INTO NAME feature VALUE x),
-cl AS (UNPIVOT (SELECT {g_sel}{cols} FROM {cur}) ON {on} INTO NAME feature VALUE x),
-edges AS (SELECT feature, list_transform(quantile_cont(x, [{probs}]), lambda e: round(e, 9)) AS q
-          FROM rl WHERE NOT isnan(x) GROUP BY feature),
-rb AS (SELECT r.feature, len(list_filter(e.q, lambda v: v <= r.x)) AS bin FROM rl r JOIN edges e USING (feature)
-       WHERE NOT isnan(r.x)),
-cb AS (SELECT {g_sel}c.feature, len(list_filter(e.q, lambda v: v <= c.x)) AS bin FROM cl c JOIN edges e USING (feature)
-       WHERE NOT isnan(c.x)),
-rn AS (SELECT feature, count(*) AS n FROM rb GROUP BY feature),
-cn AS (SELECT {g_sel}feature, count(*) AS n FROM cb GROUP BY {g_by}feature),
-rc AS (SELECT feature, bin, count(*) AS c FROM rb GROUP BY feature, bin),
-cc AS (SELECT {g_sel}feature, bin, count(*) AS c FROM cb GROUP BY {g_by}feature, bin),
-grid AS (SELECT {g_sel}cn.feature, b.bin, cn.n AS n_cur, rn.n AS n_ref
-         FROM cn JOIN rn USING (feature) CROSS JOIN (SELECT range AS bin FROM range(10)) b),
-shares AS (SELECT {'g.' + group_col + ', ' if group_col else ''}g.feature, g.bin,
+{p}rl AS (UNPIVOT (SELECT {cols} FROM {ref}) ON {on} INTO NAME feature VALUE x),
+{p}cl AS (UNPIVOT (SELECT {g_sel}{cols} FROM {cur}) ON {on} INTO NAME feature VALUE x),
+{p}edges AS (SELECT feature, list_transform(quantile_cont(x, [{probs}]), lambda e: round(e, 9)) AS q
+          FROM {p}rl WHERE NOT isnan(x) GROUP BY feature),
+{p}rb AS (SELECT r.feature, len(list_filter(e.q, lambda v: v <= r.x)) AS bin
+          FROM {p}rl r JOIN {p}edges e USING (feature) WHERE NOT isnan(r.x)),
+{p}cb AS (SELECT {g_sel}c.feature, len(list_filter(e.q, lambda v: v <= c.x)) AS bin
+          FROM {p}cl c JOIN {p}edges e USING (feature) WHERE NOT isnan(c.x)),
+{p}rn AS (SELECT feature, count(*) AS n FROM {p}rb GROUP BY feature),
+{p}cn AS (SELECT {g_sel}feature, count(*) AS n FROM {p}cb GROUP BY {g_sel}feature),
+{p}rc AS (SELECT feature, bin, count(*) AS c FROM {p}rb GROUP BY feature, bin),
+{p}cc AS (SELECT {g_sel}feature, bin, count(*) AS c FROM {p}cb GROUP BY {g_sel}feature, bin),
+{p}grid AS (SELECT {g_sel}cn.feature, b.bin, cn.n AS n_cur, rn.n AS n_ref
+         FROM {p}cn cn JOIN {p}rn rn USING (feature) CROSS JOIN (SELECT range AS bin FROM range(10)) b),
+{p}shares AS (SELECT {g_shares}g.feature, g.bin,
                   greatest(coalesce(r.c, 0) / g.n_ref, 1e-6) AS e,
                   greatest(coalesce(c.c, 0) / g.n_cur, 1e-6) AS a
-           FROM grid g LEFT JOIN rc r ON r.feature = g.feature AND r.bin = g.bin
-           LEFT JOIN cc c ON c.feature = g.feature AND c.bin = g.bin
-           {('AND c.' + group_col + ' = g.' + group_col) if group_col else ''}),
-psi AS (SELECT {g_sel}feature, sum((a - e) * ln(a / e)) AS psi FROM shares GROUP BY {g_by}feature)"""
+           FROM {p}grid g LEFT JOIN {p}rc r ON r.feature = g.feature AND r.bin = g.bin
+           LEFT JOIN {p}cc c ON c.feature = g.feature AND c.bin = g.bin {g_join}),
+{p}psi AS (SELECT {g_sel}feature, sum((a - e) * ln(a / e)) AS psi FROM {p}shares GROUP BY {g_sel}feature)"""

@@ -23,8 +23,11 @@ def duckdb_connection(sf_dir: str):
 
 
 def _norm_value(v):
+    import decimal
     if v is None:
         return None
+    if isinstance(v, decimal.Decimal):
+        return ("DECIMAL", str(v))  # a decimal never equals a double in a value hash
     if isinstance(v, float):
         if math.isnan(v):
             return None
