@@ -1 +1,116 @@
-"""Registered queries."""
+"""Registered queries: class weights, SMOTE, Spark ML scoring, train and
+retrain flows (rows-only checks except the class weights)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigil.config import FLAG_THRESHOLD, FeatureConfig
+from vigil.functions.columns import flag
+from vigil.operators import models as md
+from vigil.operators.smote import smote
+from vigil.operators.split import time_split
+from vigil.plans.catalog import query
+from vigil.plans.feature_pipeline import build_features
+from vigil.plans.q_features import events_tx
+from vigil.plans.sqlparts import SPLIT, TX_EVENTS
+from vigil.plans.training import train_flow, retrain_flow
+
+CFG = FeatureConfig()
+
+
+@query("class_weights", f"""
+WITH {TX_EVENTS}, {SPLIT},
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = 1) AS p FROM stx WHERE split = 'train')
+SELECT 1 AS label, n / (2.0 * p) AS balanced_weight, (n - p) / greatest(p, 1) AS ratio_weight FROM c
+UNION ALL
+SELECT 0, n / (2.0 * (n - p)), 1.0 FROM c""")
+def q_class_weights(spark, sf_dir):
+    """Per-class weights on the train split: 'balanced' and the boosting ratio."""
+    st, _ = time_split(events_tx(spark, sf_dir))
+    tr = st.where(F.col("split") == "train").select("label")
+    b = md.class_weight_column(tr, mode="balanced", out="balanced_weight")
+    r = md.class_weight_column(b, mode="ratio", out="ratio_weight")
+    return r.groupBy("label").agg(F.first("balanced_weight").alias("balanced_weight"),
+                                  F.first("ratio_weight").alias("ratio_weight"))
+
+
+def _features(spark, sf_dir):
+    res = build_features(events_tx(spark, sf_dir), CFG)
+    return res.features.checkpoint(eager=True)
+
+
+@query("smote")
+def q_smote(spark, sf_dir):
+    """Train split plus synthetic minority rows up to 10% of the majority."""
+    f = _features(spark, sf_dir)
+    fcols = CFG.feature_columns()
+    out, _ = smote(f.where(F.col("split") == "train").select(*fcols, "label"), fcols)
+    return out
+
+
+def _score(spark, sf_dir, kind):
+    f = _features(spark, sf_dir)
+    fcols = CFG.feature_columns()
+    train = md.class_weight_column(f.where(F.col("split") == "train"),
+                                   mode="ratio" if kind == "gbt" else "balanced")
+    model = md.fit(train, fcols, kind, "weight")
+    return md.score(model, f.where(F.col("split") == "test")).select("transaction_id", "score")
+
+
+@query("score_lr")
+def q_score_lr(spark, sf_dir):
+    """L2 logistic regression with balanced class weights; test-split scores."""
+    return _score(spark, sf_dir, "lr")
+
+
+@query("score_rf")
+def q_score_rf(spark, sf_dir):
+    """Random forest (300 trees, depth 12) with balanced weights."""
+    return _score(spark, sf_dir, "rf")
+
+
+@query("score_gbt")
+def q_score_gbt(spark, sf_dir):
+    """Gradient-boosted trees (400 rounds) with the positive-class ratio weight."""
+    return _score(spark, sf_dir, "gbt")
+
+
+@query("score_batch")
+def q_score_batch(spark, sf_dir):
+    """Batch scoring of every row with a fitted model, 6-decimal score and
+    the threshold flag."""
+    f = _features(spark, sf_dir)
+    fcols = CFG.feature_columns()
+    model = md.fit(md.class_weight_column(f.where(F.col("split") == "train")), fcols, "lr", "weight")
+    s = md.score(model, f)
+    return s.select("transaction_id", "split", F.round("score", 6).alias("score"),
+                    flag("score", FLAG_THRESHOLD).alias("flagged"))
+
+
+@query("train_flow")
+def q_train_flow(spark, sf_dir):
+    """The full training flow with boosted trees: test metrics at the
+    F1-optimal validation threshold."""
+    b = train_flow(events_tx(spark, sf_dir), kind="gbt")
+    return b.metrics
+
+
+@query("retrain_flow")
+def q_retrain_flow(spark, sf_dir):
+    """Decide -> challenger on the newest half -> both models on the
+    challenger's test rows -> gate. Forced, as in a scheduled retrain;
+    logistic regression keeps the flow fast."""
+    tx = events_tx(spark, sf_dir)
+    champion = train_flow(tx, kind="lr")
+    realized = champion.metrics.select(F.lit("fraud").alias("model"), "f1", "recall")
+    rec = retrain_flow(tx, champion, realized, None, model_key="fraud", force=True, kind="lr")
+    g = rec["gate"]
+    d = rec["decision"]
+    fp = rec["challenger_fingerprint"]
+    row = (bool(d["should_retrain"]), d["severity"], rec["action"], float(g["champion_value"]),
+           float(g["challenger_value"]), float(g["gain"]), bool(g["promote"]), int(fp["n_rows"]),
+           fp["content_sha256"])
+    return spark.createDataFrame([row], "should_retrain boolean, severity string, action string, "
+                                        "champion_value double, challenger_value double, gain double, "
+                                        "promote boolean, challenger_rows long, challenger_sha256 string")
