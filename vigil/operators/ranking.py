@@ -82,7 +82,7 @@ def best_threshold(pr: DataFrame, groups=()) -> DataFrame:
     struct (f1, -threshold, ...), no sort of the curve."""
     best = F.max(F.struct(F.col("f1"), (-F.col("threshold")).alias("nt"),
                           F.col("threshold"), F.col("precision"), F.col("recall")))
-    return pr.groupBy(*groups).agg(best.alias("b")).select(
+    return pr.groupBy(*groups).agg(best.alias("b")).where(F.col("b").isNotNull()).select(
         *groups, F.col("b.threshold").alias("best_threshold"), F.col("b.f1").alias("best_f1"),
         F.col("b.precision").alias("precision_at_best"), F.col("b.recall").alias("recall_at_best"))
 
@@ -93,6 +93,7 @@ def high_recall_threshold(pr: DataFrame, groups=(), min_precision: float = HIGH_
     threshold. No row for a group without an eligible threshold."""
     lo = F.min(F.struct(F.col("threshold"), F.col("precision"), F.col("recall")))
     return (pr.where(F.col("precision") >= min_precision).groupBy(*groups).agg(lo.alias("b"))
+              .where(F.col("b").isNotNull())
               .select(*groups, F.col("b.threshold").alias("high_recall_threshold"),
                       F.col("b.precision").alias("high_recall_precision"),
                       F.col("b.recall").alias("high_recall_recall")))

@@ -200,12 +200,12 @@ c1 AS (SELECT merchant_category, score AS s, sum(label) AS pos, count(*) AS n FR
 k1 AS (SELECT *, sum(pos) OVER (PARTITION BY merchant_category ORDER BY s DESC) AS tp,
               sum(n) OVER (PARTITION BY merchant_category ORDER BY s DESC) AS k,
               sum(pos) OVER (PARTITION BY merchant_category) AS p FROM c1),
-ap_champ AS (SELECT merchant_category, coalesce(sum(pos * 1.0 / p * tp / k), 0.0) AS ap FROM k1 GROUP BY ALL),
+ap_champ AS (SELECT merchant_category, coalesce(sum(CASE WHEN p > 0 THEN pos * 1.0 / p * tp / k END), 0.0) AS ap FROM k1 GROUP BY ALL),
 c2 AS (SELECT merchant_category, score_challenger AS s, sum(label) AS pos, count(*) AS n FROM t GROUP BY ALL),
 k2 AS (SELECT *, sum(pos) OVER (PARTITION BY merchant_category ORDER BY s DESC) AS tp,
               sum(n) OVER (PARTITION BY merchant_category ORDER BY s DESC) AS k,
               sum(pos) OVER (PARTITION BY merchant_category) AS p FROM c2),
-ap_chall AS (SELECT merchant_category, coalesce(sum(pos * 1.0 / p * tp / k), 0.0) AS ap FROM k2 GROUP BY ALL)"""))
+ap_chall AS (SELECT merchant_category, coalesce(sum(CASE WHEN p > 0 THEN pos * 1.0 / p * tp / k END), 0.0) AS ap FROM k2 GROUP BY ALL)"""))
 def q_promotion_gate(spark, sf_dir):
     """Per segment: champion (score) vs challenger (score_challenger) on the
     same held-out test rows, gated on the PR-AUC gain."""

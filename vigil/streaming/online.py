@@ -194,7 +194,7 @@ def enable_state_store(spark: SparkSession) -> None:
 
 
 def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=DEFAULT_WINDOWS_MINUTES,
-           name: str = "replay") -> DataFrame:
+           name: str = "replay", initial_state: DataFrame | None = None) -> DataFrame:
     """Test/benchmark harness: write ``tx`` as one file per chunk value in
     ascending chunk order (so the file source sees them in that order), run
     the streaming features over them one file per micro-batch, and return
@@ -209,7 +209,7 @@ def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=
         staged.where(F.col("_chunk") == c).drop("_chunk").coalesce(1).write.mode("append").parquet(src)
     schema = staged.drop("_chunk").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    feats = online_features(stream, windows_minutes)
+    feats = online_features(stream, windows_minutes, initial_state=initial_state)
     q = (feats.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
