@@ -180,13 +180,36 @@ def _device_windows(data: DataFrame, keys) -> DataFrame:
 # --------------------------------------------------------------------------
 def causal_features(tx: DataFrame, cfg: FeatureConfig = FeatureConfig(),
                     known: DataFrame | None = None, partition_keys=None,
-                    split_values=None) -> DataFrame:
-    """W1-W5 in one pass. Marker rows are added before the single explicit
+                    split_values=None, hot_key_rows: int | None = None) -> DataFrame:
+    """W1-W5. Keys with more than ``hot_key_rows`` rows (default
+    ``hotkeys.HOT_KEY_ROWS``; found by a partially aggregated count) take the
+    range-partitioned prefix-sum plan of ``vigil.operators.hotkeys``; all
+    other keys take the hash-partitioned window plan below. ``hot_key_rows=-1``
+    sends every key through the skew plan."""
+    from vigil.operators import hotkeys as hk
+    keys = _keys(partition_keys)
+    tx = with_micros(tx)
+    threshold = hk.HOT_KEY_ROWS if hot_key_rows is None else hot_key_rows
+    hot = hk.find_hot_keys(tx, keys, threshold)
+    if hot is None:
+        return _window_features(tx, cfg, known, keys, split_values)
+    cold_tx, hot_tx = hk.split_hot(tx, hot, keys)
+    cold = _window_features(cold_tx, cfg, known, keys, split_values)
+    markers = None
+    if known is not None:
+        m = with_marker_rows(hot_tx.limit(0), known, keys, split_values).where(F.col("_marker") == 1)
+        markers = hk.split_hot(m.select(*keys, ROLES.device), hot, keys)[1]
+    hot_out = hk.range_features(hot_tx, cfg.windows_minutes, keys, markers)
+    return cold.unionByName(hot_out.select(*cold.columns))
+
+
+def _window_features(tx: DataFrame, cfg: FeatureConfig, known: DataFrame | None, keys,
+                     split_values) -> DataFrame:
+    """Hash plan: marker rows are added before the single explicit
     repartition on the keys; every window's partition spec contains the keys,
     so all of them reuse that one exchange. Recency and velocity also
     partition by ``_marker`` so marker rows never enter their frames."""
-    keys = _keys(partition_keys)
-    data = with_marker_rows(with_micros(tx), known, keys, split_values)
+    data = with_marker_rows(tx, known, keys, split_values)
     data = data.repartition(*[F.col(k) for k in keys])
     data_keys = keys + ["_marker"]
     data = data.withColumn("seconds_since_last_txn", recency_column(data_keys))

@@ -24,11 +24,13 @@ class FeatureResult:
 
 def build_features(tx: DataFrame, cfg: FeatureConfig = FeatureConfig(),
                    train_frac: float | None = None, val_frac: float | None = None,
-                   known_devices: str = "train") -> FeatureResult:
+                   known_devices: str = "train", hot_key_rows: int | None = None) -> FeatureResult:
     """``cfg.scope='per_split'`` restarts histories at each split (the
     reference behaviour); ``'continuous'`` keeps one history per customer.
     ``known_devices='train'`` seeds device state with the train split's
-    devices (also for train itself); ``None`` gives the causal form."""
+    devices (also for train itself); ``None`` gives the causal form.
+    ``hot_key_rows`` sets the per-key row count above which a key takes the
+    skew-proof plan (-1: every key)."""
     split_tx, info = time_split(tx, train_frac, val_frac)
     train = split_tx.where(split_tx["split"] == "train")
     maps = fit_risk_maps(train, cfg.smoothing)
@@ -38,6 +40,6 @@ def build_features(tx: DataFrame, cfg: FeatureConfig = FeatureConfig(),
     else:
         keys = [ROLES.customer]
     feats = causal_features(split_tx, cfg, known=known, partition_keys=keys,
-                            split_values=list(SPLITS))
+                            split_values=list(SPLITS), hot_key_rows=hot_key_rows)
     feats = apply_risk_maps(feats, maps)
     return FeatureResult(feats, maps, known, info)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vigil.config import FeatureConfig, ROLES
 from vigil.operators import features as fe
 from vigil.operators.split import SPLITS, first_n, newest_window, split_summary, time_split
-from vigil.plans.catalog import query
+from vigil.plans.catalog import ORACLE, query
 from vigil.plans.feature_pipeline import build_features
 from vigil.plans.sqlparts import RISK, SPLIT, TX_EVENTS, TX_ORDERS, velocity_sql
 from vigil.sources.adapters import derive_timestamp, transactions_from_events, transactions_from_orders
@@ -266,11 +266,11 @@ SELECT s.transaction_id, s.split, s.label, round(s.amount, 2) AS amount, r.secon
        r.is_new_device, r.distinct_device_count_so_far
 FROM stx s JOIN rec r USING (transaction_id) JOIN vel v USING (transaction_id)
 LEFT JOIN mrisk m USING (merchant_id) LEFT JOIN crisk c USING (merchant_category)""")
-def q_feature_matrix(spark, sf_dir):
+def q_feature_matrix(spark, sf_dir, hot_key_rows=None):
     """The full batch feature pipeline (P1): split, per-split causal
     features, train-fit encoders, in model column order."""
     cfg = FeatureConfig(windows_minutes=_FM_WINDOWS)
-    res = build_features(events_tx(spark, sf_dir), cfg)
+    res = build_features(events_tx(spark, sf_dir), cfg, hot_key_rows=hot_key_rows)
     f = res.features
     return f.select(
         "transaction_id", "split", "label", F.round("amount", 2).alias("amount"),
@@ -278,3 +278,24 @@ def q_feature_matrix(spark, sf_dir):
         F.round("merchant_risk_score", 6).alias("merchant_risk_score"),
         F.round("merchant_category_risk_score", 6).alias("merchant_category_risk_score"),
         "is_new_device", "distinct_device_count_so_far")
+
+
+@query("feature_matrix_hot")
+def q_feature_matrix_hot(spark, sf_dir):
+    """The same feature matrix with every (split, customer) key sent through
+    the skew-proof plan (range-partitioned prefix sums), as a hot customer
+    holding a large share of the rows would be."""
+    return q_feature_matrix(spark, sf_dir, hot_key_rows=-1)
+
+
+@query("velocity_orders_hot")
+def q_velocity_orders_hot(spark, sf_dir):
+    """Recency and velocity on orders (with ties) through the skew-proof plan."""
+    tx = fe.with_micros(orders_tx(spark, sf_dir))
+    out = fe.causal_features(tx, FeatureConfig(windows_minutes=ORDER_WINDOWS), hot_key_rows=-1)
+    return out.select("transaction_id", *_vel_cols(ORDER_WINDOWS), "seconds_since_last_txn")
+
+
+# the skew-plan variants answer to the same oracles as their hash-plan twins
+ORACLE["feature_matrix_hot"] = ORACLE["feature_matrix"]
+ORACLE["velocity_orders_hot"] = ORACLE["velocity_orders"]
