@@ -11,7 +11,7 @@ from vigil.config import ROLES, FeatureConfig
 from vigil.operators.features import (
     RiskMaps, apply_risk_maps, causal_features, fit_known_devices, fit_risk_maps,
 )
-from vigil.operators.split import SPLITS, time_split
+from vigil.operators.split import SPLITS, in_split, time_split
 
 
 @dataclass
@@ -32,7 +32,7 @@ def build_features(tx: DataFrame, cfg: FeatureConfig = FeatureConfig(),
     ``hot_key_rows`` sets the per-key row count above which a key takes the
     skew-proof plan (-1: every key)."""
     split_tx, info = time_split(tx, train_frac, val_frac)
-    train = split_tx.where(split_tx["split"] == "train")
+    train = split_tx.where(in_split(tx, info, "train"))
     maps = fit_risk_maps(train, cfg.smoothing)
     known = fit_known_devices(train) if known_devices == "train" else None
     if cfg.scope == "per_split":

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vigil.functions.columns import micros
 from vigil.operators import drift as dr
 from vigil.operators.order import keys_at
-from vigil.operators.split import time_split
+from vigil.operators.split import in_split, time_split
 from vigil.plans.catalog import query
 from vigil.plans.q_metrics import SCORED, scored_events
 from vigil.plans.sqlparts import SPLIT, psi_sql
@@ -93,8 +93,8 @@ SCORED_SPLIT = SCORED + ",\n" + SPLIT.replace(
 
 
 def scored_split(spark, sf_dir):
-    st, _ = time_split(scored_events(spark, sf_dir))
-    return st.where(F.col("split") == "train"), st.where(F.col("split") == "test"), st
+    st, info = time_split(scored_events(spark, sf_dir))
+    return st.where(in_split(st, info, "train")), st.where(in_split(st, info, "test")), st
 
 
 @query("prediction_drift", f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vigil.config import FeatureConfig, ROLES
 from vigil.operators import features as fe
-from vigil.operators.split import SPLITS, first_n, newest_window, split_summary, time_split
+from vigil.operators.split import in_split, SPLITS, first_n, newest_window, split_summary, time_split
 from vigil.plans.catalog import ORACLE, query
 from vigil.plans.feature_pipeline import build_features
 from vigil.plans.sqlparts import RISK, SPLIT, TX_EVENTS, TX_ORDERS, velocity_sql
@@ -184,8 +184,8 @@ SELECT a.transaction_id, a.split,
 FROM stx a""")
 def q_is_new_device_known(spark, sf_dir):
     """Per-split device consistency seeded with the train split's devices."""
-    st, _ = time_split(events_tx(spark, sf_dir))
-    known = fe.fit_known_devices(st.where(F.col("split") == "train"))
+    st, info = time_split(events_tx(spark, sf_dir))
+    known = fe.fit_known_devices(st.where(in_split(st, info, "train")))
     out = fe.causal_features(st, FeatureConfig(windows_minutes=()), known=known,
                              partition_keys=["split", ROLES.customer], split_values=list(SPLITS))
     return out.select("transaction_id", "split", "is_new_device", "distinct_device_count_so_far")
@@ -196,8 +196,8 @@ def q_is_new_device_known(spark, sf_dir):
 WITH {TX_EVENTS}, {SPLIT}, {RISK}
 SELECT merchant_id, round(merchant_risk_score, 6) AS merchant_risk_score FROM mrisk""")
 def q_merchant_risk(spark, sf_dir):
-    st, _ = time_split(events_tx(spark, sf_dir))
-    maps = fe.fit_risk_maps(st.where(F.col("split") == "train"))
+    st, info = time_split(events_tx(spark, sf_dir))
+    maps = fe.fit_risk_maps(st.where(in_split(st, info, "train")))
     return maps.merchant.select("merchant_id", F.round("merchant_risk_score", 6).alias("merchant_risk_score"))
 
 
@@ -205,8 +205,8 @@ def q_merchant_risk(spark, sf_dir):
 WITH {TX_EVENTS}, {SPLIT}, {RISK}
 SELECT merchant_category, round(merchant_category_risk_score, 6) AS merchant_category_risk_score FROM crisk""")
 def q_category_risk(spark, sf_dir):
-    st, _ = time_split(events_tx(spark, sf_dir))
-    maps = fe.fit_risk_maps(st.where(F.col("split") == "train"))
+    st, info = time_split(events_tx(spark, sf_dir))
+    maps = fe.fit_risk_maps(st.where(in_split(st, info, "train")))
     return maps.category.select(
         "merchant_category",
         F.round("merchant_category_risk_score", 6).alias("merchant_category_risk_score"))
@@ -217,8 +217,8 @@ WITH {TX_EVENTS}, {SPLIT}
 SELECT customer_id, count(DISTINCT device_id) AS n_known_devices FROM stx WHERE split = 'train'
 GROUP BY customer_id""")
 def q_known_devices(spark, sf_dir):
-    st, _ = time_split(events_tx(spark, sf_dir))
-    known = fe.fit_known_devices(st.where(F.col("split") == "train"))
+    st, info = time_split(events_tx(spark, sf_dir))
+    known = fe.fit_known_devices(st.where(in_split(st, info, "train")))
     return known.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_known_devices"))
 
 
@@ -229,8 +229,8 @@ SELECT s.transaction_id,
        round(coalesce(c.merchant_category_risk_score, (SELECT gm FROM g)), 6) AS merchant_category_risk_score
 FROM stx s LEFT JOIN mrisk m USING (merchant_id) LEFT JOIN crisk c USING (merchant_category)""")
 def q_apply_merchant_risk(spark, sf_dir):
-    st, _ = time_split(events_tx(spark, sf_dir))
-    maps = fe.fit_risk_maps(st.where(F.col("split") == "train"))
+    st, info = time_split(events_tx(spark, sf_dir))
+    maps = fe.fit_risk_maps(st.where(in_split(st, info, "train")))
     out = fe.apply_risk_maps(st, maps)
     return out.select("transaction_id",
                       F.round("merchant_risk_score", 6).alias("merchant_risk_score"),

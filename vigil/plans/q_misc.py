@@ -10,7 +10,7 @@ from vigil.operators import explain as ex
 from vigil.operators import features as fe
 from vigil.operators.fingerprint import fingerprint
 from vigil.operators.latency import latency_summary
-from vigil.operators.split import hash_sample, time_split
+from vigil.operators.split import in_split, hash_sample, time_split
 from vigil.plans.catalog import ORACLE, query
 from vigil.plans.q_features import events_tx, orders_tx, q_feature_matrix
 from vigil.plans.q_metrics import SCORED, scored_events
@@ -87,9 +87,9 @@ UNION
 SELECT customer_id, device_id FROM stx WHERE split = 'val'""")
 def q_device_union(spark, sf_dir):
     """Known devices of train united with the devices seen in val."""
-    st, _ = time_split(events_tx(spark, sf_dir))
-    tr = st.where(F.col("split") == "train").select(ROLES.customer, ROLES.device)
-    va = st.where(F.col("split") == "val").select(ROLES.customer, ROLES.device)
+    st, info = time_split(events_tx(spark, sf_dir))
+    tr = st.where(in_split(st, info, "train")).select(ROLES.customer, ROLES.device)
+    va = st.where(in_split(st, info, "val")).select(ROLES.customer, ROLES.device)
     return tr.unionByName(va).distinct()
 
 
@@ -114,8 +114,8 @@ FROM stx s LEFT JOIN mrisk m USING (merchant_id)""")
 def q_risk_override(spark, sf_dir):
     """A caller-supplied merchant risk (here for large amounts) wins over the
     train-fit lookup, which wins over the global mean."""
-    st, _ = time_split(events_tx(spark, sf_dir))
-    maps = fe.fit_risk_maps(st.where(F.col("split") == "train"))
+    st, info = time_split(events_tx(spark, sf_dir))
+    maps = fe.fit_risk_maps(st.where(in_split(st, info, "train")))
     given = st.withColumn("given_risk", F.when(F.col("amount") > 400, F.lit(0.9)))
     out = fe.apply_risk_maps(given, maps, merchant_override="given_risk")
     return out.select("transaction_id", F.round("merchant_risk_score", 6).alias("merchant_risk_score"))

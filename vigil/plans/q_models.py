@@ -9,7 +9,7 @@ from vigil.config import FLAG_THRESHOLD, FeatureConfig
 from vigil.functions.columns import flag
 from vigil.operators import models as md
 from vigil.operators.smote import smote
-from vigil.operators.split import time_split
+from vigil.operators.split import in_split, time_split
 from vigil.plans.catalog import query
 from vigil.plans.feature_pipeline import build_features
 from vigil.plans.q_features import events_tx
@@ -27,8 +27,8 @@ UNION ALL
 SELECT 0, n / (2.0 * (n - p)), 1.0 FROM c""")
 def q_class_weights(spark, sf_dir):
     """Per-class weights on the train split: 'balanced' and the boosting ratio."""
-    st, _ = time_split(events_tx(spark, sf_dir))
-    tr = st.where(F.col("split") == "train").select("label")
+    st, info = time_split(events_tx(spark, sf_dir))
+    tr = st.where(in_split(st, info, "train")).select("label")
     b = md.class_weight_column(tr, mode="balanced", out="balanced_weight")
     r = md.class_weight_column(b, mode="ratio", out="ratio_weight")
     return r.groupBy("label").agg(F.first("balanced_weight").alias("balanced_weight"),
