@@ -3,9 +3,9 @@
 ``transformWithStateInPandas`` keyed by customer keeps, per customer:
   events   ListState (us, amount, id): committed transactions inside the
            largest window (evicted as time advances; T2, T3)
-  last     ValueState: epoch-us of the last committed transaction (T5)
-  maxnow   ValueState: the largest committed time, for eviction
-  devices  MapState device -> 1, plus a count (T6)
+  meta     ValueState (last, maxnow, ndev): the last committed time (T5),
+           the largest committed time (eviction) and the device count
+  devices  MapState device -> 1 (T6), read once per key and micro-batch
 
 Two-phase contract per transaction (T1): features are computed from state
 that excludes the transaction, then it is committed. Inside a micro-batch a
@@ -56,10 +56,9 @@ class OnlineFeatures(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         ttl = self.ttl_ms
         self.events = handle.getListState("events", "us long, amount double, id long", ttl)
-        self.last = handle.getValueState("last", "us long", ttl)
-        self.maxnow = handle.getValueState("maxnow", "us long", ttl)
+        # last committed time, largest committed time, number of devices
+        self.meta = handle.getValueState("meta", "last long, maxnow long, ndev long", ttl)
         self.devices = handle.getMapState("devices", "device string", "seen int", ttl)
-        self.ndev = handle.getValueState("ndev", "n long", ttl)
 
     # -- state helpers -------------------------------------------------
     def _load_events(self):
@@ -71,26 +70,31 @@ class OnlineFeatures(StatefulProcessor):
         us, amt, ids = zip(*rows)
         return np.asarray(us, np.int64), np.asarray(amt, np.float64), np.asarray(ids, np.int64)
 
-    def _commit(self, us, amt, ids, devs, e_us, e_amt, e_ids):
-        """Fold committed rows (already in arrival order) into state."""
+    def _load_meta(self):
+        return self.meta.get() if self.meta.exists() else (None, None, 0)
+
+    def _load_devices(self) -> set:
+        return {k[0] for k in self.devices.keys()} if self.devices.exists() else set()
+
+    def _commit(self, us, amt, ids, devs, e_us, e_amt, e_ids, meta, known: set):
+        """Fold committed rows (already in arrival order) into state; one
+        list write, one value write and one map write per new device."""
         if len(us) == 0:
             return
         all_us = np.concatenate([e_us, us])
         all_amt = np.concatenate([e_amt, amt])
         all_ids = np.concatenate([e_ids, ids])
-        prev_max = self.maxnow.get()[0] if self.maxnow.exists() else None
+        _, prev_max, n = meta
         new_max = int(us.max()) if prev_max is None else max(int(prev_max), int(us.max()))
         keep = all_us > new_max - self.max_w
         self.events.put([(int(a), float(b), int(c)) for a, b, c in
                          zip(all_us[keep], all_amt[keep], all_ids[keep])])
-        self.maxnow.update((new_max,))
-        self.last.update((int(us[-1]),))
-        n = self.ndev.get()[0] if self.ndev.exists() else 0
         for d in dict.fromkeys(devs):
-            if not self.devices.containsKey((d,)):
+            if d not in known:
                 self.devices.updateValue((d,), (1,))
+                known.add(d)
                 n += 1
-        self.ndev.update((n,))
+        self.meta.update((int(us[-1]), new_max, int(n)))
 
     # -- the operator --------------------------------------------------
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -124,7 +128,8 @@ class OnlineFeatures(StatefulProcessor):
             out[f"velocity_count_{w}m"] = (n_state + n_batch).astype(np.int64)
             out[f"velocity_amount_{w}m"] = np.maximum(sum_state + sum_batch, 0.0)
         # recency: last committed time before each row
-        last0 = self.last.get()[0] if self.last.exists() else None
+        meta = self._load_meta()
+        last0 = meta[0]
         pos = np.where(commit, idx, -1)
         prev_pos = np.concatenate([[-1], np.maximum.accumulate(pos)[:-1]]) if m else pos
         prev_t = np.where(prev_pos >= 0, t[np.maximum(prev_pos, 0)],
@@ -132,8 +137,9 @@ class OnlineFeatures(StatefulProcessor):
         has_prev = (prev_pos >= 0) | (last0 is not None)
         out["seconds_since_last_txn"] = np.where(has_prev, (t - prev_t) / 1e6, FIRST_TXN_SENTINEL)
         # devices: state set S plus committed in-batch devices before the row
-        n_s = self.ndev.get()[0] if self.ndev.exists() else 0
-        in_state = np.array([self.devices.containsKey((d,)) for d in devs], bool) if m else np.zeros(0, bool)
+        known = self._load_devices()
+        n_s = meta[2]
+        in_state = np.fromiter((d in known for d in devs), bool, count=m)
         same_dev_before = (pd.Series(commit.astype(np.int64)).groupby(pd.Series(devs)).cumsum().to_numpy()
                            - commit.astype(np.int64))
         seen = in_state | (same_dev_before > 0)
@@ -142,7 +148,7 @@ class OnlineFeatures(StatefulProcessor):
         out["is_new_device"] = (~seen).astype(np.int32)
         out["distinct_device_count_so_far"] = (n_s + new_before + (~seen)).astype(np.int64)
 
-        self._commit(t[commit], a[commit], ids[commit], list(devs[commit]), e_us, e_amt, e_ids)
+        self._commit(t[commit], a[commit], ids[commit], list(devs[commit]), e_us, e_amt, e_ids, meta, known)
         yield pd.DataFrame(out)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
@@ -150,7 +156,8 @@ class OnlineFeatures(StatefulProcessor):
         h = initialState.sort_values([TS_US, ROLES.transaction_id], kind="mergesort")
         e_us, e_amt, e_ids = self._load_events()
         self._commit(h[TS_US].to_numpy(np.int64), h[ROLES.amount].to_numpy(np.float64),
-                     h[ROLES.transaction_id].to_numpy(np.int64), list(h[ROLES.device]), e_us, e_amt, e_ids)
+                     h[ROLES.transaction_id].to_numpy(np.int64), list(h[ROLES.device]), e_us, e_amt, e_ids,
+                     self._load_meta(), self._load_devices())
 
     def close(self) -> None:
         pass
