@@ -146,8 +146,10 @@ def q_alerts(spark, sf_dir):
 
 # ------------------------------------------------------------ decisions
 def segment_metrics(st, split, score="score"):
+    """Realised precision/recall/F1 per segment at the flag threshold (one
+    grouped count pass; the policy needs no ranking curve)."""
     part = st.where(F.col("split") == split)
-    return rk.evaluate(part, score, "label", FLAG_THRESHOLD, groups=[SEGMENT])
+    return rk.confusion(part, score, "label", FLAG_THRESHOLD, [SEGMENT]).select(SEGMENT, *rk.prf_columns())
 
 
 SEG_PERF_SQL = """

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.python.unix.domain.socket.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commit only the changes of each micro-batch, not a full state snapshot
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -3,9 +3,9 @@
 ``transformWithStateInPandas`` keyed by customer keeps, per customer:
   events   ListState (us, amount, id): committed transactions inside the
            largest window (evicted as time advances; T2, T3)
-  meta     ValueState (last, maxnow, ndev): the last committed time (T5),
-           the largest committed time (eviction) and the device count
-  devices  MapState device -> 1 (T6), read once per key and micro-batch
+  meta     ValueState (last, maxnow, devices): the last committed time (T5),
+           the largest committed time (for eviction) and the distinct
+           devices seen so far (T6)
 
 Two-phase contract per transaction (T1): features are computed from state
 that excludes the transaction, then it is committed. Inside a micro-batch a
@@ -56,45 +56,43 @@ class OnlineFeatures(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         ttl = self.ttl_ms
         self.events = handle.getListState("events", "us long, amount double, id long", ttl)
-        # last committed time, largest committed time, number of devices
-        self.meta = handle.getValueState("meta", "last long, maxnow long, ndev long", ttl)
-        self.devices = handle.getMapState("devices", "device string", "seen int", ttl)
+        # last committed time, largest committed time, distinct devices so far
+        self.meta = handle.getValueState("meta", "last long, maxnow long, devices array<string>", ttl)
 
-    # -- state helpers -------------------------------------------------
+    # -- state helpers (about four state calls per key and micro-batch) ----
     def _load_events(self):
-        if not self.events.exists():
-            return np.empty(0, np.int64), np.empty(0, np.float64), np.empty(0, np.int64)
-        rows = list(self.events.get())
+        rows = list(self.events.get()) if self.events.exists() else []
         if not rows:
             return np.empty(0, np.int64), np.empty(0, np.float64), np.empty(0, np.int64)
         us, amt, ids = zip(*rows)
         return np.asarray(us, np.int64), np.asarray(amt, np.float64), np.asarray(ids, np.int64)
 
     def _load_meta(self):
-        return self.meta.get() if self.meta.exists() else (None, None, 0)
-
-    def _load_devices(self) -> set:
-        return {k[0] for k in self.devices.keys()} if self.devices.exists() else set()
-
-    def _commit(self, us, amt, ids, devs, e_us, e_amt, e_ids, meta, known: set):
-        """Fold committed rows (already in arrival order) into state; one
-        list write, one value write and one map write per new device."""
+        m = self.meta.get()
+        if m is None:
+            return None, None, []
+        return m[0], m[1], list(m[2] or [])
+
+    def _commit(self, us, amt, ids, devs, e_us, meta, known: set):
+        """Fold committed rows (in arrival order) into state: append the new
+        events, rewriting the list only when some events left the largest
+        window; one value write for times and devices."""
         if len(us) == 0:
             return
-        all_us = np.concatenate([e_us, us])
-        all_amt = np.concatenate([e_amt, amt])
-        all_ids = np.concatenate([e_ids, ids])
-        _, prev_max, n = meta
+        _, prev_max, dev_list = meta
         new_max = int(us.max()) if prev_max is None else max(int(prev_max), int(us.max()))
-        keep = all_us > new_max - self.max_w
-        self.events.put([(int(a), float(b), int(c)) for a, b, c in
-                         zip(all_us[keep], all_amt[keep], all_ids[keep])])
+        cutoff = new_max - self.max_w
+        new_rows = [(int(a), float(b), int(c)) for a, b, c in zip(us, amt, ids) if a > cutoff]
+        if len(e_us) and e_us.min() <= cutoff:
+            kept = [(int(a), float(b), int(c)) for a, b, c in zip(*self._events_cache) if a > cutoff]
+            self.events.put(kept + new_rows)
+        elif new_rows:
+            self.events.appendList(new_rows)
         for d in dict.fromkeys(devs):
             if d not in known:
-                self.devices.updateValue((d,), (1,))
                 known.add(d)
-                n += 1
-        self.meta.update((int(us[-1]), new_max, int(n)))
+                dev_list.append(d)
+        self.meta.update((int(us[-1]), new_max, dev_list))
 
     # -- the operator --------------------------------------------------
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -108,6 +106,7 @@ class OnlineFeatures(StatefulProcessor):
         m = len(pdf)
 
         e_us, e_amt, e_ids = self._load_events()
+        self._events_cache = (e_us, e_amt, e_ids)
         order = np.argsort(e_us, kind="mergesort")
         s_us, s_amt = e_us[order], e_amt[order]
         s_cum = np.concatenate([[0.0], np.cumsum(s_amt)])
@@ -137,8 +136,8 @@ class OnlineFeatures(StatefulProcessor):
         has_prev = (prev_pos >= 0) | (last0 is not None)
         out["seconds_since_last_txn"] = np.where(has_prev, (t - prev_t) / 1e6, FIRST_TXN_SENTINEL)
         # devices: state set S plus committed in-batch devices before the row
-        known = self._load_devices()
-        n_s = meta[2]
+        known = set(meta[2])
+        n_s = len(known)
         in_state = np.fromiter((d in known for d in devs), bool, count=m)
         same_dev_before = (pd.Series(commit.astype(np.int64)).groupby(pd.Series(devs)).cumsum().to_numpy()
                            - commit.astype(np.int64))
@@ -148,16 +147,18 @@ class OnlineFeatures(StatefulProcessor):
         out["is_new_device"] = (~seen).astype(np.int32)
         out["distinct_device_count_so_far"] = (n_s + new_before + (~seen)).astype(np.int64)
 
-        self._commit(t[commit], a[commit], ids[commit], list(devs[commit]), e_us, e_amt, e_ids, meta, known)
+        self._commit(t[commit], a[commit], ids[commit], list(devs[commit]), e_us, meta, known)
         yield pd.DataFrame(out)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Warm-up with past transactions, committed in time order."""
         h = initialState.sort_values([TS_US, ROLES.transaction_id], kind="mergesort")
         e_us, e_amt, e_ids = self._load_events()
+        self._events_cache = (e_us, e_amt, e_ids)
+        meta = self._load_meta()
         self._commit(h[TS_US].to_numpy(np.int64), h[ROLES.amount].to_numpy(np.float64),
-                     h[ROLES.transaction_id].to_numpy(np.int64), list(h[ROLES.device]), e_us, e_amt, e_ids,
-                     self._load_meta(), self._load_devices())
+                     h[ROLES.transaction_id].to_numpy(np.int64), list(h[ROLES.device]), e_us,
+                     meta, set(meta[2]))
 
     def close(self) -> None:
         pass
@@ -198,6 +199,7 @@ def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
 def enable_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=DEFAULT_WINDOWS_MINUTES,
