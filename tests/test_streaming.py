@@ -87,3 +87,65 @@ def test_ingest_false_is_not_committed(spark):
     # row 1 (A at 120s) was scored but not committed: row 2 sees only row 0
     assert out[1]["velocity_count_10m"] == 1
     assert out[2]["velocity_count_10m"] == 1 and out[2]["seconds_since_last_txn"] == 300
+
+
+def test_stream_scoring_equals_batch_scoring(spark):
+    from vigil.operators import models as md
+    from vigil.plans.q_features import events_tx
+    tx = events_tx(spark, SF_SMALL)
+    cfg = FeatureConfig(windows_minutes=W)
+    maps = fe.fit_risk_maps(tx)
+    batch = fe.apply_risk_maps(fe.causal_features(tx, cfg), maps)
+    fcols = cfg.feature_columns()
+    model = md.fit(md.class_weight_column(batch), fcols, "lr", "weight")
+    expect = md.score(model, batch).select("transaction_id", "score").toPandas().set_index("transaction_id")
+    got = replay(spark, tx, F.date_trunc("week", "ts"), W, name="score",
+                 passthrough=["amount", "merchant_id", "merchant_category", "label"], model=model, maps=maps)
+    got = got.select("transaction_id", "score", "flagged").toPandas().set_index("transaction_id")
+    assert len(got) == len(expect)
+    assert ((got["score"] - expect.loc[got.index, "score"]).abs() < 1e-9).all()
+    assert (got["flagged"] == (got["score"] >= 0.5).astype(int)).all()
+
+
+def test_emit_false_rows_update_state_without_output(spark):
+    tx = toy(spark).withColumn("emit", F.col("transaction_id") != 1)
+    out = {r["transaction_id"]: r for r in replay(spark, tx, F.col("transaction_id"), W, name="emit").collect()}
+    assert 1 not in out and len(out) == 9
+    assert out[2]["velocity_count_10m"] == 2          # row 1 was still committed
+
+
+def test_dedup_within_watermark(spark):
+    import uuid
+    from vigil.session import shared_dir
+    from vigil.streaming.online import online_features, enable_state_store
+    enable_state_store(spark)
+    tx = toy(spark)
+    dup = tx.unionByName(tx.where(F.col("transaction_id").isin(1, 6)))
+    base = shared_dir(spark, f"dedup-{uuid.uuid4().hex[:8]}")
+    dup.coalesce(1).write.parquet(f"{base}/src")
+    stream = spark.readStream.schema(dup.schema).parquet(f"{base}/src")
+    q = (online_features(stream, W, dedup_within_watermark="1 hour").writeStream.format("parquet")
+         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    _check(spark.read.parquet(f"{base}/out").collect())
+
+
+def test_drift_monitor_appends_one_cycle_per_batch(spark):
+    import uuid
+    from vigil.plans.q_metrics import scored_events
+    from vigil.session import shared_dir
+    from vigil.sources.history import load_history
+    from vigil.streaming.labels import drift_monitor
+    from vigil.streaming.online import stage_chunks
+    s = scored_events(spark, SF_SMALL).select("ts", "amount", "merchant_id", "score")
+    base = shared_dir(spark, f"monitor-{uuid.uuid4().hex[:8]}")
+    stage_chunks(s, F.date_trunc("week", "ts"), f"{base}/src")
+    n_chunks = s.select(F.date_trunc("week", "ts")).distinct().count()
+    stream = spark.readStream.schema(s.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/src")
+    ref = s.where(F.col("ts") < "2024-01-08")
+    q = drift_monitor(stream, ref, ["amount", "merchant_id"], "score", f"{base}/history", f"{base}/ck")
+    q.awaitTermination()
+    h = spark.read.json(f"{base}/history")
+    assert h.count() == n_chunks
+    assert set(r["n_features_checked"] for r in h.collect()) == {2}

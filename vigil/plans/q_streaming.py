@@ -38,3 +38,22 @@ def q_online_features(spark, sf_dir):
     return out.select("transaction_id", *cols, "seconds_since_last_txn",
                       F.col("is_new_device").cast("int").alias("is_new_device"),
                       "distinct_device_count_so_far")
+
+
+@query("delayed_label_stream", f"""
+WITH {TX_EVENTS}
+SELECT transaction_id, customer_id, ts, amount, label,
+       ts + to_hours(transaction_id % 72) AS label_ts
+FROM tx""")
+def q_delayed_label_stream(spark, sf_dir):
+    """Score log and label feed replayed as two streams (weekly chunks each)
+    and joined on the id within a 7-day event-time interval, with watermarks
+    bounding the join state. Labels arrive 0-71 hours after the score."""
+    from vigil.streaming.labels import replay_label_join
+    tx = events_tx(spark, sf_dir)
+    scores = tx.select("transaction_id", "customer_id", "ts", "amount")
+    labels = tx.select("transaction_id", "label",
+                       (F.col("ts") + F.make_dt_interval(hours=F.col("transaction_id") % 72)).alias("label_ts"))
+    out = replay_label_join(spark, scores, labels, F.date_trunc("week", "ts"), F.date_trunc("week", "label_ts"),
+                            name="delayed-labels")
+    return out.select("transaction_id", "customer_id", "ts", "amount", "label", "label_ts")

@@ -40,14 +40,17 @@ TS_US = "ts_us"
 INPUT_COLS = [ROLES.customer, ROLES.transaction_id, TS_US, ROLES.amount, ROLES.device, "ingest"]
 
 
-def output_schema(windows_minutes) -> str:
+def output_schema(windows_minutes, passthrough_ddl: str = "") -> str:
     vel = ", ".join(f"velocity_count_{w}m long, velocity_amount_{w}m double" for w in windows_minutes)
+    extra = f", {passthrough_ddl}" if passthrough_ddl else ""
     return (f"{ROLES.customer} long, {ROLES.transaction_id} long, {TS_US} long, {vel}, "
-            "seconds_since_last_txn double, is_new_device int, distinct_device_count_so_far long")
+            "seconds_since_last_txn double, is_new_device int, distinct_device_count_so_far long" + extra)
 
 
 class OnlineFeatures(StatefulProcessor):
-    def __init__(self, windows_minutes=DEFAULT_WINDOWS_MINUTES, ttl_ms: int | None = None):
+    def __init__(self, windows_minutes=DEFAULT_WINDOWS_MINUTES, ttl_ms: int | None = None,
+                 passthrough=()):
+        self.passthrough = list(passthrough)
         self.windows = [int(w) for w in windows_minutes]
         self.w_us = [w * 60_000_000 for w in self.windows]
         self.max_w = max(self.w_us) if self.w_us else 0
@@ -148,7 +151,12 @@ class OnlineFeatures(StatefulProcessor):
         out["distinct_device_count_so_far"] = (n_s + new_before + (~seen)).astype(np.int64)
 
         self._commit(t[commit], a[commit], ids[commit], list(devs[commit]), e_us, meta, known)
-        yield pd.DataFrame(out)
+        for c in self.passthrough:
+            out[c] = pdf[c].to_numpy()
+        res = pd.DataFrame(out)
+        if "emit" in pdf:  # ingest-only rows (S9) update state but emit nothing
+            res = res[pdf["emit"].fillna(True).to_numpy(bool)]
+        yield res
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Warm-up with past transactions, committed in time order."""
@@ -165,7 +173,8 @@ class OnlineFeatures(StatefulProcessor):
 
 
 def prepare(tx: DataFrame, keep=()) -> DataFrame:
-    """Canonical transactions -> operator input columns (plus ``keep``)."""
+    """Canonical transactions -> operator input columns (plus ``keep``:
+    pass-through columns and the optional ``emit`` flag)."""
     if TS_US in tx.columns:
         out = tx
     else:
@@ -177,33 +186,63 @@ def prepare(tx: DataFrame, keep=()) -> DataFrame:
 
 def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
                     initial_state: DataFrame | None = None, ttl_ms: int | None = None,
-                    dedup_within_watermark: str | None = None) -> DataFrame:
+                    dedup_within_watermark: str | None = None, passthrough=()) -> DataFrame:
     """Streaming features keyed by customer. ``dedup_within_watermark``
     (e.g. '1 hour') drops repeated transaction ids (T8; needs a watermark
-    on ts, so it applies to streams carrying ``ts``)."""
+    on ts, so it applies to streams carrying ``ts``). ``passthrough``
+    columns are copied from each input row to its output row."""
     s = stream
     if dedup_within_watermark:
-        s = s.withWatermark(ROLES.ts, dedup_within_watermark).dropDuplicatesWithinWatermark(
-            [ROLES.transaction_id])
-    s = prepare(s)
+        # watermarks need a TIMESTAMP column; the session zone is UTC
+        s = (s.withColumn("_wts", F.col(ROLES.ts).cast("timestamp"))
+              .withWatermark("_wts", dedup_within_watermark)
+              .dropDuplicatesWithinWatermark([ROLES.transaction_id]).drop("_wts"))
+    out_fixed = (ROLES.customer, ROLES.transaction_id, TS_US)
+    passthrough = [c for c in passthrough if c not in out_fixed]
+    keep = [c for c in passthrough if c not in INPUT_COLS] + (["emit"] if "emit" in s.columns else [])
+    ddl = ", ".join(f"`{c}` {s.schema[c].dataType.simpleString()}" for c in passthrough)
+    s = prepare(s, keep=keep)
     init = None
     if initial_state is not None:
         init = prepare(initial_state).groupBy(ROLES.customer)
     time_mode = "ProcessingTime" if ttl_ms else "None"
     return s.groupBy(ROLES.customer).transformWithStateInPandas(
-        statefulProcessor=OnlineFeatures(windows_minutes, ttl_ms),
-        outputStructType=output_schema(windows_minutes), outputMode="Append",
+        statefulProcessor=OnlineFeatures(windows_minutes, ttl_ms, passthrough),
+        outputStructType=output_schema(windows_minutes, ddl), outputMode="Append",
         timeMode=time_mode, initialState=init)
 
 
+def score_stream(features: DataFrame, maps, model, threshold: float) -> DataFrame:
+    """The feature stream joined to the static encoder maps (broadcast
+    after a size check) and scored by a fitted Spark ML pipeline; the flag is
+    score >= threshold. Scoring happens on state before this row's commit,
+    because the feature operator computes features before committing."""
+    from vigil.functions.columns import flag
+    from vigil.operators.features import apply_risk_maps
+    from vigil.operators.models import score
+    scored = score(model, apply_risk_maps(features, maps))
+    return scored.withColumn("flagged", flag("score", threshold))
+
+
 def enable_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def stage_chunks(df: DataFrame, chunk: F.Column, folder: str, drop=()) -> None:
+    """Write ``df`` as one file per chunk value in ascending chunk order, so a
+    file source reads them in that order (one per micro-batch)."""
+    staged = df.withColumn("_chunk", chunk)
+    chunks = [r[0] for r in staged.select("_chunk").distinct().orderBy("_chunk").collect()]
+    for c in chunks:  # bounded: one write per chunk value
+        (staged.where(F.col("_chunk") == c).drop("_chunk", *drop)
+         .coalesce(1).write.mode("append").parquet(folder))
+
+
 def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=DEFAULT_WINDOWS_MINUTES,
-           name: str = "replay", initial_state: DataFrame | None = None) -> DataFrame:
+           name: str = "replay", initial_state: DataFrame | None = None, passthrough=(),
+           model=None, maps=None, threshold: float = 0.5) -> DataFrame:
     """Test/benchmark harness: write ``tx`` as one file per chunk value in
     ascending chunk order (so the file source sees them in that order), run
     the streaming features over them one file per micro-batch, and return
@@ -212,13 +251,13 @@ def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=
     enable_state_store(spark)
     base = shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     src, out, ck = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
-    staged = prepare(tx.withColumn("_chunk", chunk), keep=["_chunk"])
-    chunks = [r[0] for r in staged.select("_chunk").distinct().orderBy("_chunk").collect()]
-    for c in chunks:  # bounded: one write per chunk value
-        staged.where(F.col("_chunk") == c).drop("_chunk").coalesce(1).write.mode("append").parquet(src)
-    schema = staged.drop("_chunk").schema
+    keep = [c for c in passthrough if c not in INPUT_COLS] + (["emit"] if "emit" in tx.columns else [])
+    stage_chunks(prepare(tx.withColumn("_c", chunk), keep=keep + ["_c"]), F.col("_c"), src, drop=["_c"])
+    schema = spark.read.parquet(src).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    feats = online_features(stream, windows_minutes, initial_state=initial_state)
+    feats = online_features(stream, windows_minutes, initial_state=initial_state, passthrough=passthrough)
+    if model is not None:
+        feats = score_stream(feats, maps, model, threshold)
     q = (feats.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
