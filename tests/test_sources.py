@@ -56,3 +56,20 @@ def test_events_adapter_schema(spark):
     assert tx.columns == ["transaction_id", "customer_id", "merchant_id", "merchant_category", "device_id",
                           "ts", "amount", "label"]
     assert tx.where(F.col("transaction_id").isNull()).count() == 0
+
+
+def test_csv_reader_declared_schema_and_time_offset(spark):
+    from vigil.sources.tables import read_csv_transactions
+    path = shared_dir(spark, f"csv-{uuid.uuid4().hex[:8]}")
+    ev = read_table(spark, SF_SMALL, "events").select(
+        "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6 -
+                     F.unix_micros(F.lit("2024-01-01").cast("timestamp")) / 1e6).alias("Time"), "value")
+    ev.write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("Time", T.DoubleType()),
+                           T.StructField("value", T.DoubleType())])
+    back = read_csv_transactions(spark, path, schema)
+    orig = read_table(spark, SF_SMALL, "events").select("event_id", F.col("ts").alias("ts0"))
+    j = back.join(orig, "event_id")
+    assert j.count() == orig.count()
+    assert j.where(F.abs(F.unix_micros(F.col("ts").cast("timestamp")) -
+                         F.unix_micros(F.col("ts0").cast("timestamp"))) > 1).count() == 0

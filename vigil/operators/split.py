@@ -131,3 +131,12 @@ def hash_sample(df: DataFrame, n: int, key: str = ROLES.transaction_id,
     size), so the single-task merge holds at most n rows."""
     h = F.xxhash64(F.col(key), F.lit(seed))
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+
+
+def regime_cut(tx: DataFrame, frac: float, labels=("before", "after"), col: str = "regime") -> DataFrame:
+    """L4: one chronological cut at int(n * frac); rows before it get
+    labels[0], the rest labels[1]."""
+    n = tx.count()
+    c = int(n * frac)
+    key = keys_at(tx, ORDER, [c]).get(c) if c < n else None
+    return label_by_cuts(tx, [key], labels, col)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vigil.config import FeatureConfig, ROLES
 from vigil.operators import features as fe
-from vigil.operators.split import in_split, SPLITS, first_n, newest_window, split_summary, time_split
+from vigil.operators.split import in_split, SPLITS, first_n, newest_window, regime_cut, split_summary, time_split
 from vigil.plans.catalog import ORACLE, query
 from vigil.plans.feature_pipeline import build_features
 from vigil.plans.sqlparts import RISK, SPLIT, TX_EVENTS, TX_ORDERS, velocity_sql
@@ -99,6 +99,17 @@ def q_newest_window(spark, sf_dir):
     return newest_window(events_tx(spark, sf_dir), 0.5).select("transaction_id", "ts")
 
 
+@query("regime_cut", f"""
+WITH {TX_EVENTS},
+r AS (SELECT *, row_number() OVER (ORDER BY us, transaction_id) - 1 AS idx, count(*) OVER () AS n_all FROM tx)
+SELECT transaction_id, CASE WHEN idx < CAST(floor(n_all * 0.55::DOUBLE) AS BIGINT) THEN 'before' ELSE 'after' END
+       AS regime
+FROM r""")
+def q_regime_cut(spark, sf_dir):
+    """Before/after regimes at int(0.55 n) in time order."""
+    return regime_cut(events_tx(spark, sf_dir), 0.55).select("transaction_id", "regime")
+
+
 # ---------------------------------------------------------------- windows
 _NOSPLIT = "stx AS (SELECT *, 'all' AS split FROM tx)"
 
