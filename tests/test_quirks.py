@@ -139,3 +139,18 @@ def test_smote_invariants(spark):
             if ok:
                 break
         assert ok
+
+
+def test_smote_blocked_knn_equals_broadcast_knn(spark):
+    rng = np.random.default_rng(5)
+    n = 1500
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.normal(size=n), "c": rng.normal(size=n),
+                        "label": (rng.uniform(size=n) < 0.04).astype(np.int32)})
+    df = spark.createDataFrame(pdf)
+    a, ia = smote(df, ["a", "b", "c"], "label", seed=2)
+    b, ib = smote(df, ["a", "b", "c"], "label", seed=2, max_broadcast_rows=10, block_rows=16)
+    assert (ia["knn"], ib["knn"]) == ("broadcast", "blocked")
+    sa = a.where("synthetic = 1").toPandas().sort_values(["a", "b", "c"]).reset_index(drop=True)
+    sb = b.where("synthetic = 1").toPandas().sort_values(["a", "b", "c"]).reset_index(drop=True)
+    assert len(sa) == len(sb) == ia["generated"]
+    assert np.allclose(sa[["a", "b", "c"]].to_numpy(), sb[["a", "b", "c"]].to_numpy(), atol=1e-12)

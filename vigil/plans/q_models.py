@@ -114,3 +114,30 @@ def q_retrain_flow(spark, sf_dir):
     return spark.createDataFrame([row], "should_retrain boolean, severity string, action string, "
                                         "champion_value double, challenger_value double, gain double, "
                                         "promote boolean, challenger_rows long, challenger_sha256 string")
+
+
+def _tree_attributions(spark, sf_dir):
+    from vigil.operators.tree_explain import path_attributions
+    f = _features(spark, sf_dir)
+    fcols = CFG.feature_columns()
+    model = md.fit(md.class_weight_column(f.where(F.col("split") == "train")), fcols, "rf", "weight")
+    return path_attributions(model, f.where(F.col("split") == "test"), fcols, "transaction_id"), fcols
+
+
+@query("tree_importance")
+def q_tree_importance(spark, sf_dir):
+    """Mean |path attribution| per feature of the random forest over the
+    whole test split, top 15."""
+    from vigil.operators.explain import global_importance
+    phi, fcols = _tree_attributions(spark, sf_dir)
+    return global_importance(phi, fcols)
+
+
+@query("tree_explanations")
+def q_tree_explanations(spark, sf_dir):
+    """Per test row, the 8 features with the largest |path attribution|."""
+    from vigil.operators.explain import row_explanations
+    f = _features(spark, sf_dir)
+    phi, fcols = _tree_attributions(spark, sf_dir)
+    vals = f.where(F.col("split") == "test").select("transaction_id", *fcols)
+    return row_explanations(phi.join(vals, "transaction_id"), fcols, "transaction_id")
