@@ -38,12 +38,19 @@ def usable_features(reference: DataFrame, current: DataFrame, features) -> list[
     return [f for f in features if f in reference.columns and f in current.columns]
 
 
-def quantile_edges(reference: DataFrame, features, bins: int = PSI_BINS, exact: bool = True,
-                   accuracy: int = 100_000, edge_decimals: int | None = 9) -> dict[str, list[float]]:
-    """Inner edges (bins - 1 per feature) from one aggregate. ``exact``
-    uses ``percentile`` (holds distinct values per task); ``exact=False``
-    uses ``percentile_approx`` with bounded memory for very large columns.
-    Features with no values on the reference side are left out."""
+EXACT_MAX_ROWS = 10_000_000      # above this, edges use percentile_approx
+
+
+def quantile_edges(reference: DataFrame, features, bins: int = PSI_BINS, exact: bool | str = "auto",
+                   accuracy: int = 1_000_000, edge_decimals: int | None = 9) -> dict[str, list[float]]:
+    """Inner edges (bins - 1 per feature) from one aggregate.
+    ``percentile`` is exact but its final merge holds every distinct value
+    in one task; ``percentile_approx`` keeps a bounded sketch (rank error
+    at most n / accuracy). ``exact='auto'`` is exact up to EXACT_MAX_ROWS
+    reference rows. Features with no values on the reference side are left
+    out."""
+    if exact == "auto":
+        exact = reference.limit(EXACT_MAX_ROWS + 1).count() <= EXACT_MAX_ROWS
     probs = [i / bins for i in range(bins + 1)]
     aggs = []
     for i, f in enumerate(features):
@@ -109,7 +116,7 @@ def effective_bins(edges: dict[str, list[float]]) -> dict[str, int]:
 
 
 def drift_psi(reference: DataFrame, current: DataFrame, features, groups=(), bins: int = PSI_BINS,
-              exact: bool = True, edge_decimals: int | None = 9) -> tuple[DataFrame, dict]:
+              exact: bool | str = "auto", edge_decimals: int | None = 9) -> tuple[DataFrame, dict]:
     feats = usable_features(reference, current, features)
     edges = quantile_edges(reference, feats, bins, exact=exact, edge_decimals=edge_decimals)
     if not edges:
@@ -122,7 +129,7 @@ def drift_psi(reference: DataFrame, current: DataFrame, features, groups=(), bin
 
 def feature_drift_report(reference: DataFrame, current: DataFrame, features, groups=(),
                          moderate: float = PSI_MODERATE, significant: float = PSI_SIGNIFICANT,
-                         exact: bool = True) -> DataFrame:
+                         exact: bool | str = "auto") -> DataFrame:
     """(groups..., feature, psi rounded to 4, status from the unrounded
     psi, n_effective_bins). Order with ``order_report``."""
     psi, edges = drift_psi(reference, current, features, groups, exact=exact)
@@ -140,7 +147,7 @@ def order_report(report: DataFrame) -> DataFrame:
 
 
 def prediction_drift(reference: DataFrame, current: DataFrame, score: str = "score", groups=(),
-                     flag_threshold: float = FLAG_THRESHOLD, exact: bool = True) -> DataFrame:
+                     flag_threshold: float = FLAG_THRESHOLD, exact: bool | str = "auto") -> DataFrame:
     """Score PSI, mean scores and flagged rates (at 0.5 by default)."""
     groups = list(groups)
     if not groups:

@@ -15,7 +15,7 @@ Definitions (ties are one threshold, ``score >= t``):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.config import F1_TUNING_EPS, HIGH_RECALL_MIN_PRECISION
@@ -39,9 +39,12 @@ def curve(df: DataFrame, score: str = "score", label: str = "label", groups=())
     run = with_running_sums(counts, order, {"_cpos": F.col("pos"), "_cn": F.col("n")})
     gt = counts.groupBy(*groups).agg(F.sum("pos").alias("p_total"), F.sum("n").alias("_nt"))
     if groups:
-        prior = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
-        gt = (gt.withColumn("_pb", F.coalesce(F.sum("p_total").over(prior), F.lit(0)))
-                .withColumn("_nb", F.coalesce(F.sum("_nt").over(prior), F.lit(0))))
+        # rows before each group in the global order: an exclusive prefix
+        # over the group totals, itself range-partitioned (groups may be many)
+        gt = with_running_sums(gt, [F.col(g) for g in groups],
+                               {"_pb": F.col("p_total"), "_nb": F.col("_nt")}, inclusive=False)
+        gt = gt.withColumns({"p_total": F.col("p_total"), "_pb": F.coalesce("_pb", F.lit(0)),
+                             "_nb": F.coalesce("_nb", F.lit(0))})
         run = lookup_join(run, gt, groups, how="inner")
     else:
         tot = gt.first()
