@@ -7,7 +7,7 @@ from tests.conftest import SF_SMALL
 from vigil.plans import catalog as _c
 
 _c.load_all()
-SLOW = {"score_gbt", "train_flow", "score_rf"}   # covered by test_models with small settings
+SLOW = {"score_gbt", "train_flow", "score_rf", "tree_importance", "tree_explanations"}  # test_models covers them
 
 
 @pytest.fixture(scope="module")

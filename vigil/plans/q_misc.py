@@ -70,7 +70,8 @@ _CANON = "transaction_id, customer_id, merchant_id, merchant_category, device_id
 WITH {TX_EVENTS}, o AS (
   SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, CAST(NULL AS BIGINT) AS merchant_id,
          o_orderpriority AS merchant_category, o_orderstatus AS device_id, o_orderdate AS ts,
-         o_totalprice AS amount, CAST(NULL AS INTEGER) AS label FROM orders)
+         o_totalprice AS amount, CAST(NULL AS INTEGER) AS label FROM orders
+  WHERE o_totalprice IS NOT NULL AND NOT isnan(o_totalprice))
 SELECT 'events' AS regime, {_CANON} FROM tx
 UNION ALL SELECT 'orders', {_CANON} FROM o""")
 def q_union_regimes(spark, sf_dir):

@@ -16,6 +16,7 @@ tx AS (
          CAST(event_type = 'error' AND value > 60 AS INTEGER) AS label,
          epoch_us(ts) AS us
   FROM events
+  WHERE value IS NOT NULL AND NOT isnan(value)
 )"""
 
 TX_ORDERS = r"""
@@ -30,6 +31,7 @@ tx AS (
          CAST(NULL AS INTEGER) AS label,
          epoch_us(o_orderdate) AS us
   FROM orders
+  WHERE o_totalprice IS NOT NULL AND NOT isnan(o_totalprice)
 )"""
 
 # Chronological split with Python-float cut points.

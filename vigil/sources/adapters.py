@@ -63,9 +63,10 @@ def event_merchant_key() -> Column:
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """events -> canonical: merchant = props.k, category = k % 10,
-    device = 'DEV_' || (k div 5), label = error event with value > 60."""
+    device = 'DEV_' || (k div 5), label = error event with value > 60.
+    Rows without a usable amount are rejected."""
     k = event_merchant_key()
-    return to_transactions(events, {
+    return reject_null_amounts(to_transactions(events, {
         "transaction_id": "event_id",
         "customer_id": "user_id",
         "merchant_id": k,
@@ -74,19 +75,20 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
         "ts": "ts",
         "amount": "value",
         "label": ((F.col("event_type") == "error") & (F.col("value") > 60)).cast("int"),
-    })
+    }))
 
 
 def transactions_from_orders(orders: DataFrame) -> DataFrame:
-    """orders -> canonical: day-grained timestamps with real ties."""
-    return to_transactions(orders, {
+    """orders -> canonical: day-grained timestamps with real ties. Rows
+    without a usable amount are rejected."""
+    return reject_null_amounts(to_transactions(orders, {
         "transaction_id": "o_orderkey",
         "customer_id": "o_custkey",
         "merchant_category": "o_orderpriority",
         "device_id": "o_orderstatus",
         "ts": "o_orderdate",
         "amount": "o_totalprice",
-    })
+    }))
 
 
 def derive_timestamp(df: DataFrame, seconds_col: str | None = None, text_col: str | None = None,

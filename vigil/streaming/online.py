@@ -190,7 +190,11 @@ def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
     """Streaming features keyed by customer. ``dedup_within_watermark``
     (e.g. '1 hour') drops repeated transaction ids (T8; needs a watermark
     on ts, so it applies to streams carrying ``ts``). ``passthrough``
-    columns are copied from each input row to its output row."""
+    columns are copied from each input row to its output row. With
+    ``ttl_ms`` the operator runs in processing-time mode, which keeps
+    scheduling state-cleanup batches without data: run it with a
+    processing-time trigger, or disable no-data batches for a bounded
+    ``availableNow`` replay."""
     s = stream
     if dedup_within_watermark:
         # watermarks need a TIMESTAMP column; the session zone is UTC
