@@ -89,17 +89,6 @@ def with_running_sums(df: DataFrame, order_cols, sums: dict[str, Column],
     return out.drop(BLOCK, POS, "_n_before", *[f"_before_{k}" for k in sums])
 
 
-def lex_less(cols, values) -> Column:
-    """(c1, c2, ...) < (v1, v2, ...) lexicographically, as a pushdown-friendly
-    predicate on plain columns."""
-    cols = list(cols)
-    values = list(values)
-    c, v = F.col(cols[0]), F.lit(values[0])
-    if len(cols) == 1:
-        return c < v
-    return (c < v) | ((c == v) & lex_less(cols[1:], values[1:]))
-
-
 def keys_at(df: DataFrame, order_cols, indices, n_blocks: int | None = None) -> dict[int, tuple]:
     """The order-key tuples of the rows at the given 0-based global indices
     (only those few rows reach the driver)."""

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.config import RANDOM_STATE, ROLES, TRAIN_FRAC, VAL_FRAC
-from vigil.functions.columns import micros
 from vigil.operators.order import keys_at
 
 # Cut bounds are (ts, transaction_id) literals typed like the ts column, so
@@ -31,10 +30,6 @@ def _fraction(value, default, name):
     return float(value)
 
 
-def _with_us(df: DataFrame) -> DataFrame:
-    return df if "_us" in df.columns else df.withColumn("_us", micros(ROLES.ts))
-
-
 def split_cuts(n: int, train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC) -> tuple[int, int]:
     return int(n * train_frac), int(n * (train_frac + val_frac))
 
