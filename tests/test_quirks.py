@@ -154,3 +154,18 @@ def test_smote_blocked_knn_equals_broadcast_knn(spark):
     sb = b.where("synthetic = 1").toPandas().sort_values(["a", "b", "c"]).reset_index(drop=True)
     assert len(sa) == len(sb) == ia["generated"]
     assert np.allclose(sa[["a", "b", "c"]].to_numpy(), sb[["a", "b", "c"]].to_numpy(), atol=1e-12)
+
+
+@pytest.mark.parametrize("table", ["events", "orders"])
+def test_exact_selection_by_narrowing(spark, table):
+    """keys_at narrows with approximate quantiles and still returns the exact
+    row at each position, also inside runs of equal timestamps."""
+    from vigil.operators.select import keys_at
+    from vigil.plans.q_features import events_tx, orders_tx
+    tx = (events_tx if table == "events" else orders_tx)(spark, SF_SMALL)
+    pdf = tx.select("ts", "transaction_id").toPandas().sort_values(["ts", "transaction_id"]).reset_index(drop=True)
+    n = len(pdf)
+    idx = [0, 1, n // 3, int(n * 0.7), int(n * 0.85), n - 1]
+    got = keys_at(tx, ["ts", "transaction_id"], idx, max_candidates=20, accuracy=50)
+    for i in idx:
+        assert got[i] == (pdf.ts[i].to_pydatetime(), int(pdf.transaction_id[i]))

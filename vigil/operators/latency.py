@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.order import keys_at
+from vigil.operators.select import keys_at
 
 
 def percentile_index(p: float, n: int) -> int:

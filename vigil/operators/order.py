@@ -87,21 +87,3 @@ def with_running_sums(df: DataFrame, order_cols, sums: dict[str, Column],
         out = out.withColumn(
             k, F.col(f"_before_{k}") + F.coalesce(F.sum(k).over(inblock), F.lit(0)))
     return out.drop(BLOCK, POS, "_n_before", *[f"_before_{k}" for k in sums])
-
-
-def keys_at(df: DataFrame, order_cols, indices, n_blocks: int | None = None) -> dict[int, tuple]:
-    """The order-key tuples of the rows at the given 0-based global indices
-    (only those few rows reach the driver)."""
-    wanted = sorted({int(i) for i in indices if i is not None})
-    if not wanted:
-        return {}
-    cols = [c if isinstance(c, str) else None for c in order_cols]
-    if None in cols:
-        raise ValueError("keys_at takes column names")
-    blocked = range_blocks(df.select(*cols), cols, n_blocks)
-    offs = block_offsets(blocked)
-    rows = (blocked.join(F.broadcast(offs), BLOCK)
-                   .withColumn("_gidx", F.col("_n_before") + F.col(POS))
-                   .where(F.col("_gidx").isin(wanted))
-                   .select("_gidx", *cols).collect())
-    return {r["_gidx"]: tuple(r[c] for c in cols) for r in rows}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.config import RANDOM_STATE, ROLES, TRAIN_FRAC, VAL_FRAC
-from vigil.operators.order import keys_at
+from vigil.operators.select import keys_at
 
 # Cut bounds are (ts, transaction_id) literals typed like the ts column, so
 # split predicates reach the Parquet scan (row groups are skipped when the

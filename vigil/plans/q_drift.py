@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.columns import micros
 from vigil.operators import drift as dr
-from vigil.operators.order import keys_at
+from vigil.operators.select import keys_at
 from vigil.operators.split import in_split, time_split
 from vigil.plans.catalog import query
 from vigil.plans.q_metrics import SCORED, scored_events
