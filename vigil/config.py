@@ -43,6 +43,8 @@ RANDOM_STATE = 42
 STAGE_STAGING = "Staging"
 STAGE_PRODUCTION = "Production"
 STAGE_ARCHIVED = "Archived"
+EFFECT_UP = "increased fraud risk"        # per-row explanation wording
+EFFECT_DOWN = "decreased fraud risk"
 
 
 @dataclass(frozen=True)

@@ -103,8 +103,8 @@ def q_retrain_flow(spark, sf_dir):
     logistic regression keeps the flow fast."""
     tx = events_tx(spark, sf_dir)
     champion = train_flow(tx, kind="lr")
-    realized = champion.metrics.select(F.lit("fraud").alias("model"), "f1", "recall")
-    rec = retrain_flow(tx, champion, realized, None, model_key="fraud", force=True, kind="lr")
+    realized = champion.metrics.select(F.lit("risk_model").alias("model"), "f1", "recall")
+    rec = retrain_flow(tx, champion, realized, None, model_key="risk_model", force=True, kind="lr")
     g = rec["gate"]
     d = rec["decision"]
     fp = rec["challenger_fingerprint"]
