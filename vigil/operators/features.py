@@ -91,14 +91,19 @@ def fit_risk_maps(train: DataFrame, smoothing: float = TARGET_SMOOTHING,
                   label: str = ROLES.label) -> RiskMaps:
     """Smoothed merchant rate (mean*cnt + g*s)/(cnt + s); unsmoothed category
     mean. Grouped aggregates with map-side partial aggregation: a hot merchant
-    costs one partial row per task, not a skewed reducer."""
-    g = train.agg(F.avg(label).alias("g")).first()["g"]
-    g = float(g) if g is not None else 0.0
-    merchant = (train.groupBy(ROLES.merchant)
-                .agg(F.avg(label).alias("_m"), F.count(label).alias("_n"))
-                .select(ROLES.merchant,
-                        ((F.col("_m") * F.col("_n") + F.lit(g) * F.lit(smoothing))
-                         / (F.col("_n") + F.lit(smoothing))).alias("merchant_risk_score")))
+    costs one partial row per task, not a skewed reducer. The global rate g
+    comes from the (persisted) per-merchant sums, not another scan."""
+    from pyspark import StorageLevel
+    per_m = (train.groupBy(ROLES.merchant)
+             .agg(F.sum(label).alias("_s"), F.count(label).alias("_n"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    tot = per_m.agg(F.sum("_s").alias("s"), F.sum("_n").alias("n")).first()
+    g = float(tot["s"]) / tot["n"] if tot["n"] else 0.0
+    mean = F.col("_s") / F.col("_n")
+    merchant = per_m.select(
+        ROLES.merchant,
+        ((mean * F.col("_n") + F.lit(g) * F.lit(smoothing)) / (F.col("_n") + F.lit(smoothing)))
+        .alias("merchant_risk_score"))
     category = (train.groupBy(ROLES.category)
                 .agg(F.avg(label).alias("merchant_category_risk_score")))
     return RiskMaps(merchant, category, g)

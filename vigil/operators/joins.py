@@ -19,5 +19,9 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 
 def lookup_join(big: DataFrame, table: DataFrame, on, how: str = "left",
                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """The lookup table is usually an aggregate over a large input; it is
+    persisted first so the size check and the join read it once."""
+    from pyspark import StorageLevel
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
     side = F.broadcast(table) if is_small(table, max_rows) else table
     return big.join(side, on=on, how=how)
