@@ -26,24 +26,31 @@ from vigil.session import ensure_checkpoint_dir
 BLOCK = "_blk"
 POS = "_pos"
 _LOW_BITS = (1 << 33) - 1
-
-
-def _n_blocks(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+ROWS_PER_BLOCK = 2_000_000     # narrow rows per range block (one task's window input)
 
 
 def range_blocks(df: DataFrame, order_cols, n_blocks: int | None = None) -> DataFrame:
     """Checkpointed copy of ``df`` with block id and in-block position.
     ``order_cols`` must give a total order (end with a unique column) when
-    positions are used as ranks."""
-    ensure_checkpoint_dir(df.sparkSession)
-    n = _n_blocks(df, n_blocks)
-    tagged = (df.repartitionByRange(n, *order_cols)
+    positions are used as ranks. Without ``n_blocks`` the block count grows
+    with the input (at most ROWS_PER_BLOCK rows per block, at least the
+    shuffle partition count); the input is persisted so counting it and
+    range-partitioning it read it once."""
+    from pyspark import StorageLevel
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    cached = None
+    if not n_blocks:
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = cached.count()
+        n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_BLOCK), 1)
+        df = cached
+    tagged = (df.repartitionByRange(n_blocks, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_mid", F.monotonically_increasing_id()))
     tagged = tagged.checkpoint(eager=True)
+    if cached is not None:
+        cached.unpersist()
     return (tagged.withColumn(BLOCK, F.shiftright("_mid", 33).cast("int"))
                   .withColumn(POS, F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)))
                   .drop("_mid"))
