@@ -248,6 +248,26 @@ def q_apply_merchant_risk(spark, sf_dir):
                       F.round("merchant_category_risk_score", 6).alias("merchant_category_risk_score"))
 
 
+@query("merchant_risk_causal", f"""
+WITH {TX_EVENTS}, {SPLIT}, g AS (SELECT avg(label) AS gm FROM stx WHERE split = 'train')
+SELECT a.transaction_id,
+       round(((SELECT coalesce(sum(b.label), 0) FROM tx b WHERE b.merchant_id = a.merchant_id
+                 AND (b.us < a.us OR (b.us = a.us AND b.transaction_id < a.transaction_id)))
+              + (SELECT gm FROM g) * 20.0)
+             / ((SELECT count(b.label) FROM tx b WHERE b.merchant_id = a.merchant_id
+                 AND (b.us < a.us OR (b.us = a.us AND b.transaction_id < a.transaction_id))) + 20.0), 6)
+         AS merchant_risk_score
+FROM tx a""")
+def q_merchant_risk_causal(spark, sf_dir):
+    """Causal merchant encoding: each row sees only earlier labels of its
+    merchant, smoothed toward the train split's rate."""
+    tx = events_tx(spark, sf_dir)
+    st, info = time_split(tx)
+    g = fe.fit_risk_maps(st.where(in_split(st, info, "train"))).global_mean
+    out = fe.causal_merchant_risk(tx, g)
+    return out.select("transaction_id", F.round("merchant_risk_score", 6).alias("merchant_risk_score"))
+
+
 _FM_WINDOWS = (10, 60, 1440)
 
 
