@@ -23,7 +23,7 @@ from vigil.config import ROLES
 from vigil.operators import drift as dr
 from vigil.session import shared_dir
 from vigil.sources.history import append_history
-from vigil.streaming.online import stage_chunks
+from vigil.streaming.online import stage_chunks, state_partitions
 
 
 def delayed_label_join(scores: DataFrame, labels: DataFrame, max_delay: str = "7 days",
@@ -48,10 +48,11 @@ def replay_label_join(spark: SparkSession, scores: DataFrame, labels: DataFrame,
     stage_chunks(labels, label_chunk, f"{base}/labels")
     s = spark.readStream.schema(scores.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/scores")
     lab = spark.readStream.schema(labels.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/labels")
-    q = (delayed_label_join(s, lab, max_delay, watermark).writeStream.format("parquet")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    with state_partitions(spark):
+        q = (delayed_label_join(s, lab, max_delay, watermark).writeStream.format("parquet")
+             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 

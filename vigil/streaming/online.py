@@ -234,6 +234,25 @@ def enable_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+class state_partitions:
+    """Context manager: stateful queries started inside it get one state
+    partition per default-parallelism slot (the count is fixed at a query's
+    first start and stored in its checkpoint)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        self.prev = self.spark.conf.get("spark.sql.shuffle.partitions")
+        n = max(1, self.spark.sparkContext.defaultParallelism)
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.prev)
+        return False
+
+
 def stage_chunks(df: DataFrame, chunk: F.Column, folder: str, drop=()) -> None:
     """Write ``df`` as one file per chunk value in ascending chunk order, so a
     file source reads them in that order (one per micro-batch)."""
@@ -262,7 +281,8 @@ def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=
     feats = online_features(stream, windows_minutes, initial_state=initial_state, passthrough=passthrough)
     if model is not None:
         feats = score_stream(feats, maps, model, threshold)
-    q = (feats.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    with state_partitions(spark):
+        q = (feats.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.parquet(out)
