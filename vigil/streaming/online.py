@@ -88,7 +88,10 @@ class OnlineFeatures(StatefulProcessor):
         new_rows = [(int(a), float(b), int(c)) for a, b, c in zip(us, amt, ids) if a > cutoff]
         if len(e_us) and e_us.min() <= cutoff:
             kept = [(int(a), float(b), int(c)) for a, b, c in zip(*self._events_cache) if a > cutoff]
-            self.events.put(kept + new_rows)
+            if kept or new_rows:
+                self.events.put(kept + new_rows)
+            else:
+                self.events.clear()   # a list state cannot hold an empty list
         elif new_rows:
             self.events.appendList(new_rows)
         for d in dict.fromkeys(devs):
@@ -99,7 +102,10 @@ class OnlineFeatures(StatefulProcessor):
 
     # -- the operator --------------------------------------------------
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
+        yield self._process(key, pd.concat(list(rows), ignore_index=True))
+
+    def _process(self, key, pdf: pd.DataFrame) -> pd.DataFrame:
+        """Features for ``pdf`` (one key's rows) from state, then commit."""
         pdf = pdf.sort_values([TS_US, ROLES.transaction_id], kind="mergesort").reset_index(drop=True)
         t = pdf[TS_US].to_numpy(np.int64)
         a = pdf[ROLES.amount].to_numpy(np.float64)
@@ -156,7 +162,7 @@ class OnlineFeatures(StatefulProcessor):
         res = pd.DataFrame(out)
         if "emit" in pdf:  # ingest-only rows (S9) update state but emit nothing
             res = res[pdf["emit"].fillna(True).to_numpy(bool)]
-        yield res
+        return res
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Warm-up with past transactions, committed in time order."""
@@ -172,6 +178,46 @@ class OnlineFeatures(StatefulProcessor):
         pass
 
 
+class EventTimeOrderedFeatures(OnlineFeatures):
+    """Option ``event_time_order``: rows wait in a buffer until the
+    watermark passes them and are then released in (ts, id) order, so any
+    arrival order within the watermark delay gives the batch features. An
+    event-time timer per key fires when the watermark passes the newest
+    buffered row; rows at or before the watermark are processed, the rest
+    stay buffered."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.pending = handle.getListState(
+            "pending", f"{ROLES.transaction_id} long, {TS_US} long, {ROLES.amount} double, "
+                       f"{ROLES.device} string, ingest boolean", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        cols = [ROLES.transaction_id, TS_US, ROLES.amount, ROLES.device, "ingest"]
+        self.pending.appendList([(int(a), int(b), float(c), d, bool(e)) for a, b, c, d, e in
+                                 pdf[cols].itertuples(index=False, name=None)])
+        self.handle.registerTimer(int(pdf[TS_US].max() // 1000) + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = list(self.pending.get()) if self.pending.exists() else []
+        cols = [ROLES.transaction_id, TS_US, ROLES.amount, ROLES.device, "ingest"]
+        buf = pd.DataFrame(rows, columns=cols)
+        ready = buf[buf[TS_US] < wm_us]
+        rest = buf[buf[TS_US] >= wm_us]
+        if len(rest):
+            self.pending.put([tuple(r) for r in rest.itertuples(index=False, name=None)])
+        else:
+            self.pending.clear()
+        if len(rest):
+            self.handle.registerTimer(int(rest[TS_US].max() // 1000) + 1)
+        if len(ready):
+            yield self._process(key, ready.reset_index(drop=True))
+
+
 def prepare(tx: DataFrame, keep=()) -> DataFrame:
     """Canonical transactions -> operator input columns (plus ``keep``:
     pass-through columns and the optional ``emit`` flag)."""
@@ -186,7 +232,8 @@ def prepare(tx: DataFrame, keep=()) -> DataFrame:
 
 def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
                     initial_state: DataFrame | None = None, ttl_ms: int | None = None,
-                    dedup_within_watermark: str | None = None, passthrough=()) -> DataFrame:
+                    dedup_within_watermark: str | None = None, passthrough=(),
+                    event_time_order: str | None = None) -> DataFrame:
     """Streaming features keyed by customer. ``dedup_within_watermark``
     (e.g. '1 hour') drops repeated transaction ids (T8; needs a watermark
     on ts, so it applies to streams carrying ``ts``). ``passthrough``
@@ -194,7 +241,9 @@ def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
     ``ttl_ms`` the operator runs in processing-time mode, which keeps
     scheduling state-cleanup batches without data: run it with a
     processing-time trigger, or disable no-data batches for a bounded
-    ``availableNow`` replay."""
+    ``availableNow`` replay. ``event_time_order`` (a watermark delay such
+    as '3 days') releases rows in event-time order once the watermark passes
+    them (the stream must carry ``ts``; no pass-through columns)."""
     s = stream
     if dedup_within_watermark:
         # watermarks need a TIMESTAMP column; the session zone is UTC
@@ -209,6 +258,12 @@ def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
     init = None
     if initial_state is not None:
         init = prepare(initial_state).groupBy(ROLES.customer)
+    if event_time_order:
+        s = s.withColumn("ets", F.timestamp_micros(F.col(TS_US))).withWatermark("ets", event_time_order)
+        return s.groupBy(ROLES.customer).transformWithStateInPandas(
+            statefulProcessor=EventTimeOrderedFeatures(windows_minutes, ttl_ms),
+            outputStructType=output_schema(windows_minutes), outputMode="Append",
+            timeMode="EventTime", initialState=init)
     time_mode = "ProcessingTime" if ttl_ms else "None"
     return s.groupBy(ROLES.customer).transformWithStateInPandas(
         statefulProcessor=OnlineFeatures(windows_minutes, ttl_ms, passthrough),
@@ -265,7 +320,7 @@ def stage_chunks(df: DataFrame, chunk: F.Column, folder: str, drop=()) -> None:
 
 def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=DEFAULT_WINDOWS_MINUTES,
            name: str = "replay", initial_state: DataFrame | None = None, passthrough=(),
-           model=None, maps=None, threshold: float = 0.5) -> DataFrame:
+           model=None, maps=None, threshold: float = 0.5, event_time_order: str | None = None) -> DataFrame:
     """Test/benchmark harness: write ``tx`` as one file per chunk value in
     ascending chunk order (so the file source sees them in that order), run
     the streaming features over them one file per micro-batch, and return
@@ -278,7 +333,8 @@ def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=
     stage_chunks(prepare(tx.withColumn("_c", chunk), keep=keep + ["_c"]), F.col("_c"), src, drop=["_c"])
     schema = spark.read.parquet(src).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    feats = online_features(stream, windows_minutes, initial_state=initial_state, passthrough=passthrough)
+    feats = online_features(stream, windows_minutes, initial_state=initial_state, passthrough=passthrough,
+                            event_time_order=event_time_order)
     if model is not None:
         feats = score_stream(feats, maps, model, threshold)
     with state_partitions(spark):
