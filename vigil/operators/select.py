@@ -74,11 +74,57 @@ def _rank_in(df: DataFrame, p: Column, s: Column | None, rank: int, n: int,
             max_candidates = max(max_candidates, n)   # cannot narrow further: read the bracket
 
 
+def _narrow_all(df: DataFrame, p: Column, ranks: list[int], n: int, max_candidates: int, accuracy: int):
+    """Brackets [lo, hi] on p (None = unbounded) with the rows below them,
+    narrowed for all ranks together: one percentile aggregate and one count
+    aggregate per round."""
+    state = {r: {"lo": None, "hi": None, "base": 0, "m": n, "margin": 2.0 / accuracy} for r in ranks}
+
+    def inside(st):
+        if st["lo"] is None:
+            return F.lit(True)
+        return (p >= F.lit(st["lo"])) & (p <= F.lit(st["hi"]))
+
+    for _ in range(64):
+        active = [r for r, st in state.items() if st["m"] > max_candidates and not st.get("tie")]
+        if not active:
+            break
+        aggs = []
+        for i, r in enumerate(active):
+            st = state[r]
+            f = (r - st["base"] + 0.5) / st["m"]
+            x = F.when(inside(st), p)
+            aggs.append(F.percentile_approx(x, F.array(F.lit(max(0.0, f - st["margin"])),
+                                                       F.lit(min(1.0, f + st["margin"]))), accuracy).alias(f"q{i}"))
+        qrow = df.agg(*aggs).first()
+        cnts = []
+        for i, r in enumerate(active):
+            qlo, qhi = qrow[f"q{i}"]
+            state[r]["q"] = (qlo, qhi)
+            cnts += [F.count_if(inside(state[r]) & (p < F.lit(qlo))).alias(f"b{i}"),
+                     F.count_if(inside(state[r]) & (p <= F.lit(qhi))).alias(f"u{i}")]
+        crow = df.agg(*cnts).first()
+        for i, r in enumerate(active):
+            st = state[r]
+            qlo, qhi = st["q"]
+            below, upto = crow[f"b{i}"], crow[f"u{i}"]
+            if below <= r - st["base"] < upto and upto - below < st["m"]:
+                st.update(lo=qlo, hi=qhi, base=st["base"] + below, m=upto - below, margin=2.0 / accuracy)
+                if qlo == qhi:
+                    st["tie"] = True          # a run of equal values holds the rank
+            else:
+                st["margin"] *= 4             # the sketch missed: widen and retry
+                if st["margin"] >= 1.0:       # cannot narrow: read the whole bracket
+                    st["m"] = min(st["m"], max_candidates)
+    return state
+
+
 def keys_at(df: DataFrame, order_cols, indices, max_candidates: int = MAX_CANDIDATES,
             accuracy: int = ACCURACY) -> dict[int, tuple]:
     """Key tuples (in the columns' own types) of the rows at the given
     positions of the order (1 or 2 columns, the last one unique when ranks
-    must identify single rows)."""
+    must identify single rows). All positions are narrowed together; the
+    final candidate slices are read in one query."""
     wanted = sorted({int(i) for i in indices if i is not None})
     if not wanted:
         return {}
@@ -89,15 +135,35 @@ def keys_at(df: DataFrame, order_cols, indices, max_candidates: int = MAX_CANDID
     s, s_is_ts = _numeric(df, cols[1]) if len(cols) == 2 else (None, False)
     base = df.select(*cols)
     n = base.count()
+    ranks = [i for i in wanted if 0 <= i < n]
+    state = _narrow_all(base, p, ranks, n, max_candidates, accuracy)
     out = {}
-    for i in wanted:
-        if not 0 <= i < n:
+    small = [r for r in ranks if not state[r].get("tie")]
+    if small:
+        cond = None
+        for r in small:
+            st = state[r]
+            c = F.lit(True) if st["lo"] is None else (p >= F.lit(st["lo"])) & (p <= F.lit(st["hi"]))
+            cond = c if cond is None else cond | c
+        sel = [p.alias("p")] + ([s.alias("s")] if s is not None else [])
+        rows = sorted((tuple(x) for x in base.where(cond).select(*sel).collect()),
+                      key=lambda t: tuple((v is None, v) for v in t))
+        for r in small:
+            st = state[r]
+            inb = [t for t in rows if st["lo"] is None or st["lo"] <= t[0] <= st["hi"]]
+            out[r] = inb[r - st["base"]]
+    for r in ranks:
+        st = state[r]
+        if not st.get("tie"):
             continue
-        r = _rank_in(base, p, s, i, n, max_candidates, accuracy)
-        vals = list(r)
-        conv = [p_is_ts, s_is_ts][:len(vals)]
-        out[i] = tuple(_from_micros(v) if ts else v for v, ts in zip(vals, conv))
-    return out
+        if s is None:
+            out[r] = (st["lo"],)
+        else:
+            ties = base.where(p == F.lit(st["lo"]))
+            sec = _rank_in(ties, s, None, r - st["base"], st["m"], max_candidates, accuracy)
+            out[r] = (st["lo"], sec[0])
+    conv = [p_is_ts, s_is_ts]
+    return {r: tuple(_from_micros(v) if ts else v for v, ts in zip(vals, conv)) for r, vals in out.items()}
 
 
 def _from_micros(us: int):
