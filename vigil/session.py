@@ -20,6 +20,9 @@ DEFAULT_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # commit only the changes of each micro-batch, not a full state snapshot
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # range blocks checkpoint to the shared folder; remove those files once
+    # the DataFrames that own them are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
