@@ -15,6 +15,7 @@ from vigil.plans.feature_pipeline import build_features
 from vigil.plans.q_features import events_tx
 from vigil.plans.sqlparts import SPLIT, TX_EVENTS
 from vigil.plans.training import train_flow, retrain_flow
+from vigil.sources.tables import read_table
 
 CFG = FeatureConfig()
 
@@ -141,3 +142,23 @@ def q_tree_explanations(spark, sf_dir):
     phi, fcols = _tree_attributions(spark, sf_dir)
     vals = f.where(F.col("split") == "test").select("transaction_id", *fcols)
     return row_explanations(phi.join(vals, "transaction_id"), fcols, "transaction_id")
+
+
+@query("embedding_classifier")
+def q_embedding_classifier(spark, sf_dir):
+    """Weighted logistic regression on the embedding vectors (label 0 is the
+    positive class): first 70% of ids train, the rest test; exact ranking
+    metrics and P/R/F1 at 0.5 on the test rows."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from vigil.operators import ranking as rk
+    from vigil.operators.select import keys_at
+    emb = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", array_to_vector("embedding").alias("features"), (F.col("label") == 0).cast("int").alias("label"))
+    n = emb.count()
+    cut = keys_at(emb, ["vec_id"], [int(n * 0.7)])[int(n * 0.7)][0]
+    train = md.class_weight_column(emb.where(F.col("vec_id") < cut))
+    total = train.agg(F.sum("weight")).first()[0]
+    model = md.build_estimator("lr", "weight", total).fit(train)
+    test = model.transform(emb.where(F.col("vec_id") >= cut)).withColumn(
+        "score", vector_to_array("probability")[1])
+    return rk.evaluate(test, "score", "label", 0.5)
