@@ -27,3 +27,26 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of at most 2048 tokens."""
+    from vigil.llm.packing import pack, pieces
+    out = pack(pieces(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+#: both texts of the made-up conversation -1 hold control strings
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in budgeted windows, and what can be read back."""
+    from vigil.llm.chat import digests, format_windows
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], turns.schema)
+    return digests(format_windows(turns.unionByName(made)))
+
+
