@@ -50,3 +50,14 @@ def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_windows(turns.unionByName(made)))
 
 
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    from vigil.llm.language import learn, predict
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out")
+    profiles = learn(docs.where(~held)).collect()
+    out = predict(docs.select("doc_id", held, "text"), [tuple(r) for r in profiles])
+    return out.select("doc_id", "held_out", "lang_pred", "score")
