@@ -61,3 +61,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = learn(docs.where(~held)).collect()
     out = predict(docs.select("doc_id", held, "text"), [tuple(r) for r in profiles])
     return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    from vigil.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
