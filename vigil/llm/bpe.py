@@ -172,11 +172,10 @@ def _replay(table: MergeTable, words: list[bytes]) -> tuple[np.ndarray, np.ndarr
         add(np.flatnonzero(rank_at >= 0))
     odd = []  # words where a merge made a pair of lower rank than its own
     while queue:
-        band = queue[0]
+        band = heapq.heappop(queue)
         here = np.concatenate(index.pop(band))
         here = here[rank_at[here] >> BAND_BITS == band]
         if not len(here):
-            heapq.heappop(queue)
             continue
         here = _distinct(here)
         # each word's lowest rank first; words do not touch each other
@@ -187,6 +186,7 @@ def _replay(table: MergeTable, words: list[bytes]) -> tuple[np.ndarray, np.ndarr
         later, i = here[~first], here[first]
         if len(later):
             index[band] = [later]
+            heapq.heappush(queue, band)
         # of pairs that overlap (x x x) every other one joins, from the left
         chain = np.append(False, i[1:] == nxt[i[:-1]])
         if chain.any():
@@ -214,9 +214,6 @@ def _replay(table: MergeTable, words: list[bytes]) -> tuple[np.ndarray, np.ndarr
         touched = touched[rank_at[touched] >= 0]
         if len(touched):
             add(touched)
-        if band not in index:
-            queue.remove(band)
-            heapq.heapify(queue)
     if odd:
         begins = ends - lengths
         for w in np.unique(np.concatenate(odd)).tolist():
