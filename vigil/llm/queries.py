@@ -68,3 +68,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     from vigil.llm.simhash import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector."""
+    from vigil.llm.neighbors import nearest
+    return nearest(table(spark, sf_dir, "embeddings"))
