@@ -75,3 +75,10 @@ def op10_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest found of every twentieth vector."""
     from vigil.llm.neighbors import nearest
     return nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses whose notices the documents contain."""
+    from vigil.llm.licenses import scan
+    return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
