@@ -82,3 +82,15 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses whose notices the documents contain."""
     from vigil.llm.licenses import scan
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the fixed patterns, and all spans."""
+    from vigil.llm.secrets import BASE, labels, scan
+    out = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda k: F.filter("spans", lambda s: s["kind"] == k)
+    base = F.filter("spans", lambda s: s["kind"] < len(BASE))
+    return out.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{b[0]}") for k, b in enumerate(BASE)],
+        F.sha2(labels(base), 256).alias("base_sha256"), labels(F.col("spans")).alias("spans"))
