@@ -94,3 +94,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{b[0]}") for k, b in enumerate(BASE)],
         F.sha2(labels(base), 256).alias("base_sha256"), labels(F.col("spans")).alias("spans"))
+
+
+@query
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of every document and of its edited text."""
+    from vigil.llm.order_minhash import edit_report
+    return edit_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
