@@ -101,3 +101,11 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order MinHash of every document and of its edited text."""
     from vigil.llm.order_minhash import edit_report
     return edit_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated 400-byte strings."""
+    from vigil.llm.suffix_repeats import remove_repeats
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
