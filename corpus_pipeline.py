@@ -1,15 +1,77 @@
-"""Corpus pipeline; stages follow as their operators land."""
+"""Corpus pipeline: language identification, near-duplicate removal, repeated
+passages, secrets, packing. Every stage takes (spark, docs, sf_dir) and returns
+a DataFrame that is written and read again as the next one's docs; all but the
+last return the columns of documents.
+
+Null texts: the first stage rejects documents without a letter, so they and
+empty texts go there. Repeated rows of a document are one near-duplicate group.
+Empty tables give empty tables. Columns beyond those of documents pass through
+all stages but the last.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vigil.llm import language, packing, secrets, simhash, suffix_repeats
+from vigil.llm.common import written
+
+#: rows with secrets whose spans may be broadcast
+BROADCAST_ROWS = 50_000
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a language: those without a letter are rejected. Profiles
+    are learned from all rows with a language; where none has one, there is no
+    profile to compare with and every text with a letter stays."""
+    profiles = [tuple(r) for r in language.learn(docs).collect()]
+    if not profiles:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    known = language.predict(docs.withColumn("_text", F.col("text")), profiles, "_text",
+                             pred_col="_lang_pred", score_col="_score")
+    return known.where(F.col("_lang_pred") != language.UNKNOWN).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the smallest doc_id."""
+    return simhash.deduplicate(docs).select(*docs.columns)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 400-byte strings that also stand elsewhere; a
+    character that a cut breaks goes too. n_chars follows the text."""
+    rest = docs.columns
+    cut = suffix_repeats.remove_repeats(docs.withColumn("_text", F.col("text")).drop("n_chars", "text"), text_col="_text",
+                                        kept_col="text", as_text=True)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*rest)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with each secret replaced by a mark. n_chars follows the text."""
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    found = written(secrets.scan(keyed.select("_key", "text")).where(F.size("spans") > 0).dropDuplicates(["_key"])
+                    .withColumnRenamed("spans", "_spans"), "secret-spans")
+    if found.count() <= BROADCAST_ROWS:
+        found = F.broadcast(found)
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(secrets.redact(F.col("text"), F.col("_spans")))
+    return (keyed.join(found, "_key", "left").withColumn("text", text)
+            .withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all texts in sequences of at most 2048 tokens."""
+    return packing.pack(packing.pieces(docs.select("doc_id", "text")))
+
 
-STAGES: list = []
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("repeats", repeats),
+          ("secret_scan", secret_scan), ("packing", pack)]
+#: the stages are learned, hashed or tokenized, which SQL cannot express
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

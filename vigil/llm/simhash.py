@@ -121,20 +121,38 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, long_posting: int =
     return pairs.unionByName(stars).distinct()
 
 
+def _named(prints: DataFrame, id_col: str, max_bits: int) -> DataFrame:
+    """Distinct fingerprints fp with the root of their component and their
+    least id. ``prints``: id and fp."""
+    classes = written(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "classes")
+    found = components(near_links(classes, max_bits), "simhash-links")
+    return classes.join(found.withColumnRenamed("id", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("component", "fp")).select("fp", "root", "least")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``df``: id, ``fingerprint`` (16 hex digits),
     ``component_id``: the smallest id reachable over links of ``max_bits``
     bits. Rows without a word have fingerprint zero and are linked as any
     other. Repeated rows stay; a null id takes part, but names no component
-    unless all its component's ids are null."""
+    unless all its component's ids are null. Other columns are not kept."""
     prints = written(fingerprints(df.select(id_col, text_col), text_col, "fp", words), "prints")
-    classes = written(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "classes")
-    found = components(near_links(classes), "simhash-links")
-    # the least id of a component, from the least of each of its fingerprints
-    named = classes.join(found.withColumnRenamed("id", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("component", "fp"))
+    named = written(_named(prints, id_col, max_bits), "roots")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = named.join(least, "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
+                max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``df`` of which one of each component stays: that with the
+    smallest id (null ids last, then the smallest fingerprint)."""
+    prints = written(fingerprints(df.select(id_col, text_col), text_col, "fp", words), "prints")
+    named = _named(prints, id_col, max_bits)
+    stays = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), F.col("least"), F.col("fp"))).alias("s"))
+    marked = fingerprints(df, text_col, "_fp", words, keep_text=True)
+    on = marked["_fp"].eqNullSafe(F.col("_stay")) & marked[id_col].eqNullSafe(F.col("_id"))
+    one = marked.join(stays.select(F.col("s.least").alias("_id"), F.col("s.fp").alias("_stay")), on, "left_semi")
+    return one.dropDuplicates([id_col, "_fp"]).drop("_fp")

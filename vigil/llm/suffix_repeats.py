@@ -253,11 +253,12 @@ def _repeats_within(found: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   anchor: int = ANCHOR, run: int = RUN, kept_col: str = "kept") -> DataFrame:
+                   anchor: int = ANCHOR, run: int = RUN, kept_col: str = "kept", as_text: bool = False) -> DataFrame:
     """The other columns of ``df`` with ``n_bytes``, ``n_removed``, ``n_spans``
     (maximal removed runs) and ``kept``: the bytes of each whole text that no
     repeated string of ``length`` bytes covers, as binary (a cut may fall
-    inside a character).
+    inside a character); with ``as_text`` a string without such broken
+    characters.
 
     Strings are judged on the input; each place counts, so all copies go, and
     an equal row is another place. Null texts are empty; texts shorter than
@@ -272,7 +273,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     per_row = spans.groupBy("_row").agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
     joined = base.join(per_row, "_row", "left").select(*kept, "_spans", "_text")
     out = schema_of(df.select(*kept), *[T.StructField(n, T.LongType(), False) for n in names],
-                    T.StructField(kept_col, T.BinaryType(), False))
+                    T.StructField(kept_col, T.StringType() if as_text else T.BinaryType(), False))
 
     def apply(batches):
         for batch in batches:
@@ -292,9 +293,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     at = end_before = max(at, s[1])
                 parts.append(data[at:])
                 sizes.append((len(data), removed, runs))
-                left.append(b"".join(parts))
+                rest = b"".join(parts)
+                left.append(rest.decode("utf-8", "ignore") if as_text else rest)
             cols = list(zip(*sizes)) if sizes else [(), (), ()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *[pa.array(c, pa.int64()) for c in cols],
-                                              pa.array(left, pa.binary())], names=out.names)
+                                              pa.array(left, pa.string() if as_text else pa.binary())], names=out.names)
 
     return joined.mapInArrow(apply, out)
