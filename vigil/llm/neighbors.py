@@ -103,9 +103,9 @@ def classes(df: DataFrame, id_col: str, vector_col: str, keep: int, every: int)
             .where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))
                    & F.coalesce(F.exists("vector", lambda x: x != 0), F.lit(False))))
     part = (rows.groupBy("vector", F.pmod(F.xxhash64("id"), F.lit(64)).alias("_part"))
-            .agg(F.slice(F.array_sort(F.collect_set("id")), 1, keep).alias("ids"), F.max((F.col("id") % every == 0)).alias("asks")))
+            .agg(F.slice(F.sort_array(F.collect_set("id")), 1, keep).alias("ids"), F.max((F.col("id") % every == 0)).alias("asks")))
     return (part.groupBy("vector").agg(
-        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids"),
+        F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, keep).alias("ids"),
         F.max("asks").alias("asks"))
         .select(F.col("ids")[0].alias("class_id"), "vector", "ids", "asks"))
 
@@ -186,25 +186,31 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     def score(rows: pa.Table, queries: pa.Table) -> pa.Table:
         x, q = _matrix(rows.column("vector")), _matrix(queries.column("vector"))
         ids = rows.column("class_id").to_numpy()
-        best = []
-        for i in range(0, len(q), 256):
-            s = q[i:i + 256] @ x.T if len(x) else np.empty((len(q[i:i + 256]), 0))
-            # a few more than asked for: equal scores are settled by id below
-            m = min(len(x), take + 8)
-            top = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < s.shape[1] else np.tile(np.arange(s.shape[1]), (len(s), 1))
-            for a, at in enumerate(top):
-                # the exact score, summed in one order wherever the pair meets
-                exact = (x[at] * q[i + a]).sum(axis=1)
-                order = np.lexsort((ids[at], -exact))[:take]
-                best.append([{"far": -f, "class_id": c} for f, c in zip(exact[order].tolist(), ids[at][order].tolist())])
-        return pa.table({"asker": queries.column("class_id"), "best": pa.array(
-            best, pa.list_(pa.struct([("far", pa.float64()), ("class_id", pa.int64())])))})
+        # a few more than asked for: scores that are equal but for rounding are settled below
+        m = min(len(x), take + 8) if len(q) else 0
+        far, who = [], []
+        for i in range(0, len(q) if m else 0, 256):
+            part = q[i:i + 256]
+            s = part @ x.T
+            top = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < len(x) else np.tile(np.arange(m), (len(s), 1))
+            # the exact score, summed in one order wherever the pair meets
+            exact = (x[top] * part[:, None, :]).sum(axis=2)
+            order = np.lexsort((ids[top], -exact), axis=1)[:, :take]
+            far.append(-np.take_along_axis(exact, order, 1).reshape(-1))
+            who.append(ids[np.take_along_axis(top, order, 1)].reshape(-1))
+        best = pa.StructArray.from_arrays([pa.array(np.concatenate(far) if far else np.empty(0)),
+                                           pa.array(np.concatenate(who) if who else np.empty(0, np.int64))], ["far", "class_id"])
+        offs = pa.array(np.arange(len(q) + 1, dtype=np.int32) * min(m, take))
+        return pa.table({"asker": queries.column("class_id"), "best": pa.ListArray.from_arrays(offs, best)})
 
     cells = here.cogroup(there).applyInArrow(score, best_type)
-    ranked = cells.groupBy("asker").agg(F.slice(F.array_distinct(F.array_sort(F.flatten(F.collect_list("best")))), 1, take).alias("best"))
+    # sorted, a class found through several trees stands beside itself
+    merged = cells.groupBy("asker").agg(F.sort_array(F.flatten(F.collect_list("best"))).alias("all"))
+    fresh = F.filter("all", lambda b, i: (i == 0) | (F.get(F.col("all"), i - 1)["class_id"] != b["class_id"]))
+    ranked = merged.select("asker", F.slice(fresh, 1, take).alias("best"))
     # classes back to ids: each has its k + 1 smallest
     pairs = (ranked.select("asker", F.inline("best")).join(found.select("class_id", "ids"), "class_id")
-             .groupBy("asker").agg(F.slice(F.array_sort(F.flatten(F.collect_list(F.transform(
+             .groupBy("asker").agg(F.slice(F.sort_array(F.flatten(F.collect_list(F.transform(
                  "ids", lambda x: F.struct("far", x.alias("id")))))), 1, take).alias("best")))
     vectors = found.where("asks").select(F.col("class_id").alias("asker"), "vector")
     askers = (df.select(F.col(id_col).cast("long").alias("query_id"), F.col(vector_col).cast("array<double>").alias("vector"))
