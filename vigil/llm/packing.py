@@ -172,7 +172,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_P
     out = schema_of(found, T.StructField("sequence_id", T.LongType(), False),
                     T.StructField("offset", T.LongType(), False))
 
-    def place(shard, rows: pd.DataFrame) -> pd.DataFrame:
+    def place(shard: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.drop(columns="_shard").sort_values("length", ascending=False, kind="stable", ignore_index=True)
         seq, rows["offset"] = assign(rows["length"].to_numpy(np.int64), capacity)
         rows["sequence_id"] = (int(shard[0]) << 32) + seq
