@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 from vigil.operators import drift as dr
 from vigil.operators import ranking as rk
 from vigil.operators.fingerprint import fingerprint
-from vigil.operators.latency import latency_summary, percentile_index
+from vigil.operators.latency import latency_summary
 from vigil.operators.order import with_global_index, with_running_sums
 from vigil.operators.smote import smote
 from vigil.operators.split import split_cuts
@@ -86,15 +86,22 @@ def test_global_index_and_running_sums(spark):
     assert np.allclose(got, np.cumsum(exp["value"].to_numpy()))
 
 
-def test_fingerprint_matches_hashlib_and_is_order_free(spark):
+@pytest.mark.parametrize("kind", ["string", "long"])
+def test_fingerprint_matches_hashlib_and_is_order_free(spark, kind):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select(
-        F.col("event_id").alias("transaction_id"), "ts")
-    keys = sorted(str(r[0]) for r in ev.select("transaction_id").collect())
-    exact = hashlib.sha256("\n".join(keys).encode()).hexdigest()
-    assert fingerprint(ev).first()["content_sha256"] == exact
-    a = fingerprint(ev, rows_per_bucket=100).first()["content_sha256"]
-    b = fingerprint(ev.orderBy(F.rand(3)).repartition(7), rows_per_bucket=100).first()["content_sha256"]
-    assert a == b and a != exact
+        F.concat(F.lit("TXN_" if kind == "string" else ""), F.col("event_id")).cast(kind).alias("transaction_id"), "ts")
+    sha = lambda parts: hashlib.sha256("\n".join(parts).encode()).hexdigest()
+    levels = {}
+    for (key,) in ev.select(F.col("transaction_id").cast("string")).collect():
+        levels.setdefault(hashlib.md5(key.encode()).hexdigest()[:5], []).append(key)
+    groups = {}
+    for bucket in sorted(levels):
+        groups.setdefault(bucket[:2], []).append(sha(sorted(levels[bucket])))
+    want = sha([sha(groups[g]) for g in sorted(groups)])
+    assert fingerprint(ev).first()["content_sha256"] == want
+    assert fingerprint(ev.orderBy(F.rand(3)).repartition(7)).first()["content_sha256"] == want
+    none = fingerprint(ev.limit(0)).first()
+    assert (none["n_rows"], none["content_sha256"]) == (0, sha([]))
 
 
 def test_latency_percentiles(spark):
@@ -105,7 +112,8 @@ def test_latency_percentiles(spark):
     out = latency_summary(spark.createDataFrame(pdf), "ms", "ok", "ts", "id").first()
     s = sorted(lat)
     for p in (50, 95, 99):
-        assert out[f"p{p}"] == s[percentile_index(p, 999)]
+        # 998 steps from first to last: places 499, 948.1 and 988.02
+        assert out[f"p{p}"] == s[{50: 499, 95: 948, 99: 988}[p]]
     assert out["latency_max"] == s[-1]
 
 
@@ -169,3 +177,23 @@ def test_exact_selection_by_narrowing(spark, table):
     got = keys_at(tx, ["ts", "transaction_id"], idx, max_candidates=20, accuracy=50)
     for i in idx:
         assert got[i] == (pdf.ts[i].to_pydatetime(), int(pdf.transaction_id[i]))
+
+
+def test_selection_over_ties_moves_values_only(spark):
+    """One shared key, and cuts on the border of two runs, are settled by
+    counting; ranks inside a run are found by the second column."""
+    from vigil.operators.select import keys_at, values_at
+    rows = spark.range(60_000).select(F.lit(7.0).alias("same"), F.floor(F.col("id") / 30_000).alias("two"),
+                                      ((F.col("id") * 7919) % 60_000).alias("id"))
+    assert keys_at(rows, ["same"], [0, 30_000, 59_999], max_candidates=100) == {i: (7.0,) for i in (0, 30_000, 59_999)}
+    got = keys_at(rows.select("same", "id"), ["same", "id"], [0, 41_234, 59_999], max_candidates=100, accuracy=100)
+    assert got == {i: (7.0, i) for i in (0, 41_234, 59_999)}
+    assert keys_at(rows, ["two"], [29_999, 30_000], max_candidates=100) == {29_999: (0,), 30_000: (1,)}
+    x = F.col("id").cast("double")
+    assert values_at(rows, {"x": (x, 60_000, [5, 59_998])}, 50, 100) == {"x": {5: 5.0, 59_998: 59_998.0}}
+
+
+def test_selection_with_null_keys(spark):
+    from vigil.operators.select import keys_at
+    rows = spark.createDataFrame([(None, 5), (2, 1), (None, 3), (1, 9)], "p long, s long")
+    assert keys_at(rows, ["p", "s"], range(5)) == {0: (1, 9), 1: (2, 1), 2: (None, 3), 3: (None, 5)}

@@ -1,8 +1,8 @@
 """Population stability index and drift reports.
 
-Plan: one wide aggregate over the reference rows computes the quantile edges
-of every feature at once; the edges (features x 11 numbers, a proven small
-size) become literals. A second single pass counts ``x < e`` for every inner
+Plan: the two values beside each quantile of every feature are found together
+by exact selection (``select.values_at``, the same method at every size); the
+edges (features x 11 numbers, a proven small size) become literals. A second single pass counts ``x < e`` for every inner
 edge and feature, grouped by side (reference/current) and optional groups
 (e.g. an hourly window) - no row is shuffled, only partial counts. Bin
 counts are differences of neighbouring edge counts, so repeated edges yield
@@ -12,8 +12,8 @@ feature is an aggregate over the unpivoted (feature, bin) rows.
 Semantics: edges are the linear-interpolated percentiles 0,10,...,100 of the
 reference with both ends replaced by -inf/+inf; shares are clipped at 1e-6
 without renormalising; PSI = sum (a - e) * ln(a / e). Nulls and NaN are
-dropped per column. Edges are rounded to ``edge_decimals`` (default 9) so the
-bins do not depend on the last bits of an engine's interpolation formula.
+dropped per column. ``edge_decimals`` rounds edges where two engines' results
+are compared; by default they are not rounded.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from vigil.config import (
     PSI_MODERATE, PSI_SIGNIFICANT,
 )
 from vigil.functions.columns import psi_band
+from vigil.operators.select import values_at
 
 
 def _clean(col: str):
@@ -38,37 +39,29 @@ def usable_features(reference: DataFrame, current: DataFrame, features) -> list[
     return [f for f in features if f in reference.columns and f in current.columns]
 
 
-EXACT_MAX_ROWS = 10_000_000      # above this, edges use percentile_approx
-
-
-def quantile_edges(reference: DataFrame, features, bins: int = PSI_BINS, exact: bool | str = "auto",
-                   accuracy: int = 1_000_000, edge_decimals: int | None = 9) -> dict[str, list[float]]:
-    """Inner edges (bins - 1 per feature) from one aggregate.
-    ``percentile`` is exact but its final merge holds every distinct value
-    in one task; ``percentile_approx`` keeps a bounded sketch (rank error
-    at most n / accuracy). ``exact='auto'`` is exact up to EXACT_MAX_ROWS
-    reference rows. Features with no values on the reference side are left
-    out."""
-    if exact == "auto":
-        exact = reference.limit(EXACT_MAX_ROWS + 1).count() <= EXACT_MAX_ROWS
-    probs = [i / bins for i in range(bins + 1)]
-    aggs = []
-    for i, f in enumerate(features):
-        x = _clean(f)
-        q = (F.percentile(x, F.array(*[F.lit(p) for p in probs])) if exact
-             else F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), accuracy))
-        aggs += [q.alias(f"q{i}"), F.count(x).alias(f"n{i}")]
-    if not aggs:
+def quantile_edges(reference: DataFrame, features, bins: int = PSI_BINS,
+                   edge_decimals: int | None = None) -> dict[str, list[float]]:
+    """Inner edges (bins - 1 per feature), linear between the two values
+    beside each quantile. The values are found by exact selection, the same at
+    every size: no table is sorted and nothing but edges reaches the driver.
+    Features with no values on the reference side are left out."""
+    features = list(features)
+    if not features:
         return {}
-    row = reference.agg(*aggs).first()
-    out = {}
+    clean = reference.select(*[_clean(f).alias(f"x{i}") for i, f in enumerate(features)])
+    counts = clean.agg(*[F.count(c).alias(c) for c in clean.columns]).first()
+    places = {}
     for i, f in enumerate(features):
-        if not row[f"n{i}"]:
-            continue
-        qs = [float(v) for v in row[f"q{i}"]][1:-1]
-        if edge_decimals is not None:
-            qs = [round(v, edge_decimals) for v in qs]
-        out[f] = qs
+        n = counts[f"x{i}"]
+        if n:
+            places[f] = (F.col(f"x{i}"), n, [(n - 1) * (k / bins) for k in range(1, bins)])
+    found = values_at(clean, {f: (x, n, [r for at in own for r in (int(at), min(int(at) + 1, n - 1))])
+                              for f, (x, n, own) in places.items()})
+    out = {}
+    for f, (_, n, own) in places.items():
+        v = found[f]
+        edges = [v[int(at)] + (v[min(int(at) + 1, n - 1)] - v[int(at)]) * (at - int(at)) for at in own]
+        out[f] = [round(e, edge_decimals) for e in edges] if edge_decimals is not None else edges
     return out
 
 
@@ -116,9 +109,9 @@ def effective_bins(edges: dict[str, list[float]]) -> dict[str, int]:
 
 
 def drift_psi(reference: DataFrame, current: DataFrame, features, groups=(), bins: int = PSI_BINS,
-              exact: bool | str = "auto", edge_decimals: int | None = 9) -> tuple[DataFrame, dict]:
+              edge_decimals: int | None = None) -> tuple[DataFrame, dict]:
     feats = usable_features(reference, current, features)
-    edges = quantile_edges(reference, feats, bins, exact=exact, edge_decimals=edge_decimals)
+    edges = quantile_edges(reference, feats, bins, edge_decimals)
     if not edges:
         schema = ", ".join([f"`{g}` string" for g in groups] + ["feature string", "psi double"])
         return reference.sparkSession.createDataFrame([], schema), edges
@@ -129,10 +122,10 @@ def drift_psi(reference: DataFrame, current: DataFrame, features, groups=(), bin
 
 def feature_drift_report(reference: DataFrame, current: DataFrame, features, groups=(),
                          moderate: float = PSI_MODERATE, significant: float = PSI_SIGNIFICANT,
-                         exact: bool | str = "auto") -> DataFrame:
+                         edge_decimals: int | None = None) -> DataFrame:
     """(groups..., feature, psi rounded to 4, status from the unrounded
-    psi, n_effective_bins). Order with ``order_report``."""
-    psi, edges = drift_psi(reference, current, features, groups, exact=exact)
+    psi, n_effective_bins)."""
+    psi, edges = drift_psi(reference, current, features, groups, edge_decimals=edge_decimals)
     eff = effective_bins(edges)
     eff_col = F.element_at(F.create_map(*[x for f, n in eff.items() for x in (F.lit(f), F.lit(n))]),
                            F.col("feature")) if eff else F.lit(None)
@@ -141,19 +134,14 @@ def feature_drift_report(reference: DataFrame, current: DataFrame, features, gro
                       eff_col.cast("int").alias("n_effective_bins"))
 
 
-def order_report(report: DataFrame) -> DataFrame:
-    """Report order: psi desc, ties by feature name."""
-    return report.orderBy(F.col("psi").desc(), F.col("feature"))
-
-
 def prediction_drift(reference: DataFrame, current: DataFrame, score: str = "score", groups=(),
-                     flag_threshold: float = FLAG_THRESHOLD, exact: bool | str = "auto") -> DataFrame:
+                     flag_threshold: float = FLAG_THRESHOLD, edge_decimals: int | None = None) -> DataFrame:
     """Score PSI, mean scores and flagged rates (at 0.5 by default)."""
     groups = list(groups)
     if not groups:
         cur = current.withColumn("_all", F.lit(0))
-        return prediction_drift(reference, cur, score, ["_all"], flag_threshold, exact).drop("_all")
-    psi, _ = drift_psi(reference, current, [score], groups, exact=exact)
+        return prediction_drift(reference, cur, score, ["_all"], flag_threshold, edge_decimals).drop("_all")
+    psi, _ = drift_psi(reference, current, [score], groups, edge_decimals=edge_decimals)
     rr = reference.agg(
         F.avg(score).alias("m"), F.avg((F.col(score) >= flag_threshold).cast("double")).alias("f")).first()
     c = current.groupBy(*groups).agg(

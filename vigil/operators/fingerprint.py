@@ -1,25 +1,24 @@
 """Data fingerprint (A20): row count, content digest, time range.
 
-The reference digest is SHA-256 over the newline-joined, sorted row keys.
 SHA-256 is sequential, so one digest over all keys would funnel the table
-through one task. Keys are instead spread over ``n_buckets`` buckets by a
-deterministic rule (pmod of the numeric key), each bucket is digested over
-its sorted keys (a bounded group: at most ``rows_per_bucket`` keys on
-average), and the digest of the table is SHA-256 over the bucket digests in
-bucket order. With a single bucket (small tables) this is exactly the
-reference digest. Identical rows in any order give the same fingerprint.
+through one task. The digest is defined on three levels, the same at every
+size: keys go to 16**5 buckets by the first five hex digits of their MD5; a
+bucket's digest is SHA-256 over its sorted keys, joined by newlines; the
+digests of the buckets that share two digits are digested in bucket order, and
+so are those 256 in turn. It is not the digest of the sorted key list itself.
+Only the buckets grow with the table, by one key per million rows. Identical
+rows in any order give the same fingerprint; keys may be of any type.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.config import ROLES
 
-ROWS_PER_BUCKET = 1_000_000
+BUCKET_DIGITS = 5
+GROUP_DIGITS = 2
 
 
 def row_keys(df: DataFrame) -> F.Column:
@@ -31,23 +30,24 @@ def row_keys(df: DataFrame) -> F.Column:
     return F.concat_ws("|", *parts)
 
 
-def fingerprint(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    stats = df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(ROLES.ts).alias("date_min"),
-                   F.max(ROLES.ts).alias("date_max")).first()
-    n = stats["n_rows"]
-    n_buckets = max(1, math.ceil(n / rows_per_bucket))
-    keyed = df.select(row_keys(df).alias("_k"), F.col(ROLES.transaction_id).alias("_id")
-                      if ROLES.transaction_id in df.columns else F.xxhash64(row_keys(df)).alias("_id"))
-    buckets = (keyed.groupBy(F.pmod(F.col("_id"), F.lit(n_buckets)).alias("_b"))
-               .agg(F.sha2(F.array_join(F.array_sort(F.collect_list("_k")), "\n"), 256).alias("_d")))
-    if n_buckets == 1:
-        digest = buckets.select("_d")
-    else:
-        digest = buckets.agg(F.sha2(F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.struct("_b", "_d"))), lambda s: s["_d"]), "\n"), 256).alias("_d"))
-    spark = df.sparkSession
-    if n == 0:
-        digest = spark.createDataFrame([(None,)], "_d string").select(
-            F.sha2(F.lit(""), 256).alias("_d"))
-    return digest.select(F.lit(n).cast("bigint").alias("n_rows"), F.col("_d").alias("content_sha256"),
-                         F.lit(stats["date_min"]).alias("date_min"), F.lit(stats["date_max"]).alias("date_max"))
+def _digest(parts: F.Column) -> F.Column:
+    return F.sha2(F.array_join(parts, "\n"), 256)
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row: n_rows, content_sha256, date_min, date_max. An empty table has
+    the digest of the empty string."""
+    keyed = df.select(row_keys(df).alias("_k"))
+    buckets = (keyed.groupBy(F.substring(F.md5(F.col("_k").cast("binary")), 1, BUCKET_DIGITS).alias("_b"))
+               .agg(F.count(F.lit(1)).alias("_n"), _digest(F.sort_array(F.collect_list("_k"))).alias("_d")))
+
+    def above(level: DataFrame, *keys) -> DataFrame:
+        in_order = F.transform(F.sort_array(F.collect_list(F.struct("_b", "_d"))), lambda s: s["_d"])
+        return level.groupBy(*keys).agg(F.sum("_n").alias("_n"), _digest(in_order).alias("_d"))
+
+    groups = above(buckets, F.substring("_b", 1, GROUP_DIGITS).alias("_g")).withColumnRenamed("_g", "_b")
+    total = above(groups)
+    dates = df.agg(F.min(ROLES.ts).alias("date_min"), F.max(ROLES.ts).alias("date_max"))
+    return total.crossJoin(dates).select(  # one row each
+        F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_rows"), F.col("_d").alias("content_sha256"),
+        "date_min", "date_max")

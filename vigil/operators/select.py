@@ -2,20 +2,23 @@
 
 ``keys_at(df, [primary, secondary], indices)`` returns the (primary,
 secondary) key of the rows at given 0-based positions of the
-(primary, secondary) order. Instead of range-partitioning and sorting all
-rows, each index is found by narrowing a value bracket:
-
-1. ``percentile_approx`` of the primary over the current bracket (a bounded
-   sketch, partially aggregated; no row is shuffled) gives values just below
-   and above the wanted rank,
-2. one counting pass checks that the bracket really contains the rank and
-   how many rows lie below it,
-3. when at most ``max_candidates`` rows remain, only those are sorted and
-   read; when a single primary value holds the rank (heavy ties), the same
-   narrowing continues on the secondary among the rows with that value.
-
-Each round shrinks the bracket by about the sketch accuracy, so a trillion
-rows need two or three rounds of column scans.
+(primary, secondary) order, ``values_at`` the values at positions of several
+columns' own orders. Rows are not range-partitioned or sorted; each position
+is found by narrowing an open interval of values:
+
+1. ``percentile_approx`` over the interval (a bounded sketch, partially
+   aggregated; no row is shuffled) gives two values of the column near the
+   wanted rank,
+2. one counting pass tells whether the rank falls on one of the two values
+   (a run of ties, however long, is settled here), between them, below or
+   above. Both values leave the interval in every case, so each round makes
+   progress whatever the sketch returned,
+3. when at most ``max_candidates`` rows remain, one aggregate sorts them and
+   returns only the wanted value.
+
+Nothing but values at wanted positions reaches the driver. Each round shrinks
+an interval by about the sketch accuracy, so a trillion rows need two or three
+rounds of column scans. All positions are narrowed together.
 """
 
 from __future__ import annotations
@@ -35,135 +38,107 @@ def _numeric(df: DataFrame, col: str) -> tuple[Column, bool]:
     return F.col(col), False
 
 
-def _rank_in(df: DataFrame, p: Column, s: Column | None, rank: int, n: int,
-             max_candidates: int, accuracy: int):
-    """(p, s) values of the row at ``rank`` of ``df`` (n rows) in (p, s) order."""
-    lo = hi = None
-    base = 0          # rows of df below the bracket
-    m = n             # rows inside the bracket
-    margin = 2.0 / accuracy
+class _Search:
+    """One wanted rank ``t`` among the ``m`` rows with ``rows`` true and lo < x < hi."""
+
+    def __init__(self, x: Column, rows: Column, t: int, m: int):
+        self.x, self.rows, self.t, self.m = x, rows, t, m
+        self.lo = self.hi = self.value = None
+        self.done = False
+
+    def inside(self) -> Column:
+        c = self.rows
+        if self.lo is not None:
+            c = c & (self.x > F.lit(self.lo))
+        if self.hi is not None:
+            c = c & (self.x < F.lit(self.hi))
+        return c
+
+    def near(self, accuracy: int) -> Column:
+        f, margin = (self.t + 0.5) / self.m, 2.0 / accuracy
+        return F.percentile_approx(F.when(self.inside(), self.x), F.array(
+            F.lit(max(0.0, f - margin)), F.lit(min(1.0, f + margin))), accuracy)
+
+    def counts(self, a, b) -> Column:
+        """Rows below a, up to a, below b and up to b."""
+        x, own = self.x, self.inside()
+        return F.array(F.count_if(own & (x < F.lit(a))), F.count_if(own & (x <= F.lit(a))),
+                       F.count_if(own & (x < F.lit(b))), F.count_if(own & (x <= F.lit(b))))
+
+    def narrow(self, a, b, counts) -> None:
+        below_a, to_a, below_b, to_b = counts
+        if below_a <= self.t < to_a or below_b <= self.t < to_b:
+            self.value, self.done = (a if self.t < to_a else b), True
+        elif self.t < below_a:
+            self.hi, self.m = a, below_a
+        elif self.t >= to_b:
+            self.lo, self.t, self.m = b, self.t - to_b, self.m - to_b
+        else:
+            self.lo, self.hi, self.t, self.m = a, b, self.t - to_a, below_b - to_a
+
+    def exact(self) -> Column:
+        return F.get(F.sort_array(F.collect_list(F.when(self.inside(), self.x))), F.lit(self.t))
+
+
+def _aggregate(df: DataFrame, columns: list[Column]) -> list:
+    return list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first())
+
+
+def _solve(df: DataFrame, searches: list[_Search], max_candidates: int, accuracy: int) -> None:
     while True:
-        inside = df if lo is None else df.where((p >= F.lit(lo)) & (p <= F.lit(hi)))
-        if m <= max_candidates:
-            cols = [p.alias("p")] + ([s.alias("s")] if s is not None else [])
-            rows = sorted((tuple(r) for r in inside.select(*cols).collect()),
-                          key=lambda r: tuple((x is None, x) for x in r))
-            return rows[rank - base]
-        f = (rank - base + 0.5) / m
-        qs = inside.agg(F.percentile_approx(p, F.array(F.lit(max(0.0, f - margin)),
-                                                       F.lit(min(1.0, f + margin))), accuracy)).first()[0]
-        qlo, qhi = qs[0], qs[1]
-        c = inside.agg(F.count_if(p < F.lit(qlo)).alias("b"), F.count_if(p <= F.lit(qhi)).alias("u")).first()
-        below, upto = c["b"], c["u"]
-        if below <= rank - base < upto:
-            if qlo == qhi and upto - below > max_candidates:
-                if s is None:
-                    return (qlo,)
-                # the rank sits in a run of equal primary values: order by the secondary
-                ties = inside.where(p == F.lit(qlo))
-                sec = _rank_in(ties, s, None, rank - base - below, upto - below, max_candidates, accuracy)
-                return (qlo, sec[0])
-            if upto - below < m:
-                lo, hi, base, m = qlo, qhi, base + below, upto - below
-                margin = 2.0 / accuracy
-                continue
-        margin *= 4        # the sketch missed: widen and retry
-        if margin >= 1.0:
-            lo = hi = None
-            base, m = 0, n
-            max_candidates = max(max_candidates, n)   # cannot narrow further: read the bracket
-
-
-def _narrow_all(df: DataFrame, p: Column, ranks: list[int], n: int, max_candidates: int, accuracy: int):
-    """Brackets [lo, hi] on p (None = unbounded) with the rows below them,
-    narrowed for all ranks together: one percentile aggregate and one count
-    aggregate per round."""
-    state = {r: {"lo": None, "hi": None, "base": 0, "m": n, "margin": 2.0 / accuracy} for r in ranks}
-
-    def inside(st):
-        if st["lo"] is None:
-            return F.lit(True)
-        return (p >= F.lit(st["lo"])) & (p <= F.lit(st["hi"]))
-
-    for _ in range(64):
-        active = [r for r, st in state.items() if st["m"] > max_candidates and not st.get("tie")]
-        if not active:
+        wide = [s for s in searches if not s.done and s.m > max_candidates]
+        if not wide:
             break
-        aggs = []
-        for i, r in enumerate(active):
-            st = state[r]
-            f = (r - st["base"] + 0.5) / st["m"]
-            x = F.when(inside(st), p)
-            aggs.append(F.percentile_approx(x, F.array(F.lit(max(0.0, f - st["margin"])),
-                                                       F.lit(min(1.0, f + st["margin"]))), accuracy).alias(f"q{i}"))
-        qrow = df.agg(*aggs).first()
-        cnts = []
-        for i, r in enumerate(active):
-            qlo, qhi = qrow[f"q{i}"]
-            state[r]["q"] = (qlo, qhi)
-            cnts += [F.count_if(inside(state[r]) & (p < F.lit(qlo))).alias(f"b{i}"),
-                     F.count_if(inside(state[r]) & (p <= F.lit(qhi))).alias(f"u{i}")]
-        crow = df.agg(*cnts).first()
-        for i, r in enumerate(active):
-            st = state[r]
-            qlo, qhi = st["q"]
-            below, upto = crow[f"b{i}"], crow[f"u{i}"]
-            if below <= r - st["base"] < upto and upto - below < st["m"]:
-                st.update(lo=qlo, hi=qhi, base=st["base"] + below, m=upto - below, margin=2.0 / accuracy)
-                if qlo == qhi:
-                    st["tie"] = True          # a run of equal values holds the rank
-            else:
-                st["margin"] *= 4             # the sketch missed: widen and retry
-                if st["margin"] >= 1.0:       # cannot narrow: read the whole bracket
-                    st["m"] = min(st["m"], max_candidates)
-    return state
+        near = _aggregate(df, [s.near(accuracy) for s in wide])
+        for s, (a, b), counts in zip(wide, near, _aggregate(df, [s.counts(*q) for s, q in zip(wide, near)])):
+            s.narrow(a, b, counts)
+    left = [s for s in searches if not s.done]
+    if left:
+        for s, value in zip(left, _aggregate(df, [s.exact() for s in left])):
+            s.value, s.done = value, True
+
+
+def values_at(df: DataFrame, wanted: dict[str, tuple[Column, int, list[int]]], max_candidates: int = MAX_CANDIDATES,
+              accuracy: int = ACCURACY) -> dict[str, dict[int, object]]:
+    """For each name, (column, number of its non-null rows, positions among
+    them): the values at the positions."""
+    found = {name: {r: _Search(x, x.isNotNull(), r, n) for r in set(ranks)} for name, (x, n, ranks) in wanted.items()}
+    _solve(df, [s for own in found.values() for s in own.values()], max_candidates, accuracy)
+    return {name: {r: s.value for r, s in own.items()} for name, own in found.items()}
 
 
 def keys_at(df: DataFrame, order_cols, indices, max_candidates: int = MAX_CANDIDATES,
             accuracy: int = ACCURACY) -> dict[int, tuple]:
     """Key tuples (in the columns' own types) of the rows at the given
     positions of the order (1 or 2 columns, the last one unique when ranks
-    must identify single rows). All positions are narrowed together; the
-    final candidate slices are read in one query."""
-    wanted = sorted({int(i) for i in indices if i is not None})
-    if not wanted:
-        return {}
+    must identify single rows). Null keys come last."""
+    wanted = sorted({int(i) for i in indices if i is not None and i >= 0})
     cols = list(order_cols)
     if not 1 <= len(cols) <= 2:
         raise ValueError("keys_at orders by one or two columns")
+    if not wanted:
+        return {}
     p, p_is_ts = _numeric(df, cols[0])
     s, s_is_ts = _numeric(df, cols[1]) if len(cols) == 2 else (None, False)
     base = df.select(*cols)
-    n = base.count()
-    ranks = [i for i in wanted if 0 <= i < n]
-    state = _narrow_all(base, p, ranks, n, max_candidates, accuracy)
-    out = {}
-    small = [r for r in ranks if not state[r].get("tie")]
-    if small:
-        cond = None
-        for r in small:
-            st = state[r]
-            c = F.lit(True) if st["lo"] is None else (p >= F.lit(st["lo"])) & (p <= F.lit(st["hi"]))
-            cond = c if cond is None else cond | c
-        sel = [p.alias("p")] + ([s.alias("s")] if s is not None else [])
-        rows = sorted((tuple(x) for x in base.where(cond).select(*sel).collect()),
-                      key=lambda t: tuple((v is None, v) for v in t))
-        for r in small:
-            st = state[r]
-            inb = [t for t in rows if st["lo"] is None or st["lo"] <= t[0] <= st["hi"]]
-            out[r] = inb[r - st["base"]]
-    for r in ranks:
-        st = state[r]
-        if not st.get("tie"):
-            continue
-        if s is None:
-            out[r] = (st["lo"],)
-        else:
-            ties = base.where(p == F.lit(st["lo"]))
-            sec = _rank_in(ties, s, None, r - st["base"], st["m"], max_candidates, accuracy)
-            out[r] = (st["lo"], sec[0])
-    conv = [p_is_ts, s_is_ts]
-    return {r: tuple(_from_micros(v) if ts else v for v, ts in zip(vals, conv)) for r, vals in out.items()}
+    n, full = _aggregate(base, [F.count(F.lit(1)), F.count(p)])
+    ranks = [r for r in wanted if r < n]
+    first = {r: _Search(p, p.isNotNull(), r, full) for r in ranks if r < full}
+    _solve(base, list(first.values()), max_candidates, accuracy)
+    values = {r: first[r].value if r in first else None for r in ranks}
+    if s is None or not ranks:
+        return {r: (_typed(values[r], p_is_ts),) for r in ranks}
+    # the secondary among the rows with the same primary value
+    run = {r: p.isNull() if values[r] is None else p == F.lit(values[r]) for r in ranks}
+    sizes = _aggregate(base, [F.array(F.count_if(F.lit(False)) + full if values[r] is None else F.count_if(p < F.lit(values[r])),
+                                      F.count(F.when(run[r], s))) for r in ranks])
+    second = {r: _Search(s, run[r] & s.isNotNull(), r - below, m) for r, (below, m) in zip(ranks, sizes) if r - below < m}
+    _solve(base, list(second.values()), max_candidates, accuracy)
+    return {r: (_typed(values[r], p_is_ts), _typed(second[r].value, s_is_ts) if r in second else None) for r in ranks}
+
+
+def _typed(value, is_ts: bool):
+    return _from_micros(value) if is_ts and value is not None else value
 
 
 def _from_micros(us: int):

@@ -12,7 +12,7 @@ from vigil.operators import drift as dr
 from vigil.operators import monitoring as mo
 from vigil.operators import ranking as rk
 from vigil.plans.catalog import query
-from vigil.plans.q_drift import SCORED_SPLIT, scored_split
+from vigil.plans.q_drift import EDGE_DECIMALS, SCORED_SPLIT, scored_split
 from vigil.plans.sqlparts import psi_sql
 from vigil.sources.tables import read_table
 
@@ -87,8 +87,8 @@ def segment_history(spark, sf_dir):
     ref, _, st = scored_split(spark, sf_dir)
     cur = st.withColumn("day", F.to_date("ts"))
     groups = [SEGMENT, "day"]
-    report = dr.feature_drift_report(ref, cur, DRIFT_FEATURES, groups=groups)
-    score = dr.prediction_drift(ref, cur, "score", groups=groups)
+    report = dr.feature_drift_report(ref, cur, DRIFT_FEATURES, groups=groups, edge_decimals=EDGE_DECIMALS)
+    score = dr.prediction_drift(ref, cur, "score", groups=groups, edge_decimals=EDGE_DECIMALS)
     return dr.drift_cycle(report, score, groups=groups)
 
 

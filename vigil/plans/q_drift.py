@@ -15,6 +15,9 @@ from vigil.plans.sqlparts import SPLIT, psi_sql
 from vigil.sources.tables import read_table
 
 LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# Registered queries round their edges, so that bins do not hang on the last
+# bits of an engine's interpolation formula.
+EDGE_DECIMALS = 9
 
 
 def lineitem_windows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -44,7 +47,7 @@ WITH {LINE_SQL},
 SELECT feature, i AS edge_index, q[i] AS edge FROM edges, range(1, 10) t(i)""")
 def q_quantile_edges(spark, sf_dir):
     ref, _ = lineitem_windows(spark, sf_dir)
-    edges = dr.quantile_edges(ref, LINE_FEATURES)
+    edges = dr.quantile_edges(ref, LINE_FEATURES, edge_decimals=EDGE_DECIMALS)
     rows = [(f, i + 1, e) for f, es in edges.items() for i, e in enumerate(es)]
     return spark.createDataFrame(rows, "feature string, edge_index long, edge double")
 
@@ -56,7 +59,7 @@ SELECT g.feature, g.bin, coalesce(r.c, 0) AS ref_count, coalesce(c.c, 0) AS cur_
 FROM grid g LEFT JOIN rc r USING (feature, bin) LEFT JOIN cc c USING (feature, bin)""")
 def q_histogram(spark, sf_dir):
     ref, cur = lineitem_windows(spark, sf_dir)
-    edges = dr.quantile_edges(ref, LINE_FEATURES)
+    edges = dr.quantile_edges(ref, LINE_FEATURES, edge_decimals=EDGE_DECIMALS)
     r = dr.bin_counts(ref, edges).select("feature", "bin", F.col("cnt").alias("ref_count"))
     c = dr.bin_counts(cur, edges).select("feature", "bin", F.col("cnt").alias("cur_count"))
     return r.join(c, ["feature", "bin"]).select(
@@ -70,7 +73,7 @@ WITH {LINE_SQL},
 SELECT round(psi, 6) AS psi FROM psi""")
 def q_psi(spark, sf_dir):
     ref, cur = lineitem_windows(spark, sf_dir)
-    psi, _ = dr.drift_psi(ref, cur, ["l_extendedprice"])
+    psi, _ = dr.drift_psi(ref, cur, ["l_extendedprice"], edge_decimals=EDGE_DECIMALS)
     return psi.select(F.round("psi", 6).alias("psi"))
 
 
@@ -85,7 +88,7 @@ SELECT feature, round(psi, 4) AS psi, {_BAND} AS status, CAST(n_effective_bins A
 FROM psi JOIN eff USING (feature)""")
 def q_psi_report(spark, sf_dir):
     ref, cur = lineitem_windows(spark, sf_dir)
-    return dr.feature_drift_report(ref, cur, LINE_FEATURES)
+    return dr.feature_drift_report(ref, cur, LINE_FEATURES, edge_decimals=EDGE_DECIMALS)
 
 
 SCORED_SPLIT = SCORED + ",\n" + SPLIT.replace(
@@ -109,7 +112,7 @@ SELECT round(psi, 4) AS score_psi,
 FROM psi""")
 def q_prediction_drift(spark, sf_dir):
     ref, cur, _ = scored_split(spark, sf_dir)
-    out = dr.prediction_drift(ref, cur, "score")
+    out = dr.prediction_drift(ref, cur, "score", edge_decimals=EDGE_DECIMALS)
     return out.select("score_psi", *[F.round(c, 9).alias(c) for c in (
         "reference_mean_score", "current_mean_score", "reference_flagged_rate", "current_flagged_rate")],
         "status")
@@ -131,7 +134,7 @@ FROM rec""")
 def q_drift_cycle(spark, sf_dir):
     """Drift cycle over the lineitem numeric features (no score feed)."""
     ref, cur = lineitem_windows(spark, sf_dir)
-    report = dr.feature_drift_report(ref, cur, LINE_FEATURES)
+    report = dr.feature_drift_report(ref, cur, LINE_FEATURES, edge_decimals=EDGE_DECIMALS)
     rec = dr.drift_cycle(report, None)
     return rec.select("n_features_checked", "n_significant_features",
                       F.array_join("significant_features", ",").alias("significant_features"),
@@ -150,7 +153,7 @@ def q_hourly_drift(spark, sf_dir):
     one-hour tumbling window against the train split."""
     ref, _, st = scored_split(spark, sf_dir)
     cur = st.withColumn("window_start", F.window("ts", "1 hour").start.cast("timestamp_ntz"))
-    psi, _ = dr.drift_psi(ref, cur, ["score"], groups=["window_start"])
+    psi, _ = dr.drift_psi(ref, cur, ["score"], groups=["window_start"], edge_decimals=EDGE_DECIMALS)
     return psi.select("window_start", F.round("psi", 4).alias("score_psi"),
                       F.when(F.col("psi") < 0.1, "stable").when(F.col("psi") < 0.25, "moderate_shift")
                       .otherwise("significant_shift").alias("status"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this is configured by the operator and is only read here.
-    When it is unset (tests, a laptop) a private folder is created once.
+    When it is unset, a local master (tests, a laptop) gets a private folder;
+    on a cluster executors could not share one, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="vigil-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

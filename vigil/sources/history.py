@@ -1,8 +1,8 @@
 """Append-only history tables (S6-S8): one JSON record per cycle/decision.
 
 Records are written as JSON lines partitioned by day so later reads prune by
-date; reads use a declared schema so an empty or missing history is an empty
-DataFrame, never an error.
+date; reads use a declared schema. A history that was never written is an empty
+DataFrame; anything else that cannot be read is an error.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ def append_history(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
 
 
 def load_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(schema).json(path).select(*schema.fieldNames())
-    except AnalysisException:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    if not there:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path).select(*schema.fieldNames())
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
