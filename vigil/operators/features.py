@@ -24,6 +24,8 @@ from vigil.functions.columns import micros
 from vigil.operators.joins import lookup_join
 
 US = "_us"
+# amounts are summed with nine decimals, up to 1e29
+AMOUNT_TYPE = "decimal(38,9)"
 
 
 def with_micros(tx: DataFrame, ts: str = ROLES.ts) -> DataFrame:
@@ -52,23 +54,27 @@ def add_recency(tx: DataFrame, partition_keys=None) -> DataFrame:
 # W2/W3 velocity: prior rows in (t - w, t]
 # --------------------------------------------------------------------------
 def velocity_columns(windows_minutes, partition_keys=None, amount: str = ROLES.amount):
-    """Two frames per window: rows with a strictly earlier timestamp inside
-    the window (a RANGE frame on microseconds ending 1us before the row), plus
-    rows with the same timestamp and a smaller id (a ROWS frame over the
-    timestamp peers). Their union is exactly the earlier rows in (t-w, t]."""
+    """Earlier rows in (t - w, t] are those before t, less those up to t - w,
+    plus the rows at t with a smaller id. Each term is a frame that begins at
+    the start of the partition, which Spark only ever adds rows to, so the cost
+    is linear in a key's rows whatever the window holds. Amounts are summed as
+    fixed-point numbers (as in the skew plan), so differences are exact."""
     keys = _keys(partition_keys)
+    fixed = F.col(amount).cast(AMOUNT_TYPE)
     peers = (Window.partitionBy(*keys, US).orderBy(ROLES.transaction_id)
              .rowsBetween(Window.unboundedPreceding, -1))
-    peer_n = F.count(amount).over(peers)
-    peer_s = F.coalesce(F.sum(amount).over(peers), F.lit(0.0))
+    by_time = Window.partitionBy(*keys).orderBy(US)
+
+    def upto(frame):
+        return F.count(amount).over(frame), F.coalesce(F.sum(fixed).over(frame), F.lit(0).cast(AMOUNT_TYPE))
+
+    before_n, before_s = upto(by_time.rangeBetween(Window.unboundedPreceding, -1))
+    peer_n, peer_s = upto(peers)
     out = []
     for w in windows_minutes:
-        w_us = int(w) * 60 * 1_000_000
-        before = Window.partitionBy(*keys).orderBy(US).rangeBetween(-(w_us - 1), -1)
-        n = F.count(amount).over(before) + peer_n
-        s = F.coalesce(F.sum(amount).over(before), F.lit(0.0)) + peer_s
-        out.append((f"velocity_count_{w}m", n.cast("bigint")))
-        out.append((f"velocity_amount_{w}m", F.greatest(s, F.lit(0.0))))
+        old_n, old_s = upto(by_time.rangeBetween(Window.unboundedPreceding, -int(w) * 60 * 1_000_000))
+        out.append((f"velocity_count_{w}m", (before_n - old_n + peer_n).cast("bigint")))
+        out.append((f"velocity_amount_{w}m", F.greatest((before_s - old_s + peer_s).cast("double"), F.lit(0.0))))
     return out
 
 

@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.config import FIRST_TXN_SENTINEL, ROLES
+from vigil.operators.features import AMOUNT_TYPE as AMT
 from vigil.operators.joins import lookup_join
 from vigil.operators.order import BLOCK, POS, range_blocks
 
 HOT_KEY_ROWS = 1_000_000      # a key with more rows than this leaves the hash-window plan
 MAX_ID = (1 << 63) - 1
 MIN_ID = -(1 << 63)
-AMT = "decimal(38,9)"
 
 
 def find_hot_keys(tx: DataFrame, keys, threshold: int = HOT_KEY_ROWS) -> DataFrame | None:
