@@ -192,8 +192,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     def compare(batches):
         """Rows come sorted by anchor; whole runs are compared, the last waits."""
         wait: list[pa.Table] = []
-        for batch in batches:
-            both = pa.concat_tables([*wait, pa.Table.from_batches([batch])]).combine_chunks()
+        for part in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
+            both = pa.concat_tables([*wait, pa.Table.from_batches([part])]).combine_chunks()
             h = both.column("anchor").to_numpy()
             cut = int(np.searchsorted(h, h[-1])) if len(h) else 0
             if cut == 0 and len(h) > 2 * run:
