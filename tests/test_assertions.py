@@ -83,7 +83,7 @@ def test_policy_decay_below_floor(spark):
 
 def test_policy_relative_drop(spark):
     d = _decide(spark, {"f1": 0.24, "recall": 0.4}, {"f1": 0.60}, None)
-    assert d["triggers"] == ["decay"] and any("from 0.6000 to 0.2400, 60%" in r for r in d["reasons"])
+    assert d["triggers"] == ["decay"] and any("from 0.6000 to 0.2400, 60.0%" in r for r in d["reasons"])
 
 
 def test_policy_drift_only(spark):

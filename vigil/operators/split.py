@@ -122,9 +122,9 @@ def first_n(tx: DataFrame, n_rows: int) -> DataFrame:
 def hash_sample(df: DataFrame, n: int, key: str = ROLES.transaction_id,
                 seed: int = RANDOM_STATE) -> DataFrame:
     """Deterministic sample of min(n, len) rows without replacement: the
-    n smallest xxhash64(key, seed). A top-n with a bounded n (it is a sample
+    n smallest MD5 of "key|seed" (as text), ties by key. A top-n with a bounded n (it is a sample
     size), so the single-task merge holds at most n rows."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 

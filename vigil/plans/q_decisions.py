@@ -131,9 +131,17 @@ def q_alert_streak(spark, sf_dir):
 
 @query("alerts", f"""
 WITH {DOC_SQL}, {SCORED_SPLIT}, {HIST_SQL}
-SELECT 'decay' AS alert_type, 'critical' AS severity, source AS subject FROM perf WHERE f1 < 0.05 OR recall < 0.30
+SELECT 'decay' AS alert_type, 'critical' AS severity, source AS subject,
+       'Labelled performance too low: ' || concat_ws(', ',
+           CASE WHEN f1 < 0.05 THEN printf('F1 %.4f (at least 0.05)', f1) END,
+           CASE WHEN recall < 0.30 THEN printf('recall %.4f (at least 0.3)', recall) END) AS message
+FROM perf WHERE f1 < 0.05 OR recall < 0.30
 UNION ALL
-SELECT 'drift', 'warning', merchant_category || '|' || CAST(day AS VARCHAR) FROM hist WHERE drift_alert""")
+SELECT 'drift', 'warning', merchant_category || '|' || CAST(day AS VARCHAR),
+       'Drift alert: ' || concat_ws(', ',
+           CASE WHEN n_significant_features >= 3 THEN printf('%d shifted features (limit 3)', n_significant_features) END,
+           CASE WHEN score_psi >= 0.25 THEN 'shifted scores (PSI ' || CAST(score_psi AS VARCHAR) || ')' END)
+FROM hist WHERE drift_alert""")
 def q_alerts(spark, sf_dir):
     """Typed alerts table: decay (critical) per source batch, drift
     (warning) per segment-day cycle."""
@@ -141,7 +149,7 @@ def q_alerts(spark, sf_dir):
     h = segment_history(spark, sf_dir).withColumn(
         "cycle", F.concat_ws("|", F.col(SEGMENT), F.col("day").cast("string")))
     drift = mo.drift_alerts(h, "cycle", MIN_SIGNIFICANT_FEATURES)
-    return decay.unionByName(drift).select("alert_type", "severity", "subject")
+    return decay.unionByName(drift).select("alert_type", "severity", "subject", "message")
 
 
 # ------------------------------------------------------------ decisions
@@ -176,7 +184,14 @@ flags AS (SELECT *, f1 < 0.05 AS below,
                  coalesce(cyc, 0) >= 2 AND coalesce(nf, 0) >= 3 AS drifted FROM inp)
 SELECT merchant_category, below OR dropped OR drifted AS should_retrain,
        CASE WHEN below OR dropped THEN 'critical' WHEN drifted THEN 'warning' ELSE 'none' END AS severity,
-       concat_ws(',', CASE WHEN below OR dropped THEN 'decay' END, CASE WHEN drifted THEN 'drift' END) AS triggers
+       concat_ws(',', CASE WHEN below OR dropped THEN 'decay' END, CASE WHEN drifted THEN 'drift' END) AS triggers,
+       CASE WHEN below OR dropped OR drifted THEN concat_ws('; ',
+           CASE WHEN below THEN printf('F1 on labelled rows is %.4f, the floor is 0.05', f1) END,
+           CASE WHEN dropped THEN printf('F1 on labelled rows fell from %.4f to %.4f, %.1f%% where 25%% is allowed',
+                                         base_f1, f1, (base_f1 - f1) / base_f1 * 100) END,
+           CASE WHEN drifted THEN printf('%d features drifted and %d cycles alerted in a row (limits: 3 and 2)',
+                                         nf, cyc) END)
+       ELSE 'no signal is outside its limits' END AS reasons
 FROM flags""")
 def q_retrain_decision(spark, sf_dir):
     """Per segment: realised F1 on test vs the val baseline, plus the
@@ -187,7 +202,8 @@ def q_retrain_decision(spark, sf_dir):
     drift = dc.alert_streak(segment_history(spark, sf_dir), SEGMENT, "day")
     models = st.where(F.col("split") == "test").select(SEGMENT)
     d = dc.retrain_decision(models, SEGMENT, realized, baseline, drift)
-    return d.select(SEGMENT, "should_retrain", "severity", F.array_join("triggers", ",").alias("triggers"))
+    return d.select(SEGMENT, "should_retrain", "severity", F.array_join("triggers", ",").alias("triggers"),
+                    F.array_join("reasons", "; ").alias("reasons"))
 
 
 @query("promotion_gate", f"""

@@ -59,10 +59,10 @@ def derive_ts(spark, sf_dir):
 @query("first_n", f"""
 WITH {TX_ORDERS}
 SELECT transaction_id, customer_id, ts, amount FROM tx
-ORDER BY us, transaction_id LIMIT 80000""")
+ORDER BY us, transaction_id LIMIT 1000""")
 def q_first_n(spark, sf_dir):
-    """The first 80,000 orders in time order (the reference's default n)."""
-    return first_n(orders_tx(spark, sf_dir), 80_000).select("transaction_id", "customer_id", "ts", "amount")
+    """The first 1,000 orders in time order, with ties on the day."""
+    return first_n(orders_tx(spark, sf_dir), 1_000).select("transaction_id", "customer_id", "ts", "amount")
 
 
 # ---------------------------------------------------------------- splits
