@@ -77,6 +77,30 @@ def op10_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def _license_sql() -> str:
+    """Exact containment in every window around a template's shingle."""
+    from vigil.llm.licenses import CONTAINMENT, TEMPLATES
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({quoted(name)}, {k}, {quoted(text)})" for name, own in TEMPLATES.items() for k, text in enumerate(own))
+    words = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    return f"""
+WITH t(license, template, text) AS (VALUES {rows}),
+tw AS (SELECT license, template, {words} AS w FROM t),
+ts AS (SELECT DISTINCT license, template, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM tw)),
+tn AS (SELECT license, template, count(*) AS n, CAST(ceil(log2(count(*))) AS INTEGER) AS c FROM ts GROUP BY ALL),
+dw AS (SELECT doc_id, {words} AS w FROM documents WHERE text IS NOT NULL),
+ds AS (SELECT doc_id, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM dw WHERE len(w) >= 5)),
+hit AS (SELECT doc_id, pos, license, template, s FROM ds JOIN ts USING (s)),
+win AS (SELECT doc_id, license, template, n, greatest(((pos >> c) - k) * (1 << c), 0) AS start, count(DISTINCT s) AS m
+        FROM hit JOIN tn USING (license, template) CROSS JOIN (VALUES (0), (1)) AS v(k) GROUP BY ALL),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY m / n DESC, start, template) AS rn
+         FROM win WHERE m / n >= {CONTAINMENT})
+SELECT doc_id, license, CAST(template AS INTEGER) AS template, m / n AS containment, CAST(start AS INTEGER) AS first_word
+FROM best WHERE rn = 1"""
+
+
 @query
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licenses whose notices the documents contain."""
@@ -84,6 +108,9 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+ORACLE["op5_licenses"] = _license_sql()
+
+
 @query
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: the fixed patterns, and all spans."""
