@@ -31,7 +31,8 @@ def q_online_features(spark, sf_dir):
     """Events replayed as a stream, one week per micro-batch in time order,
     through the stateful operator; equals the batch causal features."""
     tx = events_tx(spark, sf_dir)
-    out = replay(spark, tx, F.date_trunc("week", "ts"), STREAM_WINDOWS, name="online-features")
+    out = replay(spark, tx, F.date_trunc("week", "ts"), STREAM_WINDOWS, name="online-features",
+                 files=spark.sparkContext.defaultParallelism)
     cols = []
     for w in STREAM_WINDOWS:
         cols += [F.col(f"velocity_count_{w}m"), F.round(f"velocity_amount_{w}m", 2).alias(f"velocity_amount_{w}m")]

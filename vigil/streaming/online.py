@@ -49,16 +49,18 @@ def output_schema(windows_minutes, passthrough_ddl: str = "") -> str:
 
 class OnlineFeatures(StatefulProcessor):
     def __init__(self, windows_minutes=DEFAULT_WINDOWS_MINUTES, ttl_ms: int | None = None,
-                 passthrough=()):
+                 passthrough=(), velocity_ttl_ms: int | None = None):
         self.passthrough = list(passthrough)
         self.windows = [int(w) for w in windows_minutes]
         self.w_us = [w * 60_000_000 for w in self.windows]
         self.max_w = max(self.w_us) if self.w_us else 0
         self.ttl_ms = ttl_ms
+        # events are of no use beyond the largest window; kept twice as long
+        self.velocity_ttl_ms = velocity_ttl_ms or (2 * self.max_w // 1000 if ttl_ms and self.max_w else None)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         ttl = self.ttl_ms
-        self.events = handle.getListState("events", "us long, amount double, id long", ttl)
+        self.events = handle.getListState("events", "us long, amount double, id long", self.velocity_ttl_ms)
         # last committed time, largest committed time, distinct devices so far
         self.meta = handle.getValueState("meta", "last long, maxnow long, devices array<string>", ttl)
 
@@ -186,34 +188,38 @@ class EventTimeOrderedFeatures(OnlineFeatures):
     buffered row; rows at or before the watermark are processed, the rest
     stay buffered."""
 
+    def __init__(self, windows_minutes=DEFAULT_WINDOWS_MINUTES, ttl_ms: int | None = None,
+                 passthrough=(), velocity_ttl_ms: int | None = None, passthrough_ddl: str = ""):
+        super().__init__(windows_minutes, ttl_ms, passthrough, velocity_ttl_ms)
+        own = [c for c in self.passthrough if c not in INPUT_COLS]
+        self.waiting = [ROLES.transaction_id, TS_US, ROLES.amount, ROLES.device, "ingest", "emit", *own]
+        self.waiting_ddl = (f"{ROLES.transaction_id} long, {TS_US} long, {ROLES.amount} double, {ROLES.device} string, "
+                            "ingest boolean, emit boolean" + (f", {passthrough_ddl}" if passthrough_ddl else ""))
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.handle = handle
-        self.pending = handle.getListState(
-            "pending", f"{ROLES.transaction_id} long, {TS_US} long, {ROLES.amount} double, "
-                       f"{ROLES.device} string, ingest boolean", self.ttl_ms)
+        self.pending = handle.getListState("pending", self.waiting_ddl, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
-        cols = [ROLES.transaction_id, TS_US, ROLES.amount, ROLES.device, "ingest"]
-        self.pending.appendList([(int(a), int(b), float(c), d, bool(e)) for a, b, c, d, e in
-                                 pdf[cols].itertuples(index=False, name=None)])
+        for flag in ("ingest", "emit"):
+            pdf[flag] = pdf[flag].fillna(True).astype(bool) if flag in pdf else True
+        self.pending.appendList(list(zip(*(pdf[c].tolist() for c in self.waiting))))
         self.handle.registerTimer(int(pdf[TS_US].max() // 1000) + 1)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
         rows = list(self.pending.get()) if self.pending.exists() else []
-        cols = [ROLES.transaction_id, TS_US, ROLES.amount, ROLES.device, "ingest"]
-        buf = pd.DataFrame(rows, columns=cols)
+        buf = pd.DataFrame(rows, columns=self.waiting)
         ready = buf[buf[TS_US] < wm_us]
         rest = buf[buf[TS_US] >= wm_us]
         if len(rest):
-            self.pending.put([tuple(r) for r in rest.itertuples(index=False, name=None)])
+            self.pending.put(list(zip(*(rest[c].tolist() for c in self.waiting))))
+            self.handle.registerTimer(int(rest[TS_US].max() // 1000) + 1)
         else:
             self.pending.clear()
-        if len(rest):
-            self.handle.registerTimer(int(rest[TS_US].max() // 1000) + 1)
         if len(ready):
             yield self._process(key, ready.reset_index(drop=True))
 
@@ -233,17 +239,18 @@ def prepare(tx: DataFrame, keep=()) -> DataFrame:
 def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
                     initial_state: DataFrame | None = None, ttl_ms: int | None = None,
                     dedup_within_watermark: str | None = None, passthrough=(),
-                    event_time_order: str | None = None) -> DataFrame:
+                    event_time_order: str | None = None, velocity_ttl_ms: int | None = None) -> DataFrame:
     """Streaming features keyed by customer. ``dedup_within_watermark``
     (e.g. '1 hour') drops repeated transaction ids (T8; needs a watermark
     on ts, so it applies to streams carrying ``ts``). ``passthrough``
     columns are copied from each input row to its output row. With
-    ``ttl_ms`` the operator runs in processing-time mode, which keeps
+    ``ttl_ms`` (last time and devices; the events of the windows have
+    ``velocity_ttl_ms``, by default twice the largest window) the operator runs in processing-time mode, which keeps
     scheduling state-cleanup batches without data: run it with a
     processing-time trigger, or disable no-data batches for a bounded
     ``availableNow`` replay. ``event_time_order`` (a watermark delay such
     as '3 days') releases rows in event-time order once the watermark passes
-    them (the stream must carry ``ts``; no pass-through columns)."""
+    them; pass-through columns and ``emit`` wait with their row."""
     s = stream
     if dedup_within_watermark:
         # watermarks need a TIMESTAMP column; the session zone is UTC
@@ -261,12 +268,14 @@ def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
     if event_time_order:
         s = s.withColumn("ets", F.timestamp_micros(F.col(TS_US))).withWatermark("ets", event_time_order)
         return s.groupBy(ROLES.customer).transformWithStateInPandas(
-            statefulProcessor=EventTimeOrderedFeatures(windows_minutes, ttl_ms),
-            outputStructType=output_schema(windows_minutes), outputMode="Append",
+            statefulProcessor=EventTimeOrderedFeatures(
+                windows_minutes, ttl_ms, passthrough, velocity_ttl_ms,
+                ", ".join(f"`{c}` {s.schema[c].dataType.simpleString()}" for c in passthrough if c not in INPUT_COLS)),
+            outputStructType=output_schema(windows_minutes, ddl), outputMode="Append",
             timeMode="EventTime", initialState=init)
     time_mode = "ProcessingTime" if ttl_ms else "None"
     return s.groupBy(ROLES.customer).transformWithStateInPandas(
-        statefulProcessor=OnlineFeatures(windows_minutes, ttl_ms, passthrough),
+        statefulProcessor=OnlineFeatures(windows_minutes, ttl_ms, passthrough, velocity_ttl_ms),
         outputStructType=output_schema(windows_minutes, ddl), outputMode="Append",
         timeMode=time_mode, initialState=init)
 
@@ -308,31 +317,34 @@ class state_partitions:
         return False
 
 
-def stage_chunks(df: DataFrame, chunk: F.Column, folder: str, drop=()) -> None:
-    """Write ``df`` as one file per chunk value in ascending chunk order, so a
-    file source reads them in that order (one per micro-batch)."""
+def stage_chunks(df: DataFrame, chunk: F.Column, folder: str, drop=(), files: int = 1) -> None:
+    """Write ``df`` chunk by chunk in ascending order, each as up to ``files``
+    files dealt by customer, so a file source that takes ``files`` at a time
+    reads a customer's rows in that order."""
     staged = df.withColumn("_chunk", chunk)
     chunks = [r[0] for r in staged.select("_chunk").distinct().orderBy("_chunk").collect()]
+    by = ROLES.customer if ROLES.customer in df.columns else df.columns[0]
     for c in chunks:  # bounded: one write per chunk value
         (staged.where(F.col("_chunk") == c).drop("_chunk", *drop)
-         .coalesce(1).write.mode("append").parquet(folder))
+         .repartition(files, by).write.mode("append").parquet(folder))
 
 
 def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=DEFAULT_WINDOWS_MINUTES,
            name: str = "replay", initial_state: DataFrame | None = None, passthrough=(),
-           model=None, maps=None, threshold: float = 0.5, event_time_order: str | None = None) -> DataFrame:
-    """Test/benchmark harness: write ``tx`` as one file per chunk value in
-    ascending chunk order (so the file source sees them in that order), run
-    the streaming features over them one file per micro-batch, and return
+           model=None, maps=None, threshold: float = 0.5, event_time_order: str | None = None,
+           files: int = 1) -> DataFrame:
+    """Test/benchmark harness: write ``tx`` chunk by chunk in ascending order,
+    ``files`` files each (so the file source sees them in that order), run
+    the streaming features over them ``files`` per micro-batch, and return
     the sink's rows as a batch DataFrame. Folders live under the shared
     checkpoint location, a new one per run."""
     enable_state_store(spark)
     base = shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     src, out, ck = f"{base}/source", f"{base}/out", f"{base}/checkpoint"
     keep = [c for c in passthrough if c not in INPUT_COLS] + (["emit"] if "emit" in tx.columns else [])
-    stage_chunks(prepare(tx.withColumn("_c", chunk), keep=keep + ["_c"]), F.col("_c"), src, drop=["_c"])
+    stage_chunks(prepare(tx.withColumn("_c", chunk), keep=keep + ["_c"]), F.col("_c"), src, drop=["_c"], files=files)
     schema = spark.read.parquet(src).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(src)
     feats = online_features(stream, windows_minutes, initial_state=initial_state, passthrough=passthrough,
                             event_time_order=event_time_order)
     if model is not None:
