@@ -1,6 +1,5 @@
 """Sources and sinks: adapters, schema checks, history tables, reports."""
 
-import os
 import uuid
 
 import pytest
