@@ -41,10 +41,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 400-byte strings that also stand elsewhere; a
     character that a cut breaks goes too. n_chars follows the text."""
-    rest = docs.columns
-    cut = suffix_repeats.remove_repeats(docs.withColumn("_text", F.col("text")).drop("n_chars", "text"), text_col="_text",
-                                        kept_col="text", as_text=True)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*rest)
+    # the other columns travel in one, so that none meets an output's name
+    rest = F.struct(*[c for c in docs.columns if c not in ("text", "n_chars")]).alias("_doc")
+    cut = suffix_repeats.remove_repeats(docs.select("doc_id", F.col("text").alias("_text"), rest), text_col="_text",
+                                        kept_col="_kept", as_text=True)
+    new = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("long")}
+    return cut.select(*[new.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

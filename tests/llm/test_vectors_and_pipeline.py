@@ -45,7 +45,7 @@ def test_odd_vectors(spark):
 
 def _documents(spark):
     return odd_rows(spark).selectExpr("doc_id", "text", "cast(null as string) as lang", "'s' as source",
-                                      "cast(length(text) as long) as n_chars", "'kept' as extra")
+                                      "cast(length(text) as long) as n_chars", "'kept' as extra", "'mine' as n_bytes", "'mine' as spans")
 
 
 def test_stages_keep_the_columns_and_clean_documents(spark):
@@ -55,6 +55,7 @@ def test_stages_keep_the_columns_and_clean_documents(spark):
         docs = written(stage(spark, docs, "/nowhere"), f"test-{name}")
         counts.append(docs.count())
         assert name == "packing" or docs.columns == before
+        assert name == "packing" or docs.where("extra <> 'kept' or n_bytes <> 'mine' or spans <> 'mine'").count() == 0
     # three texts without a letter go, then one of two equal rows
     assert counts[0] == len(TEXTS) - 3 and counts[1] == counts[0] - 1 and counts[2] == counts[3] == counts[1]
 
