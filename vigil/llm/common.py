@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from vigil.session import ensure_checkpoint_dir
 
 #: bytes of text in one Arrow batch that goes to a Python worker
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

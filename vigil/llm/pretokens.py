@@ -19,7 +19,7 @@ SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Unicode White_Space (fixed values)
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: bytes of text that are cut together
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 @lru_cache(maxsize=1)
@@ -133,7 +133,7 @@ class WordIds:
     """Ids of distinct words, kept for later blocks of the same task in a
     table of at most ``most`` words; others are replayed again."""
 
-    def __init__(self, table, most: int = 400_000):
+    def __init__(self, table, most: int = 150_000):
         self.table, self.most = table, most
         self.at: dict[bytes, int] = {}
         self.ids = np.empty(1 << 20, np.int32)
