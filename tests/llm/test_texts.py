@@ -212,6 +212,24 @@ def test_battery_adds_random_strings_only(spark):
     assert len(added) > 240 and max(added) < 300
 
 
+def _random_spans(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sum(any(s.kind == 3 for s in r.spans) for r in secrets.scan(rows).collect())
+
+
+def test_random_strings_without_decoys(spark):
+    """A table that holds nothing but keys, as few as one."""
+    rng = random.Random(7)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    keys = [f"{key(40, base62)[:-1]}7" for _ in range(60)] + [f"{key(64, base62 + '+/')[:-1]}7" for _ in range(60)]
+    assert _random_spans(spark, [f"see {k} there" for k in keys]) > 100
+    assert _random_spans(spark, ["see aK9dQz27LmXw0PrT5vYbN3hJcE8sUgF1iOoR6tAe there"]) == 1
+    # text of that length with a digit, without a key beside it
+    text = ["src/main/python/report_handler/2024/version_12/index", "internationalPaymentRequestHandlerVersion2024Default"]
+    assert _random_spans(spark, [f"see {t} there" for t in text]) == 0
+
+
 def test_redact(spark):
     rows = spark.createDataFrame([("abcdefghij", [(2, 0, 4), (3, 1, 6), (8, 2, 9)]), ("abc", [(0, 0, 3)]), ("é xyz", [])],
                                  "text string, spans array<struct<start:long,kind:int,end:long>>")
