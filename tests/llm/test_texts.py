@@ -230,6 +230,16 @@ def test_random_strings_without_decoys(spark):
     assert _random_spans(spark, [f"see {t} there" for t in text]) == 0
 
 
+def test_random_strings_without_digits(spark):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for of, n in ((letters, 64), (letters[:26], 96), (letters[26:], 96)):
+        assert _random_spans(spark, [f"see {''.join(rng.choice(of) for _ in range(n))} there" for _ in range(40)]) > 30
+    words = ["ordinary", "sentence", "without", "spaces", "between", "several", "longer", "words", "stays", "text", "here"]
+    text = ["".join(rng.choice(words) for _ in range(16)) for _ in range(40)]
+    assert _random_spans(spark, [f"see {t} there" for t in text]) == 0
+
+
 def test_redact(spark):
     rows = spark.createDataFrame([("abcdefghij", [(2, 0, 4), (3, 1, 6), (8, 2, 9)]), ("abc", [(0, 0, 3)]), ("é xyz", [])],
                                  "text string, spans array<struct<start:long,kind:int,end:long>>")

@@ -1,7 +1,7 @@
 """Secret scan: three fixed patterns, and a battery of randomness tests that
 adds further strings. DataFrame functions only.
 
-Candidates are long runs of key characters with a digit. Each is read in the
+Candidates are long runs of key characters. Each is read in the
 encoding that its characters suggest and tested for randomness: chi-squared
 uniformity over the alphabet, the number of runs above and below its middle,
 and serial correlation. The least of the three p-values, corrected for three
@@ -250,7 +250,7 @@ def random_strings(found: DataFrame, false_share: float = FALSE_SHARE) -> DataFr
     """Of candidates (``m`` and other columns) those that the battery and the
     false-discovery control accept, without ``m``."""
     # tested once, for the counts and for the choice
-    tried = written(battery(found.where(F.col("m").rlike("[0-9]"))).select(
+    tried = written(battery(found).select(
         *others(found, "m"), "_a", _length_class(F.length("m")).alias("_len"),
         F.floor(F.col("score") * STEPS).cast("int").alias("_step")), "secret-scores")
     # counts by class and score step: some ten thousand rows at most
