@@ -178,6 +178,23 @@ def test_repeats_by_brute_force(spark, docs, length, anchor, run):
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out) == sorted(want)
 
 
+def test_repeats_beside_many_equal_rows(spark):
+    """Two kinds of one anchor that share a window, with more rows of a third
+    kind between them than a run holds: copies with a null id share a place."""
+    rng = random.Random(3)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    # the string of the least hash is the anchor of every window that holds it
+    tried = np.frombuffer(draw(200_000).encode(), np.uint8)
+    at = int((suffix_repeats.rolling(tried, 16) >> np.uint64(24)).argmin())
+    least = tried[at:at + 16].tobytes().decode()
+    shared = draw(17) + least + draw(17)
+    texts = [draw(60) + shared + draw(60)] + [draw(60) + least + draw(60)] * 5000 + [draw(60) + shared + draw(60)]
+    ids = [1] + [None] * 5000 + [2]
+    rows = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").coalesce(1)
+    out = suffix_repeats.remove_repeats(rows, length=50, anchor=16, run=3).where("doc_id is not null").collect()
+    assert [(r.n_removed, r.n_spans) for r in out] == [(50, 1)] * 2
+
+
 def test_repeats_of_odd_rows(spark):
     out = suffix_repeats.remove_repeats(odd_rows(spark), as_text=True)
     assert out.count() == len(TEXTS) and out.where("doc_id = 8 and kept = ''").count() == 1

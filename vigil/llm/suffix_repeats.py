@@ -168,36 +168,37 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             .select("_row", F.col("lo").alias("start"), (F.col("hi") + length).alias("end")))
     # one range of each kind, where an anchor has several
     sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    chosen = written(kinds.join(sizes, "anchor").select("place", (F.col("kinds") > run).alias("many")), "chosen")
-    few, many = _filter(chosen.where("not many"), "place"), _filter(chosen.where("many"), "place")
+    chosen = written(kinds.join(sizes, "anchor").select("anchor", "place", (F.col("kinds") > run).alias("many")), "chosen")
+    picked = _filter(chosen, "place")
 
     def samples(batches):
-        kind = pa.schema([("many", pa.bool_()), ("anchor", pa.int64()), ("_row", pa.int64()), ("lo", pa.int64()),
+        kind = pa.schema([("anchor", pa.int64()), ("place", pa.int64()), ("_row", pa.int64()), ("lo", pa.int64()),
                           ("bytes", pa.binary())])
         for batch in batches:
             for row, text in _texts(batch):
                 view = memoryview(text)
                 for lo, hi, _, h in anchors(np.frombuffer(text, np.uint8), length, anchor):
                     place = _place(row, lo)
-                    for route, bits in ((False, few), (True, many)):
-                        at = np.flatnonzero(_in_filter(bits.value, place) & _in_filter(repeats.value, h)).tolist()
-                        if at:
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array([route] * len(at)), pa.array(h[at]), pa.array([row] * len(at), pa.int64()),
-                                 pa.array(lo[at]), pa.array([bytes(view[lo[k]:hi[k] + length]) for k in at], pa.binary())],
-                                schema=kind)
-
-    kept = written(texts.mapInArrow(samples, "many boolean, anchor long, _row long, lo long, bytes binary"), "samples")
+                    at = np.flatnonzero(_in_filter(picked.value, place) & _in_filter(repeats.value, h)).tolist()
+                    if at:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(h[at]), pa.array(place[at]), pa.array([row] * len(at), pa.int64()),
+                             pa.array(lo[at]), pa.array([bytes(view[lo[k]:hi[k] + length]) for k in at], pa.binary())],
+                            schema=kind)
+
+    # wrong hits of the filter go, and of equal rows, which share a place, one stays
+    kept = written(texts.mapInArrow(samples, "anchor long, place long, _row long, lo long, bytes binary")
+                   .join(chosen, ["anchor", "place"]).dropDuplicates(["anchor", "place"])
+                   .select("many", "anchor", "_row", "lo", "bytes"), "samples")
 
     def compare(batches):
-        """Rows come sorted by anchor; whole runs are compared, the last waits."""
+        """Rows come sorted by anchor, at most ``run`` of each; whole runs are
+        compared, the last waits."""
         wait: list[pa.Table] = []
         for part in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
             both = pa.concat_tables([*wait, pa.Table.from_batches([part])]).combine_chunks()
             h = both.column("anchor").to_numpy()
             cut = int(np.searchsorted(h, h[-1])) if len(h) else 0
-            if cut == 0 and len(h) > 2 * run:
-                cut = len(h)  # longer than any run: wrong hits of the filter, which need no partner
             if cut:
                 yield from _repeats_within(both.slice(0, cut), length)
             wait = [both.slice(cut)]
