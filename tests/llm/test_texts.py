@@ -160,6 +160,17 @@ def test_order_minhash_sees_order_and_repeats(spark):
     assert like(1, 4) > 0.7 and like(1, 2) < 0.8 and like(1, 3) < 0.7
 
 
+def test_order_minhash_without_blanks(spark):
+    rng = random.Random(4)
+    chinese = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    encoded = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    rows = spark.createDataFrame([(i, (chinese if i < 4 else encoded)(4000)) for i in range(8)], "doc_id long, text string")
+    got = order_minhash.edit_report(rows).collect()
+    # half of the k-mers are kept: a third of all of both texts
+    assert len(got) == 8 and all(r.near_next < 0.1 for r in got)
+    assert sum(r.near_edited for r in got) / 8 > 0.1 and all(r.near_edited > r.near_next for r in got)
+
+
 @pytest.mark.parametrize("length,anchor,run", [(400, 64, 2048), (50, 16, 3)])
 def test_repeats_by_brute_force(spark, docs, length, anchor, run):
     more = [(9001, "ab" * 900), (9002, "x" * 1000), (9003, "q" * length), (9004, "dup row " * 90), (9004, "dup row " * 90), (9005, None)]

@@ -2,7 +2,8 @@
 functions only.
 
 The k-mers of a text are runs of ``K_WORDS`` words, numbered by occurrence, so
-that repeats count. For each of ``SIGNATURE`` orders of their hashes the
+that repeats count. In a run without a blank that is longer than a word, or in
+a script that writes none, each code point with the two after it is a word. For each of ``SIGNATURE`` orders of their hashes the
 minimal k-mer of each of two hash classes is selected; the selected ones,
 put back into text order, are hashed to one element. Two texts agree in an
 element with a probability that falls both with k-mers they do not share and
@@ -23,6 +24,9 @@ from vigil.llm.common import others, written
 
 K_WORDS = 2
 SIGNATURE = 32
+#: a run of more code points, or with a letter of these scripts, has no words
+LONGEST_WORD = 32
+_NO_BLANKS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 #: low bits of a packed k-mer that hold its position: more words than a row can hold
 POSITION_BITS = 26
 _LOW = (1 << POSITION_BITS) - 1
@@ -60,9 +64,20 @@ def _occurrences(packed: Column) -> Column:
         F.lit(0), F.coalesce(F.get(b, j + 1), F.size(packed)) - at - 1))))
 
 
+def _words(text: Column) -> Column:
+    """What white space parts; runs without words as overlapping code points."""
+    runs = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    without = lambda w: (F.length(w) > LONGEST_WORD) | w.rlike(_NO_BLANKS)
+    grams = lambda w: _let(F.split(w, ""), lambda cs: F.transform(cs, lambda c, i: F.concat(
+        c, F.coalesce(F.get(cs, i + 1), F.lit("")), F.coalesce(F.get(cs, i + 2), F.lit("")))))
+    parted = F.flatten(F.transform(runs, lambda w: F.when(without(w), grams(w)).otherwise(F.array(w))))
+    # most texts have only words
+    return F.when(text.rlike(rf"\S{{{LONGEST_WORD + 1}}}|{_NO_BLANKS}"), parted).otherwise(runs)
+
+
 def numbered_kmers(text: Column) -> Column:
     """Hash of each numbered k-mer of a text with its position in the low bits."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    words = _words(text)
     number = lambda ps: _let(_occurrences(ps), lambda occ: F.transform(ps, lambda p, i: F.xxhash64(
         p.bitwiseAND(F.lit(~_LOW)), F.get(occ, i)).bitwiseAND(F.lit(~_LOW)).bitwiseOR(p.bitwiseAND(F.lit(_LOW)))))
     return _let(words, lambda ws: F.when(F.size(ws) > 0, _let(_packed(ws), number)))
@@ -137,7 +152,7 @@ def edit_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Columns: id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next. Null texts are empty. Rows with a null id come
     first, repeated rows stay, a single row is its own next. Words are what
-    white space parts; a text without any is one word.
+    white space parts; runs without any are read by code points.
     """
     base = df.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     both = with_next(base, id_col, "_text")
