@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import TEXTS, no_rows, odd_rows
-from vigil.llm import language, licenses, links, order_minhash, secrets, simhash, suffix_repeats
+from vigil.llm import language, licenses, links, order_minhash, packing, secrets, simhash, suffix_repeats
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -273,3 +273,11 @@ def test_redact(spark):
                                  "text string, spans array<struct<start:long,kind:int,end:long>>")
     got = [r[0] for r in rows.select(secrets.redact(F.col("text"), F.col("spans"))).collect()]
     assert got == ["ab[SECRET]gh[SECRET]j", "[SECRET]", "é xyz"]
+
+
+def test_equal_pieces_spread_over_shards(spark):
+    rows = spark.range(4000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(300).cast("long").alias("length"))
+    out = packing.pack(rows, shard_pieces=500).collect()
+    shards = Counter(r.sequence_id >> 32 for r in out)
+    assert len(out) == 4000 and len(shards) == 8 and max(shards.values()) < 700
+    assert len({(r.sequence_id, r.offset) for r in out}) == 4000

@@ -166,10 +166,11 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_P
     ``sequence_id`` and ``offset``. Every piece gets one place, places in a
     sequence follow each other from 0. Equal pieces may swap places. An empty
     table gives an empty table. Columns that bear an output's name are replaced."""
-    found = written(found.select(*others(found, "sequence_id", "offset")), "pieces")
+    keys = others(found, "sequence_id", "offset")
+    # numbered before they are written, so that equal pieces spread over all shards
+    found = written(found.select(*keys).withColumn("_piece", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-found.count() // shard_pieces))
-    keys = found.columns
-    out = schema_of(found, T.StructField("sequence_id", T.LongType(), False),
+    out = schema_of(found.select(*keys), T.StructField("sequence_id", T.LongType(), False),
                     T.StructField("offset", T.LongType(), False))
 
     def place(shard: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -179,5 +180,5 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_P
         return rows[out.names]
 
     salt = [F.col(c) for c in keys if isinstance(found.schema[c].dataType, T.AtomicType)]
-    dealt = found.withColumn("_shard", F.pmod(F.xxhash64(*salt), F.lit(shards)))
+    dealt = found.withColumn("_shard", F.pmod(F.xxhash64(*salt, "_piece"), F.lit(shards))).drop("_piece")
     return dealt.groupBy("_shard").applyInPandas(place, out)
