@@ -1,5 +1,7 @@
 """Nearest neighbours against brute force, and the pipeline's stages."""
 
+import random
+
 import numpy as np
 
 import corpus_pipeline
@@ -71,3 +73,25 @@ def test_run(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert 100 < out.select("doc_id").distinct().count() <= 200
     assert out.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
+
+
+def test_shared_passages_leave_all_but_the_first_document(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 7))) for _ in range(3000)]
+    draw = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passages = [draw(51 + k) for k in range(20)]
+    rows, holds = [], {}
+    for i in range(300):
+        own = [passages[i % 20]] if i < 200 else []
+        holds[i] = own
+        rows.append((i, " ".join([draw(60), *own, draw(60)]), None, "s", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["repeats"](spark, docs, "/nowhere").collect()}
+    for k, p in enumerate(passages):
+        assert [i for i, t in out.items() if " ".join(p.split()[2:-2]) in t] == [k]
+    for i, t, *_ in rows:
+        if i >= 200 or i < 20:
+            assert out[i] == t
+        else:
+            cut = len(holds[i][0])
+            assert cut <= len(t) - len(out[i]) + 2 <= cut + 14  # neighbours may agree by chance

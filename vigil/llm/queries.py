@@ -132,7 +132,9 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without repeated 400-byte strings."""
+    """What is left of every document without repeated 400-byte strings, also as
+    ``text`` (broken characters marked)."""
     from vigil.llm.suffix_repeats import remove_repeats
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    whole = F.make_valid_utf8(F.col("kept").cast("string"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), whole.alias("text"))

@@ -148,11 +148,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                 max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``df`` of which one of each component stays: that with the
-    smallest id (null ids last, then the smallest fingerprint)."""
-    prints = written(fingerprints(df.select(id_col, text_col), text_col, "fp", words), "prints")
-    named = _named(prints, id_col, max_bits)
-    stays = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), F.col("least"), F.col("fp"))).alias("s"))
-    marked = fingerprints(df, text_col, "_fp", words, keep_text=True)
-    on = marked["_fp"].eqNullSafe(F.col("_stay")) & marked[id_col].eqNullSafe(F.col("_id"))
-    one = marked.join(stays.select(F.col("s.least").alias("_id"), F.col("s.fp").alias("_stay")), on, "left_semi")
-    return one.dropDuplicates([id_col, "_fp"]).drop("_fp")
+    smallest id (null ids last), of several such the one with the smallest
+    hash of id and text. Every text is fingerprinted once; the rows that stay
+    are found by that hash. All columns are kept, whatever their names. An
+    empty table gives an empty table."""
+    key = F.xxhash64(F.col(id_col), F.col(text_col).cast("string"))
+    keyed = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), key.alias("key"))
+    prints = written(fingerprints(keyed, "text", "fp", words), "prints")
+    classes = written(prints.groupBy("fp").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("key"))).alias("least")), "classes")
+    found = components(near_links(classes, max_bits), "simhash-links").withColumnRenamed("id", "fp")
+    stays = (classes.join(found, "fp", "left").groupBy(F.coalesce("component", "fp")).agg(F.min("least").alias("least"))
+             .select(F.col("least.key").alias("_stay")))
+    rest = [F.col(c).alias(f"c{k}") for k, c in enumerate(df.columns)]
+    one = (df.select(*rest, key.alias("_key")).join(stays, F.col("_key") == F.col("_stay"), "left_semi")
+           .dropDuplicates(["_key"]))
+    return one.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(df.columns)])

@@ -101,10 +101,10 @@ def anchors(raw: np.ndarray, length: int, anchor: int) -> Iterator[tuple[np.ndar
         yield base + first, base + last, base + at, hashes[at].view(np.int64)
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Buffer]]:
-    """Row hash and bytes of each text; columns _row, _text."""
-    for row, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary())):
-        yield row, text.as_buffer()
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.Buffer]]:
+    """Order, row hash and bytes of each text; columns _ord, _row, _text."""
+    for order, row, text in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2).cast(pa.large_binary())):
+        yield order, row, text.as_buffer()
 
 
 def _in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -129,15 +129,21 @@ def _place(row, first):
     return _mix(x).view(np.int64)
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, run: int = RUN) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, run: int = RUN,
+                   keep_first: bool = False) -> DataFrame:
     """(_row, start, end) byte spans whose strings of ``length`` bytes repeat;
-    they may overlap. ``texts``: _row, a long that equal rows share, and _text."""
+    they may overlap. ``texts``: _ord (a long), _row (a long that equal rows
+    share) and _text. With ``keep_first`` the first place of each string, by
+    (_ord, _row, start), is not among the spans: every kind of range keeps its
+    first place, and of the kinds that share a window only the first one's is
+    spared, so exactly one place of each window is."""
     spark = texts.sparkSession
+    texts = texts.select("_ord", "_row", "_text")
     span_type = "_row long, start long, end long"
 
     def count(batches):
         for batch in batches:
-            found = [h for _, text in _texts(batch) for *_, h in anchors(np.frombuffer(text, np.uint8), length, anchor)]
+            found = [h for *_, text in _texts(batch) for *_, h in anchors(np.frombuffer(text, np.uint8), length, anchor)]
             kinds, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64),) * 2
             yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], names=["anchor", "n"])
 
@@ -146,50 +152,58 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
 
     def ranges(batches):
         for batch in batches:
-            cols: list[list] = [[], [], [], [], [], []]
-            for row, text in _texts(batch):
+            cols: list[list] = [[], [], [], [], [], [], []]
+            for order, row, text in _texts(batch):
                 raw = np.frombuffer(text, np.uint8)
                 view = memoryview(text)
                 for lo, hi, _, h in anchors(raw, length, anchor):
                     keep = _in_filter(repeats.value, h)
                     lo, hi, h = lo[keep], hi[keep], h[keep]
                     whole = [hashlib.blake2b(view[a:b + length], digest_size=8).digest() for a, b in zip(lo.tolist(), hi.tolist())]
-                    for col, v in zip(cols, (np.full(len(lo), row, np.int64), lo, hi, h,
+                    for col, v in zip(cols, (np.full(len(lo), order, np.int64), np.full(len(lo), row, np.int64), lo, hi, h,
                                              np.frombuffer(b"".join(whole), np.int64), _place(row, lo))):
                         col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c) if c else np.empty(0, np.int64), pa.int64()) for c in cols],
-                names=["_row", "lo", "hi", "anchor", "whole", "place"])
+                names=["_ord", "_row", "lo", "hi", "anchor", "whole", "place"])
 
-    found = written(texts.mapInArrow(ranges, "_row long, lo long, hi long, anchor long, whole long, place long"), "ranges")
-    kinds = written(found.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place")), "kinds")
+    found = written(texts.mapInArrow(
+        ranges, "_ord long, _row long, lo long, hi long, anchor long, whole long, place long"), "ranges")
+    first = F.min(F.struct("_ord", "_row", "lo", "place"))["place"] if keep_first else F.min("place")
+    kinds = written(found.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), first.alias("place")), "kinds")
     # ranges that are the same as a whole
-    same = (found.join(kinds.where("n > 1").select("anchor", "whole"), ["anchor", "whole"], "left_semi")
-            .select("_row", F.col("lo").alias("start"), (F.col("hi") + length).alias("end")))
+    several = kinds.where("n > 1")
+    if keep_first:
+        twins = (found.join(several.select("anchor", "whole", F.col("place").alias("_first")), ["anchor", "whole"])
+                 .where("place <> _first"))
+    else:
+        twins = found.join(several.select("anchor", "whole"), ["anchor", "whole"], "left_semi")
+    same = twins.select("_row", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
     # one range of each kind, where an anchor has several
     sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     chosen = written(kinds.join(sizes, "anchor").select("anchor", "place", (F.col("kinds") > run).alias("many")), "chosen")
     picked = _filter(chosen, "place")
 
     def samples(batches):
-        kind = pa.schema([("anchor", pa.int64()), ("place", pa.int64()), ("_row", pa.int64()), ("lo", pa.int64()),
-                          ("bytes", pa.binary())])
+        kind = pa.schema([("anchor", pa.int64()), ("place", pa.int64()), ("_ord", pa.int64()), ("_row", pa.int64()),
+                          ("lo", pa.int64()), ("bytes", pa.binary())])
         for batch in batches:
-            for row, text in _texts(batch):
+            for order, row, text in _texts(batch):
                 view = memoryview(text)
                 for lo, hi, _, h in anchors(np.frombuffer(text, np.uint8), length, anchor):
                     place = _place(row, lo)
                     at = np.flatnonzero(_in_filter(picked.value, place) & _in_filter(repeats.value, h)).tolist()
                     if at:
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(h[at]), pa.array(place[at]), pa.array([row] * len(at), pa.int64()),
+                            [pa.array(h[at]), pa.array(place[at]), pa.array([order] * len(at), pa.int64()),
+                             pa.array([row] * len(at), pa.int64()),
                              pa.array(lo[at]), pa.array([bytes(view[lo[k]:hi[k] + length]) for k in at], pa.binary())],
                             schema=kind)
 
     # wrong hits of the filter go, and of equal rows, which share a place, one stays
-    kept = written(texts.mapInArrow(samples, "anchor long, place long, _row long, lo long, bytes binary")
+    kept = written(texts.mapInArrow(samples, "anchor long, place long, _ord long, _row long, lo long, bytes binary")
                    .join(chosen, ["anchor", "place"]).dropDuplicates(["anchor", "place"])
-                   .select("many", "anchor", "_row", "lo", "bytes"), "samples")
+                   .select("many", "anchor", "_ord", "_row", "lo", "bytes"), "samples")
 
     def compare(batches):
         """Rows come sorted by anchor, at most ``run`` of each; whole runs are
@@ -200,31 +214,36 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
             h = both.column("anchor").to_numpy()
             cut = int(np.searchsorted(h, h[-1])) if len(h) else 0
             if cut:
-                yield from _repeats_within(both.slice(0, cut), length)
+                yield from _repeats_within(both.slice(0, cut), length, keep_first)
             wait = [both.slice(cut)]
         if wait and wait[0].num_rows:
-            yield from _repeats_within(wait[0], length)
+            yield from _repeats_within(wait[0], length, keep_first)
 
-    near = (kept.where("not many").select("anchor", "_row", "lo", "bytes").repartition("anchor")
+    near = (kept.where("not many").select("anchor", "_ord", "_row", "lo", "bytes").repartition("anchor")
             .sortWithinPartitions("anchor").mapInArrow(compare, span_type))
 
     def digests(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 part = batch.slice(i, 64)
-                row, lo, a, b = _windows(part.column("_row"), part.column("lo"), part.column("bytes"), length)
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(row),
-                                                  pa.array(lo)], names=["a", "b", "_row", "start"])
-
-    tried = written(kept.where("many").select("_row", "lo", "bytes").mapInArrow(
-        digests, "a long, b long, _row long, start long").distinct(), "window-digests")
-    common = tried.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b")
-    far = tried.join(common, ["a", "b"], "left_semi").select("_row", "start", (F.col("start") + length).alias("end"))
+                order, row, lo, a, b = _windows(part, length)
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(order),
+                                                  pa.array(row), pa.array(lo)], names=["a", "b", "_ord", "_row", "start"])
+
+    tried = written(kept.where("many").select("_ord", "_row", "lo", "bytes").mapInArrow(
+        digests, "a long, b long, _ord long, _row long, start long").distinct(), "window-digests")
+    place = F.struct("_ord", "_row", "start")
+    common = tried.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("_first")).where("n > 1")
+    far = tried.join(common.select("a", "b", "_first"), ["a", "b"])
+    if keep_first:
+        far = far.where(place != F.col("_first"))
+    far = far.select("_row", "start", (F.col("start") + length).alias("end"))
     return same.unionByName(near).unionByName(far)
 
 
-def _windows(row: pa.Array, lo: pa.Array, data: pa.Array, length: int):
-    """Row, start and two hashes of every window of the kept ranges."""
+def _windows(found: pa.RecordBatch | pa.Table, length: int):
+    """Order, row, start and two hashes of every window of the kept ranges."""
+    order, row, lo, data = (found.column(c) for c in ("_ord", "_row", "lo", "bytes"))
     data = data.combine_chunks() if isinstance(data, pa.ChunkedArray) else data
     data = data.cast(pa.large_binary())
     offs = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
@@ -232,16 +251,19 @@ def _windows(row: pa.Array, lo: pa.Array, data: pa.Array, length: int):
     begin, size = offs[:-1] - offs[0], np.diff(offs) - length + 1
     at = np.repeat(begin, size) + (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
     starts = np.repeat(np.asarray(lo), size) + at - np.repeat(begin, size)
-    return np.repeat(np.asarray(row), size), starts, *(rolling(raw, length, b)[at] for b in _BASES)
+    return (np.repeat(np.asarray(order), size), np.repeat(np.asarray(row), size), starts,
+            *(rolling(raw, length, b)[at] for b in _BASES))
 
 
-def _repeats_within(found: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
-    row, start, a, b = _windows(found.column("_row"), found.column("lo"), found.column("bytes"), length)
-    order = np.lexsort((start, row, b, a))
+def _repeats_within(found: pa.Table, length: int, keep_first: bool = False) -> Iterator[pa.RecordBatch]:
+    rank, row, start, a, b = _windows(found, length)
+    order = np.lexsort((start, row, rank, b, a))
     row, start, a, b = row[order], start[order], a[order], b[order]
     # neighbours in order with the same window; a place that came twice is one
     same = (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & ((row[1:] != row[:-1]) | (start[1:] != start[:-1]))
-    twin = np.append(same, False) | np.append(False, same)
+    twin = np.append(False, same)
+    if not keep_first:
+        twin |= np.append(same, False)
     row, start = row[twin], start[twin]
     # windows side by side become one span
     order = np.lexsort((start, row))
@@ -254,7 +276,8 @@ def _repeats_within(found: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   anchor: int = ANCHOR, run: int = RUN, kept_col: str = "kept", as_text: bool = False) -> DataFrame:
+                   anchor: int = ANCHOR, run: int = RUN, kept_col: str = "kept", as_text: bool = False,
+                   keep_first: bool = False) -> DataFrame:
     """The other columns of ``df`` with ``n_bytes``, ``n_removed``, ``n_spans``
     (maximal removed runs) and ``kept``: the bytes of each whole text that no
     repeated string of ``length`` bytes covers, as binary (a cut may fall
@@ -262,17 +285,31 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     characters.
 
     Strings are judged on the input; each place counts, so all copies go, and
-    an equal row is another place. Null texts are empty; texts shorter than
-    ``length`` stay whole. Columns that bear an output's name are replaced.
+    an equal row is another place. With ``keep_first`` the first copy stays:
+    that of the least id (of integral ids; others go by a fixed hash; null ids
+    come last), then of the first place in the text; rows with equal id and
+    text are then one place and are cut alike. Null texts are empty; texts
+    shorter than ``length`` stay whole; very long texts are hashed by segments
+    of 1 MB that overlap by a window. An empty table gives an empty table.
+    Columns that bear an output's name are replaced, all others are kept,
+    whatever their names.
     """
     bounded_batches(df.sparkSession)
     names = ["n_bytes", "n_removed", "n_spans"]
     kept = others(df, text_col, kept_col, *names)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = df.select(*kept, F.xxhash64(F.col(id_col), text).alias("_row"), text.alias("_text"))
-    spans = repeated_spans(base.select("_row", "_text").where(F.octet_length("_text") >= length), length, anchor, run)
+    order = F.lit(0).cast("long")
+    if keep_first:
+        integral = isinstance(df.schema[id_col].dataType, T.IntegralType)
+        order = F.coalesce(F.col(id_col).cast("long") if integral else F.xxhash64(id_col), F.lit(2**63 - 1))
+    # the other columns travel in one struct, so that none meets an inner name
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(kept)]).alias("_rest")
+    base = df.select(rest, order.alias("_ord"), F.xxhash64(F.col(id_col), text).alias("_row"), text.alias("_text"))
+    spans = repeated_spans(base.select("_ord", "_row", "_text").where(F.octet_length("_text") >= length), length, anchor, run,
+                           keep_first)
     per_row = spans.groupBy("_row").agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
-    joined = base.join(per_row, "_row", "left").select(*kept, "_spans", "_text")
+    joined = base.join(per_row, "_row", "left").select(
+        *[F.col(f"_rest.c{k}") for k in range(len(kept))], F.col("_spans"), F.col("_text"))
     out = schema_of(df.select(*kept), *[T.StructField(n, T.LongType(), False) for n in names],
                     T.StructField(kept_col, T.StringType() if as_text else T.BinaryType(), False))
 
