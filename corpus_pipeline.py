@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from vigil.llm import language, packing, secrets, simhash, suffix_repeats
 from vigil.llm.common import written
 
+#: a passage of over 50 words begins at about 230 bytes, so the repeats stage
+#: looks for strings of 200
+PASSAGE_BYTES, PASSAGE_ANCHOR = 200, 48
 #: rows with secrets whose spans may be broadcast
 BROADCAST_ROWS = 50_000
 
@@ -39,12 +42,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 400-byte strings that also stand elsewhere; a
-    character that a cut breaks goes too. n_chars follows the text."""
+    """Texts without the strings of PASSAGE_BYTES bytes that stand earlier in
+    the same or another text: of each passage the first copy, in order of
+    (doc_id, place), stays. A character that a cut breaks goes too. n_chars
+    follows the text."""
     # the other columns travel in one, so that none meets an output's name
     rest = F.struct(*[c for c in docs.columns if c not in ("text", "n_chars")]).alias("_doc")
     cut = suffix_repeats.remove_repeats(docs.select("doc_id", F.col("text").alias("_text"), rest), text_col="_text",
-                                        kept_col="_kept", as_text=True)
+                                        length=PASSAGE_BYTES, anchor=PASSAGE_ANCHOR, kept_col="_kept", as_text=True,
+                                        keep_first=True)
     new = {"text": F.col("_kept"), "n_chars": F.length("_kept").cast("long")}
     return cut.select(*[new.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])
 
