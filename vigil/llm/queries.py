@@ -138,3 +138,10 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     whole = F.make_valid_utf8(F.col("kept").cast("string"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), whole.alias("text"))
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is over 2048 tokens."""
+    from vigil.llm.token_counts import count_tokens
+    return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
