@@ -145,3 +145,14 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it is over 2048 tokens."""
     from vigil.llm.token_counts import count_tokens
     return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 8 whitened components of every vector."""
+    from vigil.llm.whitening import whiten
+    out = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    parts = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part")
+    return out.select("vec_id", "n", F.col("deviation").cast("decimal(38,0)").cast("long").alias("deviation"), "identity_error", parts).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("part.whitened").alias("whitened"),
+        F.col("part.explained").alias("explained"), "identity_error")
