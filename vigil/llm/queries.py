@@ -156,3 +156,35 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", "n", F.col("deviation").cast("decimal(38,0)").cast("long").alias("deviation"), "identity_error", parts).select(
         "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("part.whitened").alias("whitened"),
         F.col("part.explained").alias("explained"), "identity_error")
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two or three words of each language."""
+    from vigil.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH p AS (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS v(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+tot AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY ALL),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT c.*, j, array_to_string(w[1:j], ' ') AS p1, array_to_string(w[j + 1:], ' ') AS p2 FROM c, (VALUES (1), (2)) AS v(j) WHERE j < k),
+scored AS (SELECT cut.lang, cut.phrase, cut.k, a, j, x.f AS l, y.f AS r,
+                  (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+           FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = p1 JOIN f y ON y.lang = cut.lang AND y.phrase = p2),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+held AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS more
+         FROM (SELECT lang, a, w, unnest(range(1, k)) AS i FROM c WHERE k = 3) GROUP BY ALL),
+ranked AS (SELECT best.lang, best.phrase, a, l, r, score,
+                  row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS rank
+           FROM best LEFT JOIN held ON held.lang = best.lang AND held.phrase = best.phrase
+           WHERE more IS NULL OR 100 * more < 50 * a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN tot USING (lang) WHERE rank <= 2000"""
