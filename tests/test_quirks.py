@@ -93,7 +93,7 @@ def test_fingerprint_matches_hashlib_and_is_order_free(spark, kind):
     sha = lambda parts: hashlib.sha256("\n".join(parts).encode()).hexdigest()
     levels = {}
     for (key,) in ev.select(F.col("transaction_id").cast("string")).collect():
-        levels.setdefault(hashlib.md5(key.encode()).hexdigest()[:5], []).append(key)
+        levels.setdefault(hashlib.md5(key.encode()).hexdigest()[:3], []).append(key)
     groups = {}
     for bucket in sorted(levels):
         groups.setdefault(bucket[:2], []).append(sha(sorted(levels[bucket])))
@@ -174,7 +174,7 @@ def test_exact_selection_by_narrowing(spark, table):
     pdf = tx.select("ts", "transaction_id").toPandas().sort_values(["ts", "transaction_id"]).reset_index(drop=True)
     n = len(pdf)
     idx = [0, 1, n // 3, int(n * 0.7), int(n * 0.85), n - 1]
-    got = keys_at(tx, ["ts", "transaction_id"], idx, max_candidates=20, accuracy=50)
+    got = keys_at(tx, ["ts", "transaction_id"], idx, max_candidates=20, margin=0.04)
     for i in idx:
         assert got[i] == (pdf.ts[i].to_pydatetime(), int(pdf.transaction_id[i]))
 
@@ -186,14 +186,27 @@ def test_selection_over_ties_moves_values_only(spark):
     rows = spark.range(60_000).select(F.lit(7.0).alias("same"), F.floor(F.col("id") / 30_000).alias("two"),
                                       ((F.col("id") * 7919) % 60_000).alias("id"))
     assert keys_at(rows, ["same"], [0, 30_000, 59_999], max_candidates=100) == {i: (7.0,) for i in (0, 30_000, 59_999)}
-    got = keys_at(rows.select("same", "id"), ["same", "id"], [0, 41_234, 59_999], max_candidates=100, accuracy=100)
+    got = keys_at(rows.select("same", "id"), ["same", "id"], [0, 41_234, 59_999], max_candidates=100, margin=0.02)
     assert got == {i: (7.0, i) for i in (0, 41_234, 59_999)}
     assert keys_at(rows, ["two"], [29_999, 30_000], max_candidates=100) == {29_999: (0,), 30_000: (1,)}
     x = F.col("id").cast("double")
-    assert values_at(rows, {"x": (x, 60_000, [5, 59_998])}, 50, 100) == {"x": {5: 5.0, 59_998: 59_998.0}}
+    assert values_at(rows, {"x": (x, 60_000, [5, 59_998])}, 50, 0.02) == {"x": {5: 5.0, 59_998: 59_998.0}}
 
 
 def test_selection_with_null_keys(spark):
     from vigil.operators.select import keys_at
     rows = spark.createDataFrame([(None, 5), (2, 1), (None, 3), (1, 9)], "p long, s long")
     assert keys_at(rows, ["p", "s"], range(5)) == {0: (1, 9), 1: (2, 1), 2: (None, 3), 3: (None, 5)}
+
+
+@pytest.mark.parametrize("limit", [5, 20_000])
+def test_string_positions_inside_a_run_of_ties(spark, limit):
+    """Ids of several lengths and alphabets, one a beginning of others, null
+    ids last; most rows share a timestamp."""
+    from vigil.operators.select import keys_at
+    ids = [f"TXN_{i:05d}" for i in range(3000)] + ["", "T", "TXN", "TXN_0", "TXN_00001\x00", "é", "日本", "zz" * 40, "zz" * 40 + "a"] + [None]
+    rows = spark.createDataFrame([(7 if k % 10 else k, i) for k, i in enumerate(ids)], "ts long, id string")
+    want = sorted(((t, i) for t, i in ((7 if k % 10 else k, i) for k, i in enumerate(ids))),
+                  key=lambda r: (r[0], r[1] is None, (r[1] or "").encode()))
+    at = [0, 1, 2, 3, 4, 700, 1500, 2700, 2701, 2702, 2703, 2704, 2705, len(ids) - 1]
+    assert keys_at(rows, ["ts", "id"], at, max_candidates=limit) == {i: want[i] for i in at}

@@ -18,7 +18,9 @@ are compared; by default they are not rounded.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.config import (
@@ -68,23 +70,28 @@ def quantile_edges(reference: DataFrame, features, bins: int = PSI_BINS,
 def bin_counts(df: DataFrame, edges: dict[str, list[float]], groups=()) -> DataFrame:
     """Rows (groups..., feature, bin, cnt, n) from one aggregate."""
     groups = list(groups)
+    return _stack(df.groupBy(*groups).agg(*_bin_aggregates(edges)), edges, groups)
+
+
+def _bin_aggregates(edges: dict[str, list[float]]) -> list:
+    """Per feature its values (n) and those below each inner edge (c)."""
     aggs = []
     for i, (f, es) in enumerate(edges.items()):
         x = _clean(f)
         aggs.append(F.count(x).alias(f"n{i}"))
         aggs += [F.count_if(x < F.lit(e)).alias(f"c{i}_{j}") for j, e in enumerate(es)]
-    wide = df.groupBy(*groups).agg(*aggs)
+    return aggs
+
+
+def _stack(wide: DataFrame, edges: dict[str, list[float]], keep) -> DataFrame:
     parts = []
     for i, (f, es) in enumerate(edges.items()):
         cuts = [f"c{i}_{j}" for j in range(len(es))]
-        lows = ["0"] + cuts
-        highs = cuts + [f"n{i}"]
         name = f.replace("'", "''")
-        for b, (lo, hi) in enumerate(zip(lows, highs)):
+        for b, (lo, hi) in enumerate(zip(["0"] + cuts, cuts + [f"n{i}"])):
             parts.append(f"'{name}', {b}, ({hi}) - ({lo}), n{i}")
-    n_rows = len(parts)
-    stack = f"stack({n_rows}, {', '.join(parts)}) AS (feature, bin, cnt, n)"
-    return wide.selectExpr(*[f"`{g}`" for g in groups], stack)
+    stack = f"stack({len(parts)}, {', '.join(parts)}) AS (feature, bin, cnt, n)"
+    return wide.selectExpr(*[f"`{k}`" for k in keep], stack)
 
 
 def psi_from_counts(ref_bins: DataFrame, cur_bins: DataFrame, groups=(), floor: float = PSI_FLOOR) -> DataFrame:
@@ -125,33 +132,115 @@ def feature_drift_report(reference: DataFrame, current: DataFrame, features, gro
                          edge_decimals: int | None = None) -> DataFrame:
     """(groups..., feature, psi rounded to 4, status from the unrounded
     psi, n_effective_bins)."""
-    psi, edges = drift_psi(reference, current, features, groups, edge_decimals=edge_decimals)
-    eff = effective_bins(edges)
-    eff_col = F.element_at(F.create_map(*[x for f, n in eff.items() for x in (F.lit(f), F.lit(n))]),
-                           F.col("feature")) if eff else F.lit(None)
-    return psi.select(*groups, "feature", F.round("psi", 4).alias("psi"),
-                      psi_band("psi", moderate, significant).alias("status"),
-                      eff_col.cast("int").alias("n_effective_bins"))
+    profile = fit_profile(reference, usable_features(reference, current, features), edge_decimals=edge_decimals)
+    return profile_drift(profile, current, groups, moderate, significant)[0]
 
 
 def prediction_drift(reference: DataFrame, current: DataFrame, score: str = "score", groups=(),
                      flag_threshold: float = FLAG_THRESHOLD, edge_decimals: int | None = None) -> DataFrame:
     """Score PSI, mean scores and flagged rates (at 0.5 by default)."""
-    groups = list(groups)
-    if not groups:
-        cur = current.withColumn("_all", F.lit(0))
-        return prediction_drift(reference, cur, score, ["_all"], flag_threshold, edge_decimals).drop("_all")
-    psi, _ = drift_psi(reference, current, [score], groups, edge_decimals=edge_decimals)
-    rr = reference.agg(
-        F.avg(score).alias("m"), F.avg((F.col(score) >= flag_threshold).cast("double")).alias("f")).first()
-    c = current.groupBy(*groups).agg(
-        F.avg(score).alias("current_mean_score"),
-        F.avg((F.col(score) >= flag_threshold).cast("double")).alias("current_flagged_rate"))
-    return psi.join(c, groups, "inner").select(
+    profile = fit_profile(reference, [], score, flag_threshold, edge_decimals)
+    return profile_drift(profile, current, groups)[1]
+
+
+# --------------------------------------------------------------------------
+# stored reference profile
+# --------------------------------------------------------------------------
+@dataclass
+class DriftProfile:
+    """What drift cycles need of the reference: inner edges and bin counts of
+    every feature and of the score (features x bins numbers), the score's mean
+    and flagged rate. Fitted once, saved under a version, and read back without
+    the reference."""
+    edges: dict[str, list[float]]
+    counts: dict[str, list[int]]
+    score: str | None
+    flag_threshold: float
+    mean_score: float | None = None
+    flagged_rate: float | None = None
+    version: str = "1"
+
+    FIELDS = ("version string, feature string, is_score boolean, edges array<double>, counts array<long>, "
+              "flag_threshold double, mean_score double, flagged_rate double")
+
+    def bins(self, spark: SparkSession) -> DataFrame:
+        rows = [(f, b, c, sum(own)) for f, own in self.counts.items() for b, c in enumerate(own)]
+        return spark.createDataFrame(rows, "feature string, bin int, cnt long, n long")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One row per feature under ``version=``; a version is overwritten as a whole."""
+        rows = [(self.version, f, f == self.score, e, self.counts[f], self.flag_threshold, self.mean_score, self.flagged_rate)
+                for f, e in self.edges.items()]
+        (spark.createDataFrame(rows, self.FIELDS).drop("version").coalesce(1)  # features x bins numbers
+         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={self.version}"))
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, version: str = "1") -> "DriftProfile":
+        rows = spark.read.parquet(f"{path.rstrip('/')}/version={version}").collect()
+        score = next((r.feature for r in rows if r.is_score), None)
+        one = rows[0]
+        return DriftProfile({r.feature: list(r.edges) for r in rows}, {r.feature: list(r.counts) for r in rows}, score,
+                            one.flag_threshold, one.mean_score, one.flagged_rate, version)
+
+
+def _score_means(score: str | None, flag_threshold: float) -> list:
+    if score is None:
+        return []
+    return [F.avg(score).alias("_mean"), F.avg((F.col(score) >= flag_threshold).cast("double")).alias("_flagged")]
+
+
+def fit_profile(reference: DataFrame, features, score: str | None = None, flag_threshold: float = FLAG_THRESHOLD,
+                edge_decimals: int | None = None, bins: int = PSI_BINS, version: str = "1") -> DriftProfile:
+    """The reference's profile: edges of all features and the score from one
+    exact selection, counts and means from one more pass. Features absent from
+    the reference, or without a value there, are left out."""
+    names = [*dict.fromkeys([*[f for f in features if f in reference.columns], *([score] if score else [])])]
+    edges = quantile_edges(reference, names, bins, edge_decimals)
+    wide = reference.agg(*_bin_aggregates(edges), *_score_means(score, flag_threshold), F.lit(0).alias("_")).first()
+    counts = {}
+    for i, (f, es) in enumerate(edges.items()):
+        below = [0, *[wide[f"c{i}_{j}"] for j in range(len(es))], wide[f"n{i}"]]
+        counts[f] = [b - a for a, b in zip(below, below[1:])]
+    return DriftProfile(edges, counts, score, flag_threshold, wide["_mean"] if score else None,
+                        wide["_flagged"] if score else None, version)
+
+
+def profile_drift(profile: DriftProfile, current: DataFrame, groups=(), moderate: float = PSI_MODERATE,
+                  significant: float = PSI_SIGNIFICANT) -> tuple[DataFrame, DataFrame | None]:
+    """(feature report, score drift or None) of ``current`` against a profile,
+    per group, from one aggregate over ``current``. Features that ``current``
+    lacks are skipped."""
+    spark, groups, score = current.sparkSession, list(groups), profile.score
+    edges = {f: e for f, e in profile.edges.items() if f in current.columns}
+    score = score if score in current.columns else None
+    wide = current.groupBy(*groups).agg(*_bin_aggregates(edges), *_score_means(score, profile.flag_threshold), F.lit(0).alias("_"))
+    keep = [*groups, *(["_mean", "_flagged"] if score else [])]
+    none = ", ".join([f"`{g}` {current.schema[g].dataType.simpleString()}" for g in groups])
+    if edges:
+        psi = psi_from_counts(profile.bins(spark), _stack(wide, edges, keep), keep)
+    else:
+        psi = spark.createDataFrame([], ", ".join(filter(None, [none, "_mean double, _flagged double" if score else "", "feature string, psi double"])))
+    eff = effective_bins(edges)
+    eff_col = F.element_at(F.create_map(*[x for f, n in eff.items() for x in (F.lit(f), F.lit(n))]), F.col("feature")) if eff else F.lit(None)
+    band = psi_band("psi", moderate, significant)
+    report = psi.where(F.col("feature") != F.lit(score or "")) if score else psi
+    report = report.select(*groups, "feature", F.round("psi", 4).alias("psi"), band.alias("status"),
+                           eff_col.cast("int").alias("n_effective_bins"))
+    if not score:
+        return report, None
+    drift = psi.where(F.col("feature") == score).select(
         *groups, F.round("psi", 4).alias("score_psi"),
-        F.lit(rr["m"]).alias("reference_mean_score"), "current_mean_score",
-        F.lit(rr["f"]).alias("reference_flagged_rate"), "current_flagged_rate",
+        F.lit(profile.mean_score).alias("reference_mean_score"), F.col("_mean").alias("current_mean_score"),
+        F.lit(profile.flagged_rate).alias("reference_flagged_rate"), F.col("_flagged").alias("current_flagged_rate"),
         psi_band("psi").alias("status"))
+    return report, drift
+
+
+def profile_cycle(profile: DriftProfile, current: DataFrame, groups=(), min_significant: int = MIN_SIGNIFICANT_FEATURES,
+                  top_k: int = DRIFT_TOP_K) -> DataFrame:
+    """X9 against a profile: one record per group."""
+    report, drift = profile_drift(profile, current, groups)
+    return drift_cycle(report, drift, groups, min_significant, top_k)
 
 
 def drift_cycle(report: DataFrame, score_drift: DataFrame | None, groups=(),

@@ -6,19 +6,22 @@ secondary) key of the rows at given 0-based positions of the
 columns' own orders. Rows are not range-partitioned or sorted; each position
 is found by narrowing an open interval of values:
 
-1. ``percentile_approx`` over the interval (a bounded sketch, partially
-   aggregated; no row is shuffled) gives two values of the column near the
-   wanted rank,
-2. one counting pass tells whether the rank falls on one of the two values
+1. one mergeable quantile sketch per column and interval (KLL, partially
+   aggregated; no row is shuffled) brackets all positions that lie in it:
+   neighbouring positions share a pair of values,
+2. one counting pass tells whether a position falls on one of the two values
    (a run of ties, however long, is settled here), between them, below or
    above. Both values leave the interval in every case, so each round makes
    progress whatever the sketch returned,
 3. when at most ``max_candidates`` rows remain, one aggregate sorts them and
-   returns only the wanted value.
+   returns only the wanted values.
 
-Nothing but values at wanted positions reaches the driver. Each round shrinks
-an interval by about the sketch accuracy, so a trillion rows need two or three
-rounds of column scans. All positions are narrowed together.
+Strings have no quantile sketch: among the rows of a run, ``_solve_strings``
+narrows the byte prefix that holds the position, two bytes at a time from where
+the run's least and greatest string part.
+
+Nothing but values at wanted positions (and per round at most 65,537 counts for
+a string) reaches the driver. All positions are narrowed together.
 """
 
 from __future__ import annotations
@@ -28,7 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_CANDIDATES = 20_000
-ACCURACY = 10_000
+#: size of a KLL sketch; its rank error is about 2.3 / size**0.9
+SKETCH_SIZE = 8192
+#: ranks on both sides of a position, as a share, that the pair of values spans
+MARGIN = 0.001
 
 
 def _numeric(df: DataFrame, col: str) -> tuple[Column, bool]:
@@ -38,6 +44,17 @@ def _numeric(df: DataFrame, col: str) -> tuple[Column, bool]:
     return F.col(col), False
 
 
+def _quantiles(x: Column, kind: T.DataType, at: list[float]) -> Column:
+    """Values near the given shares of ``x`` from one sketch."""
+    shares = F.array(*[F.lit(a) for a in at])
+    name = "bigint" if isinstance(kind, T.IntegralType) else "double" if isinstance(kind, T.FractionalType) and not isinstance(
+        kind, T.DecimalType) else None
+    if name is None:  # decimals and dates
+        return F.percentile_approx(x, shares, SKETCH_SIZE)
+    sketch = F.call_function(f"kll_sketch_agg_{name}", x.cast(name), F.lit(SKETCH_SIZE))
+    return F.call_function(f"kll_sketch_get_quantile_{name}", sketch, shares)
+
+
 class _Search:
     """One wanted rank ``t`` among the ``m`` rows with ``rows`` true and lo < x < hi."""
 
@@ -54,10 +71,8 @@ class _Search:
             c = c & (self.x < F.lit(self.hi))
         return c
 
-    def near(self, accuracy: int) -> Column:
-        f, margin = (self.t + 0.5) / self.m, 2.0 / accuracy
-        return F.percentile_approx(F.when(self.inside(), self.x), F.array(
-            F.lit(max(0.0, f - margin)), F.lit(min(1.0, f + margin))), accuracy)
+    def interval(self) -> tuple:
+        return id(self.x), id(self.rows), self.lo, self.hi
 
     def counts(self, a, b) -> Column:
         """Rows below a, up to a, below b and up to b."""
@@ -76,42 +91,100 @@ class _Search:
         else:
             self.lo, self.hi, self.t, self.m = a, b, self.t - to_a, below_b - to_a
 
-    def exact(self) -> Column:
-        return F.get(F.sort_array(F.collect_list(F.when(self.inside(), self.x))), F.lit(self.t))
-
 
 def _aggregate(df: DataFrame, columns: list[Column]) -> list:
     return list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first())
 
 
-def _solve(df: DataFrame, searches: list[_Search], max_candidates: int, accuracy: int) -> None:
+def _by(searches: list[_Search], key) -> dict:
+    out: dict = {}
+    for s in sorted(searches, key=lambda s: s.t):
+        out.setdefault(key(s), []).append(s)
+    return out
+
+
+def _brackets(df: DataFrame, wide: list[_Search], margin: float) -> list[tuple[list[_Search], object, object]]:
+    """(searches that share them, lower value, upper value)."""
+    groups = list(_by(wide, _Search.interval).values())
+    clusters = []
+    for own in groups:
+        runs = [[own[0]]]
+        for s in own[1:]:
+            if s.t - runs[-1][-1].t <= margin * s.m:
+                runs[-1].append(s)
+            else:
+                runs.append([s])
+        clusters.append(runs)
+    kinds = [df.select(own[0].x).schema[0].dataType for own in groups]
+    at = [[min(1.0, max(0.0, (s.t + 0.5) / s.m + d)) for run in runs for s, d in ((run[0], -margin), (run[-1], margin))]
+          for runs in clusters]
+    near = _aggregate(df, [_quantiles(F.when(own[0].inside(), own[0].x), kind, a) for own, kind, a in zip(groups, kinds, at)])
+    return [(run, values[2 * k], values[2 * k + 1]) for runs, values in zip(clusters, near) for k, run in enumerate(runs)]
+
+
+def _solve(df: DataFrame, searches: list[_Search], max_candidates: int, margin: float) -> None:
     while True:
         wide = [s for s in searches if not s.done and s.m > max_candidates]
         if not wide:
             break
-        near = _aggregate(df, [s.near(accuracy) for s in wide])
-        for s, (a, b), counts in zip(wide, near, _aggregate(df, [s.counts(*q) for s, q in zip(wide, near)])):
-            s.narrow(a, b, counts)
-    left = [s for s in searches if not s.done]
+        pairs = _brackets(df, wide, margin)
+        for (run, a, b), counts in zip(pairs, _aggregate(df, [run[0].counts(a, b) for run, a, b in pairs])):
+            for s in run:
+                s.narrow(a, b, counts)
+    left = list(_by([s for s in searches if not s.done], _Search.interval).values())
     if left:
-        for s, value in zip(left, _aggregate(df, [s.exact() for s in left])):
-            s.value, s.done = value, True
+        lists = [F.sort_array(F.collect_list(F.when(own[0].inside(), own[0].x))) for own in left]
+        found = _aggregate(df, [F.array(*[F.get(v, F.lit(s.t)) for s in own]) for own, v in zip(left, lists)])
+        for own, values in zip(left, found):
+            for s, value in zip(own, values):
+                s.value, s.done = value, True
+
+
+def _solve_strings(df: DataFrame, searches: list[_Search], max_candidates: int) -> None:
+    """Each search by radix: rows that begin with ``prefix`` (hex digits of the
+    bytes, whose order is that of the strings) hold the position."""
+    for s in searches:
+        own = df.where(s.rows).select(F.hex(F.col(s.name).cast("binary")).alias("h"))
+        prefix = ""
+        while s.m > max_candidates:
+            least, most = _aggregate(own, [F.min("h"), F.max("h")])
+            if least == most:
+                break
+            same = next((i for i, (a, b) in enumerate(zip(least, most)) if a != b), min(len(least), len(most)))
+            prefix = least[:same - same % 2]
+            part = F.substring("h", len(prefix) + 1, 4)
+            for key, n in sorted(own.groupBy(part.alias("p")).count().collect()):  # at most 65,793 prefixes
+                if s.t < n:
+                    break
+                s.t -= n
+            s.m, prefix = n, prefix + key
+            # a string that ends here is no beginning of the others
+            own = own.where((F.col("h") == prefix) if len(key) < 4 else F.col("h").startswith(prefix))
+        if s.m > max_candidates:
+            value = least
+        else:
+            value = _aggregate(own, [F.get(F.sort_array(F.collect_list("h")), F.lit(s.t))])[0]
+        s.value, s.done = bytes.fromhex(value).decode(), True
 
 
 def values_at(df: DataFrame, wanted: dict[str, tuple[Column, int, list[int]]], max_candidates: int = MAX_CANDIDATES,
-              accuracy: int = ACCURACY) -> dict[str, dict[int, object]]:
+              margin: float = MARGIN) -> dict[str, dict[int, object]]:
     """For each name, (column, number of its non-null rows, positions among
     them): the values at the positions."""
-    found = {name: {r: _Search(x, x.isNotNull(), r, n) for r in set(ranks)} for name, (x, n, ranks) in wanted.items()}
-    _solve(df, [s for own in found.values() for s in own.values()], max_candidates, accuracy)
+    found = {}
+    for name, (x, n, ranks) in wanted.items():
+        rows = x.isNotNull()
+        found[name] = {r: _Search(x, rows, r, n) for r in set(ranks)}
+    _solve(df, [s for own in found.values() for s in own.values()], max_candidates, margin)
     return {name: {r: s.value for r, s in own.items()} for name, own in found.items()}
 
 
 def keys_at(df: DataFrame, order_cols, indices, max_candidates: int = MAX_CANDIDATES,
-            accuracy: int = ACCURACY) -> dict[int, tuple]:
+            margin: float = MARGIN) -> dict[int, tuple]:
     """Key tuples (in the columns' own types) of the rows at the given
     positions of the order (1 or 2 columns, the last one unique when ranks
-    must identify single rows). Null keys come last."""
+    must identify single rows). Null keys come last. The second column may be
+    a string, in the order of its UTF-8 bytes."""
     wanted = sorted({int(i) for i in indices if i is not None and i >= 0})
     cols = list(order_cols)
     if not 1 <= len(cols) <= 2:
@@ -123,8 +196,9 @@ def keys_at(df: DataFrame, order_cols, indices, max_candidates: int = MAX_CANDID
     base = df.select(*cols)
     n, full = _aggregate(base, [F.count(F.lit(1)), F.count(p)])
     ranks = [r for r in wanted if r < n]
-    first = {r: _Search(p, p.isNotNull(), r, full) for r in ranks if r < full}
-    _solve(base, list(first.values()), max_candidates, accuracy)
+    known = p.isNotNull()
+    first = {r: _Search(p, known, r, full) for r in ranks if r < full}
+    _solve(base, list(first.values()), max_candidates, margin)
     values = {r: first[r].value if r in first else None for r in ranks}
     if s is None or not ranks:
         return {r: (_typed(values[r], p_is_ts),) for r in ranks}
@@ -133,7 +207,12 @@ def keys_at(df: DataFrame, order_cols, indices, max_candidates: int = MAX_CANDID
     sizes = _aggregate(base, [F.array(F.count_if(F.lit(False)) + full if values[r] is None else F.count_if(p < F.lit(values[r])),
                                       F.count(F.when(run[r], s))) for r in ranks])
     second = {r: _Search(s, run[r] & s.isNotNull(), r - below, m) for r, (below, m) in zip(ranks, sizes) if r - below < m}
-    _solve(base, list(second.values()), max_candidates, accuracy)
+    if isinstance(base.schema[cols[1]].dataType, T.StringType):
+        for q in second.values():
+            q.name = cols[1]
+        _solve_strings(base, list(second.values()), max_candidates)
+    else:
+        _solve(base, list(second.values()), max_candidates, margin)
     return {r: (_typed(values[r], p_is_ts), _typed(second[r].value, s_is_ts) if r in second else None) for r in ranks}
 
 

@@ -87,9 +87,8 @@ def segment_history(spark, sf_dir):
     ref, _, st = scored_split(spark, sf_dir)
     cur = st.withColumn("day", F.to_date("ts"))
     groups = [SEGMENT, "day"]
-    report = dr.feature_drift_report(ref, cur, DRIFT_FEATURES, groups=groups, edge_decimals=EDGE_DECIMALS)
-    score = dr.prediction_drift(ref, cur, "score", groups=groups, edge_decimals=EDGE_DECIMALS)
-    return dr.drift_cycle(report, score, groups=groups)
+    profile = dr.fit_profile(ref, DRIFT_FEATURES, "score", edge_decimals=EDGE_DECIMALS)
+    return dr.profile_cycle(profile, cur, groups)
 
 
 HIST_SQL = f"""

@@ -38,7 +38,7 @@ FEATS = list(LINEAR_WEIGHTS)
 @query("fingerprint", f"""
 WITH {TX_EVENTS},
 k AS (SELECT CAST(transaction_id AS VARCHAR) AS k FROM tx),
-b AS (SELECT substr(md5(k), 1, 5) AS b, count(*) AS n, sha256(string_agg(k, chr(10) ORDER BY k)) AS d FROM k GROUP BY 1),
+b AS (SELECT substr(md5(k), 1, 3) AS b, count(*) AS n, sha256(string_agg(k, chr(10) ORDER BY k)) AS d FROM k GROUP BY 1),
 g AS (SELECT substr(b, 1, 2) AS g, sum(n) AS n, sha256(string_agg(d, chr(10) ORDER BY b)) AS d FROM b GROUP BY 1)
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, sha256(string_agg(d, chr(10) ORDER BY g)) AS content_sha256,
        (SELECT min(ts) FROM tx) AS date_min, (SELECT max(ts) FROM tx) AS date_max FROM g""")

@@ -17,6 +17,13 @@ def append_history(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
        .write.mode("append").partitionBy("dt").json(path))
 
 
+def write_record(df: DataFrame, path: str, key: str, value) -> None:
+    """The records of one batch (or run) under ``key=value``. Written again,
+    they replace themselves: a rerun leaves the same rows. ``load_history``
+    reads ``key`` back as a column."""
+    df.drop(key).write.mode("overwrite").json(f"{path.rstrip('/')}/{key}={value}")
+
+
 def load_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
@@ -26,8 +33,9 @@ def load_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Report sinks (model comparison as JSON, importances as CSV)."""
-    w = df.coalesce(1).write.mode("overwrite")
+    """Report sinks (model comparison as JSON, importances as CSV), as many
+    files as the report has partitions; a rerun replaces the report."""
+    w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

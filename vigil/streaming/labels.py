@@ -8,8 +8,8 @@ drops join state once no future label can match: state is bounded by the
 label delay, not by the stream length.
 
 ``drift_monitor``: each micro-batch of the score stream is one drift cycle
-against a fixed reference (``foreachBatch``), appended to a history table;
-in production the query runs with ``trigger(processingTime='1 hour')``.
+against a stored reference profile (``foreachBatch``), written to a history
+table under its batch id, so that a replay adds nothing; in production the query runs with ``trigger(processingTime='1 hour')``.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from vigil.config import ROLES
 from vigil.operators import drift as dr
 from vigil.session import shared_dir
-from vigil.sources.history import append_history
+from vigil.sources.history import write_record
 from vigil.streaming.online import stage_chunks, state_partitions
 
 
@@ -56,19 +56,16 @@ def replay_label_join(spark: SparkSession, scores: DataFrame, labels: DataFrame,
     return spark.read.parquet(f"{base}/out")
 
 
-def drift_monitor(stream: DataFrame, reference: DataFrame, features, score: str | None,
-                  history_path: str, checkpoint: str, trigger: dict | None = None):
-    """One drift cycle per micro-batch, appended to ``history_path``.
-    The reference edges are recomputed per cycle from the (small, cached)
-    reference frame; every cycle is a few aggregates over the batch."""
+def drift_monitor(stream: DataFrame, profile: dr.DriftProfile, history_path: str, checkpoint: str,
+                  trigger: dict | None = None):
+    """One drift cycle per micro-batch against a stored profile (the
+    reference itself is not read), kept in ``history_path`` under its batch id.
+    A batch that is replayed after a failure overwrites its own record."""
     def cycle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        report = dr.feature_drift_report(reference, batch, features)
-        sd = dr.prediction_drift(reference, batch, score) if score else None
-        rec = dr.drift_cycle(report, sd).withColumns({
-            "batch_id": F.lit(batch_id), "timestamp": F.current_timestamp()})
-        append_history(rec, history_path)
+        rec = dr.profile_cycle(profile, batch).withColumn("timestamp", F.current_timestamp())
+        write_record(rec, history_path, "batch_id", batch_id)
 
     w = stream.writeStream.foreachBatch(cycle).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
