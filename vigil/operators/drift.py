@@ -2,11 +2,10 @@
 
 Plan: the two values beside each quantile of every feature are found together
 by exact selection (``select.values_at``, the same method at every size); the
-edges (features x 11 numbers, a proven small size) become literals. A second single pass counts ``x < e`` for every inner
-edge and feature, grouped by side (reference/current) and optional groups
-(e.g. an hourly window) - no row is shuffled, only partial counts. Bin
-counts are differences of neighbouring edge counts, so repeated edges yield
-empty bins exactly like a histogram over non-decreasing edges. PSI per
+edges (features x 11 numbers, a proven small size) become literals. A second single pass finds each value's bin by a
+tree of comparisons and counts per feature, bin and optional groups (e.g. an
+hourly window) - no row is shuffled, only partial counts. A value's bin is the number of edges at or below it, so
+repeated edges yield empty bins exactly like a histogram over non-decreasing edges. PSI per
 feature is an aggregate over the unpivoted (feature, bin) rows.
 
 Semantics: edges are the linear-interpolated percentiles 0,10,...,100 of the
@@ -28,7 +27,7 @@ from vigil.config import (
     PSI_MODERATE, PSI_SIGNIFICANT,
 )
 from vigil.functions.columns import psi_band
-from vigil.operators.select import values_at
+from vigil.operators.select import cuts_below, values_at
 
 
 def _clean(col: str):
@@ -67,31 +66,25 @@ def quantile_edges(reference: DataFrame, features, bins: int = PSI_BINS,
     return out
 
 
-def bin_counts(df: DataFrame, edges: dict[str, list[float]], groups=()) -> DataFrame:
-    """Rows (groups..., feature, bin, cnt, n) from one aggregate."""
-    groups = list(groups)
-    return _stack(df.groupBy(*groups).agg(*_bin_aggregates(edges)), edges, groups)
-
-
-def _bin_aggregates(edges: dict[str, list[float]]) -> list:
-    """Per feature its values (n) and those below each inner edge (c)."""
-    aggs = []
-    for i, (f, es) in enumerate(edges.items()):
-        x = _clean(f)
-        aggs.append(F.count(x).alias(f"n{i}"))
-        aggs += [F.count_if(x < F.lit(e)).alias(f"c{i}_{j}") for j, e in enumerate(es)]
-    return aggs
+def _binned(df: DataFrame, edges: dict[str, list[float]], keep) -> DataFrame:
+    """One narrow row per feature value: the kept columns, feature, bin. A
+    value's bin is the number of inner edges at or below it."""
+    codes = [F.struct(F.lit(f).alias("feature"), F.when(_clean(f).isNotNull(), cuts_below(_clean(f), es)).alias("bin"))
+             for f, es in edges.items()]
+    return df.select(*keep, F.inline(F.array(*codes))).where("bin is not null")
 
 
-def _stack(wide: DataFrame, edges: dict[str, list[float]], keep) -> DataFrame:
-    parts = []
-    for i, (f, es) in enumerate(edges.items()):
-        cuts = [f"c{i}_{j}" for j in range(len(es))]
-        name = f.replace("'", "''")
-        for b, (lo, hi) in enumerate(zip(["0"] + cuts, cuts + [f"n{i}"])):
-            parts.append(f"'{name}', {b}, ({hi}) - ({lo}), n{i}")
-    stack = f"stack({len(parts)}, {', '.join(parts)}) AS (feature, bin, cnt, n)"
-    return wide.selectExpr(*[f"`{k}`" for k in keep], stack)
+def bin_counts(df: DataFrame, edges: dict[str, list[float]], groups=()) -> DataFrame:
+    """Rows (groups..., feature, bin, cnt, n), empty bins included. Only
+    partial counts of (groups, feature, bin) are shuffled."""
+    groups = list(groups)
+    counted = _binned(df, edges, groups).groupBy(*groups, "feature", "bin").agg(F.count(F.lit(1)).alias("cnt"))
+    sizes = F.create_map(*[x for f, es in edges.items() for x in (F.lit(f), F.lit(len(es)))])
+    # bins of one group and feature: at most the number of edges + 1
+    by_bin = counted.groupBy(*groups, "feature").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "cnt"))).alias("_m"), F.sum("cnt").alias("n"))
+    return by_bin.select(*groups, "feature", "n", "_m", F.explode(F.sequence(F.lit(0), sizes[F.col("feature")])).alias("bin")).select(
+        *groups, "feature", "bin", F.coalesce(F.col("_m")[F.col("bin")], F.lit(0)).alias("cnt"), "n")
 
 
 def psi_from_counts(ref_bins: DataFrame, cur_bins: DataFrame, groups=(), floor: float = PSI_FLOOR) -> DataFrame:
@@ -196,30 +189,27 @@ def fit_profile(reference: DataFrame, features, score: str | None = None, flag_t
     the reference, or without a value there, are left out."""
     names = [*dict.fromkeys([*[f for f in features if f in reference.columns], *([score] if score else [])])]
     edges = quantile_edges(reference, names, bins, edge_decimals)
-    wide = reference.agg(*_bin_aggregates(edges), *_score_means(score, flag_threshold), F.lit(0).alias("_")).first()
-    counts = {}
-    for i, (f, es) in enumerate(edges.items()):
-        below = [0, *[wide[f"c{i}_{j}"] for j in range(len(es))], wide[f"n{i}"]]
-        counts[f] = [b - a for a, b in zip(below, below[1:])]
-    return DriftProfile(edges, counts, score, flag_threshold, wide["_mean"] if score else None,
-                        wide["_flagged"] if score else None, version)
+    counts = {f: [0] * (len(es) + 1) for f, es in edges.items()}
+    means = reference.agg(*_score_means(score, flag_threshold)).first() if score else (None, None)
+    if edges:
+        for r in _binned(reference, edges, []).groupBy("feature", "bin").count().collect():  # features x bins rows
+            counts[r["feature"]][r["bin"]] = r["count"]
+    return DriftProfile(edges, counts, score, flag_threshold, means[0], means[1], version)
 
 
 def profile_drift(profile: DriftProfile, current: DataFrame, groups=(), moderate: float = PSI_MODERATE,
                   significant: float = PSI_SIGNIFICANT) -> tuple[DataFrame, DataFrame | None]:
     """(feature report, score drift or None) of ``current`` against a profile,
-    per group, from one aggregate over ``current``. Features that ``current``
+    per group, from one count over (group, feature, bin). Features that ``current``
     lacks are skipped."""
     spark, groups, score = current.sparkSession, list(groups), profile.score
     edges = {f: e for f, e in profile.edges.items() if f in current.columns}
     score = score if score in current.columns else None
-    wide = current.groupBy(*groups).agg(*_bin_aggregates(edges), *_score_means(score, profile.flag_threshold), F.lit(0).alias("_"))
-    keep = [*groups, *(["_mean", "_flagged"] if score else [])]
-    none = ", ".join([f"`{g}` {current.schema[g].dataType.simpleString()}" for g in groups])
     if edges:
-        psi = psi_from_counts(profile.bins(spark), _stack(wide, edges, keep), keep)
+        psi = psi_from_counts(profile.bins(spark), bin_counts(current, edges, groups), groups)
     else:
-        psi = spark.createDataFrame([], ", ".join(filter(None, [none, "_mean double, _flagged double" if score else "", "feature string, psi double"])))
+        kinds = [f"`{g}` {current.schema[g].dataType.simpleString()}" for g in groups]
+        psi = spark.createDataFrame([], ", ".join([*kinds, "feature string, psi double"]))
     eff = effective_bins(edges)
     eff_col = F.element_at(F.create_map(*[x for f, n in eff.items() for x in (F.lit(f), F.lit(n))]), F.col("feature")) if eff else F.lit(None)
     band = psi_band("psi", moderate, significant)
@@ -228,7 +218,17 @@ def profile_drift(profile: DriftProfile, current: DataFrame, groups=(), moderate
                            eff_col.cast("int").alias("n_effective_bins"))
     if not score:
         return report, None
-    drift = psi.where(F.col("feature") == score).select(
+    means = current.groupBy(*groups).agg(*_score_means(score, profile.flag_threshold))
+    scored = psi.where(F.col("feature") == score)
+    if groups:
+        means = means.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(groups)})
+        on = F.lit(True)
+        for i, g in enumerate(groups):
+            on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+        joined = scored.join(means, on)
+    else:
+        joined = scored.crossJoin(means)  # one row each
+    drift = joined.select(
         *groups, F.round("psi", 4).alias("score_psi"),
         F.lit(profile.mean_score).alias("reference_mean_score"), F.col("_mean").alias("current_mean_score"),
         F.lit(profile.flagged_rate).alias("reference_flagged_rate"), F.col("_flagged").alias("current_flagged_rate"),

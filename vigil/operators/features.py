@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from vigil.config import FIRST_TXN_SENTINEL, ROLES, TARGET_SMOOTHING, FeatureConfig
 from vigil.functions.columns import micros
-from vigil.operators.joins import lookup_join
+from vigil.operators.joins import kept, lookup_join
 
 US = "_us"
 # amounts are summed with nine decimals, up to 1e29
@@ -98,11 +98,8 @@ def fit_risk_maps(train: DataFrame, smoothing: float = TARGET_SMOOTHING,
     """Smoothed merchant rate (mean*cnt + g*s)/(cnt + s); unsmoothed category
     mean. Grouped aggregates with map-side partial aggregation: a hot merchant
     costs one partial row per task, not a skewed reducer. The global rate g
-    comes from the (persisted) per-merchant sums, not another scan."""
-    from pyspark import StorageLevel
-    per_m = (train.groupBy(ROLES.merchant)
-             .agg(F.sum(label).alias("_s"), F.count(label).alias("_n"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    comes from the (checkpointed) per-merchant sums, not another scan."""
+    per_m = kept(train.groupBy(ROLES.merchant).agg(F.sum(label).alias("_s"), F.count(label).alias("_n")))
     tot = per_m.agg(F.sum("_s").alias("s"), F.sum("_n").alias("n")).first()
     g = float(tot["s"]) / tot["n"] if tot["n"] else 0.0
     mean = F.col("_s") / F.col("_n")

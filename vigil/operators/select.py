@@ -74,12 +74,6 @@ class _Search:
     def interval(self) -> tuple:
         return id(self.x), id(self.rows), self.lo, self.hi
 
-    def counts(self, a, b) -> Column:
-        """Rows below a, up to a, below b and up to b."""
-        x, own = self.x, self.inside()
-        return F.array(F.count_if(own & (x < F.lit(a))), F.count_if(own & (x <= F.lit(a))),
-                       F.count_if(own & (x < F.lit(b))), F.count_if(own & (x <= F.lit(b))))
-
     def narrow(self, a, b, counts) -> None:
         below_a, to_a, below_b, to_b = counts
         if below_a <= self.t < to_a or below_b <= self.t < to_b:
@@ -96,6 +90,52 @@ def _aggregate(df: DataFrame, columns: list[Column]) -> list:
     return list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first())
 
 
+def cuts_below(x: Column, cuts: list) -> Column:
+    """Number of ascending ``cuts`` at or below ``x`` (they may repeat), by a
+    tree of comparisons."""
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x < F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    return tree(0, len(cuts))
+
+
+def _counts(df: DataFrame, pairs: list[tuple[list[_Search], object, object]]) -> list[tuple[int, int, int, int]]:
+    """For each pair (a, b) the rows of its interval below a, up to a, below b
+    and up to b: one grouped count over the codes of all intervals' cuts."""
+    cuts: dict[tuple, set] = {}
+    of: dict[tuple, _Search] = {}
+    for run, a, b in pairs:
+        key = run[0].interval()
+        of.setdefault(key, run[0])
+        cuts.setdefault(key, set()).update((a, b))
+    order = {key: sorted(v) for key, v in cuts.items()}
+    own = list(order.items())
+    coded = df.select(*[F.when(of[key].inside(), of[key].x).alias(f"x{g}") for g, (key, _) in enumerate(own)])
+    coded = coded.select(*[F.col(f"x{g}") for g in range(len(own))],
+                         *[F.when(F.col(f"x{g}").isNotNull(), cuts_below(F.col(f"x{g}"), v)).alias(f"n{g}") for g, (_, v) in enumerate(own)])
+    # 2i between the cuts i - 1 and i, 2i + 1 on cut i
+    codes = [F.struct(F.lit(g).alias("g"), (2 * F.col(f"n{g}") - F.coalesce(
+        F.get(F.array(*map(F.lit, v)), F.col(f"n{g}") - 1) == F.col(f"x{g}"), F.lit(False)).cast("int")).alias("code"))
+        for g, (_, v) in enumerate(own)]
+    found = coded.select(F.inline(F.array(*codes))).where("code is not null").groupBy("g", "code").count().collect()  # 2 per cut
+    at = {key: g for g, key in enumerate(order)}
+    rows: dict[int, dict[int, int]] = {}
+    for r in found:
+        rows.setdefault(r["g"], {})[r["code"]] = r["count"]
+
+    def upto(key, code):
+        return sum(n for c, n in rows.get(at[key], {}).items() if c <= code)
+
+    out = []
+    for run, a, b in pairs:
+        key = run[0].interval()
+        i, j = order[key].index(a), order[key].index(b)
+        out.append((upto(key, 2 * i), upto(key, 2 * i + 1), upto(key, 2 * j), upto(key, 2 * j + 1)))
+    return out
+
+
 def _by(searches: list[_Search], key) -> dict:
     out: dict = {}
     for s in sorted(searches, key=lambda s: s.t):
@@ -128,7 +168,7 @@ def _solve(df: DataFrame, searches: list[_Search], max_candidates: int, margin:
         if not wide:
             break
         pairs = _brackets(df, wide, margin)
-        for (run, a, b), counts in zip(pairs, _aggregate(df, [run[0].counts(a, b) for run, a, b in pairs])):
+        for (run, a, b), counts in zip(pairs, _counts(df, pairs)):
             for s in run:
                 s.narrow(a, b, counts)
     left = list(_by([s for s in searches if not s.done], _Search.interval).values())

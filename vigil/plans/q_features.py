@@ -330,3 +330,89 @@ def q_velocity_orders_hot(spark, sf_dir):
 # the skew-plan variants answer to the same oracles as their hash-plan twins
 ORACLE["feature_matrix_hot"] = ORACLE["feature_matrix"]
 ORACLE["velocity_orders_hot"] = ORACLE["velocity_orders"]
+
+
+# ---------------------------------------------------------------- string ids, null keys
+TEXT_IDS = """
+stx AS (SELECT 'T' || reverse(CAST(transaction_id AS VARCHAR)) || '-' || CAST(transaction_id AS VARCHAR) AS transaction_id,
+               CASE WHEN transaction_id % 3 = 0 THEN 'C0' WHEN transaction_id % 3 = 1 THEN NULL
+                    ELSE 'U' || CAST(customer_id AS VARCHAR) END AS customer_id, device_id, amount,
+               date_trunc('hour', ts) AS ts, epoch_us(date_trunc('hour', ts)) AS us, 'all' AS split
+        FROM tx)"""
+
+
+def skewed_tx(spark, sf_dir):
+    """Events by the hour with string ids: a third of all rows on one customer,
+    a third without one."""
+    i = F.col("transaction_id")
+    return events_tx(spark, sf_dir).withColumns({
+        "transaction_id": F.concat(F.lit("T"), F.reverse(i.cast("string")), F.lit("-"), i),
+        "customer_id": F.when(i % 3 == 0, F.lit("C0")).when(i % 3 == 2, F.concat(F.lit("U"), F.col("customer_id"))),
+        "ts": F.date_trunc("hour", "ts").cast("timestamp_ntz")})
+
+
+def _null_safe(sql: str) -> str:
+    return sql.replace("a.customer_id = b.customer_id", "a.customer_id IS NOT DISTINCT FROM b.customer_id")
+
+
+_EARLIER = "(b.us < a.us OR (b.us = a.us AND b.transaction_id < a.transaction_id))"
+
+SKEW_ROWS = 200
+
+
+@query("velocity_skewed", _null_safe(f"""
+WITH {TX_EVENTS}, {TEXT_IDS}, {velocity_sql(EVENT_WINDOWS)},
+o AS (SELECT *, us - lag(us) OVER (PARTITION BY customer_id ORDER BY us, transaction_id) AS gap,
+             row_number() OVER (PARTITION BY customer_id, device_id ORDER BY us, transaction_id) AS nth FROM stx)
+SELECT o.transaction_id, coalesce(gap / 1e6, 1e6) AS seconds_since_last_txn,
+       {', '.join(f'v.velocity_count_{w}m, v.velocity_amount_{w}m' for w in EVENT_WINDOWS)},
+       CAST(nth = 1 AS INTEGER) AS is_new_device,
+       CAST(count(*) FILTER (WHERE nth = 1) OVER (PARTITION BY customer_id ORDER BY us, o.transaction_id) AS BIGINT)
+         AS distinct_device_count_so_far
+FROM o JOIN vel v USING (transaction_id)"""))
+def q_velocity_skewed(spark, sf_dir):
+    """All causal features where a third of the rows share one customer and a
+    third have none: those two keys take the running-sum plan."""
+    out = fe.causal_features(skewed_tx(spark, sf_dir), FeatureConfig(windows_minutes=EVENT_WINDOWS), hot_key_rows=SKEW_ROWS)
+    return out.select("transaction_id", "seconds_since_last_txn", *_vel_cols(EVENT_WINDOWS), "is_new_device",
+                      "distinct_device_count_so_far")
+
+
+@query("time_split_string_ids", f"""
+WITH {TX_EVENTS},
+t AS (SELECT 'T' || reverse(CAST(transaction_id AS VARCHAR)) || '-' || CAST(transaction_id AS VARCHAR) AS transaction_id,
+             epoch_us(date_trunc('month', ts)) AS us FROM tx),
+{SPLIT.replace('FROM tx', 'FROM t')}
+SELECT transaction_id, split FROM stx""")
+def q_time_split_string_ids(spark, sf_dir):
+    """Split by month, so that nearly all rows share a time and the string id decides."""
+    tx = skewed_tx(spark, sf_dir).withColumn("ts", F.date_trunc("month", "ts").cast("timestamp_ntz"))
+    out, _ = time_split(tx)
+    return out.select("transaction_id", "split")
+
+
+@query("feature_matrix_string_ids", _null_safe(f"""
+WITH {TX_EVENTS}, {TEXT_IDS.replace('stx AS', 'tx2 AS').replace(", 'all' AS split", "")}, {SPLIT.replace('FROM tx', 'FROM tx2')},
+{velocity_sql(EVENT_WINDOWS, partition_extra='split')},
+known AS (SELECT DISTINCT customer_id, device_id FROM stx WHERE split = 'train'),
+o AS (SELECT s.*, us - lag(us) OVER (PARTITION BY split, customer_id ORDER BY us, transaction_id) AS gap,
+             row_number() OVER (PARTITION BY split, customer_id, device_id ORDER BY us, transaction_id) = 1
+               AND NOT EXISTS (SELECT 1 FROM known k WHERE k.customer_id IS NOT DISTINCT FROM s.customer_id AND k.device_id = s.device_id)
+               AS fresh,
+             (SELECT count(*) FROM known k WHERE k.customer_id IS NOT DISTINCT FROM s.customer_id) AS n_known
+      FROM stx s)
+SELECT o.transaction_id, split, coalesce(gap / 1e6, 1e6) AS seconds_since_last_txn,
+       {', '.join(f'v.velocity_count_{w}m, v.velocity_amount_{w}m' for w in EVENT_WINDOWS)},
+       CAST(fresh AS INTEGER) AS is_new_device,
+       n_known + CAST(count(*) FILTER (WHERE fresh) OVER (PARTITION BY split, customer_id ORDER BY us, o.transaction_id) AS BIGINT)
+         AS distinct_device_count_so_far
+FROM o JOIN vel v USING (transaction_id)"""))
+def q_feature_matrix_string_ids(spark, sf_dir):
+    """Causal features per split with the train split's devices known, on
+    string ids and with rows that have no customer."""
+    st, info = time_split(skewed_tx(spark, sf_dir))
+    known = fe.fit_known_devices(st.where(in_split(st, info, "train")))
+    out = fe.causal_features(st, FeatureConfig(windows_minutes=EVENT_WINDOWS), known, ["split", ROLES.customer], list(SPLITS),
+                             hot_key_rows=SKEW_ROWS)
+    return out.select("transaction_id", "split", "seconds_since_last_txn", *_vel_cols(EVENT_WINDOWS), "is_new_device",
+                      "distinct_device_count_so_far")
