@@ -63,6 +63,123 @@ def test_events_stream_equals_batch(spark):
     pd.testing.assert_frame_equal(a.astype(float), b.astype(float), rtol=1e-9, atol=1e-6)
 
 
+@pytest.mark.parametrize("few", [0, 7])
+def test_maps_give_the_same_features(spark, few):
+    """String and null customers and string ids, events and devices in maps
+    from the first row or after a few: equal to batch, restored from warm-up."""
+    from vigil.plans.q_features import skewed_tx
+    tx = skewed_tx(spark, SF_SMALL)
+    batch = fe.causal_features(tx, FeatureConfig(windows_minutes=W))
+    want = batch.select("transaction_id", *COLS).toPandas().set_index("transaction_id").sort_index()[COLS].astype(float)
+    for cut in (None, "2024-01-10"):
+        rows = tx if cut is None else tx.where(F.col("ts") >= cut)
+        warm = None if cut is None else tx.where(F.col("ts") < cut)
+        out = replay(spark, rows, F.date_trunc("week", "ts"), W, name="maps", initial_state=warm, few_events=few, few_devices=few)
+        got = out.toPandas().set_index("transaction_id").sort_index()[COLS].astype(float)
+        pd.testing.assert_frame_equal(got, want.loc[got.index], rtol=1e-9, atol=1e-6)
+        assert len(got) == rows.count()
+
+
+class _Map:
+    """A map state that counts its calls."""
+    def __init__(self):
+        self.own, self.calls = {}, 0
+
+    def __getattr__(self, name):
+        def call(key=None, value=None):
+            self.calls += 1
+            if name == "iterator":
+                return iter(list(self.own.items()))
+            if name == "updateValue":
+                self.own[key] = value
+            elif name == "removeKey":
+                self.own.pop(key, None)
+            elif name == "clear":
+                self.own.clear()
+            else:
+                return key in self.own if name == "containsKey" else self.own.get(key)
+        return call
+
+
+class _Value:
+    def __init__(self):
+        self.own, self.calls = None, 0
+
+    def get(self):
+        self.calls += 1
+        return self.own
+
+    def update(self, value):
+        self.calls += 1
+        self.own = value
+
+    def clear(self):
+        self.own = None
+
+
+def test_state_calls_stay_bounded():
+    """100,000 devices and 60,000 events on one customer: a batch's state calls
+    do not grow with either, and buckets that left the window are gone."""
+    import types
+
+    import numpy as np
+
+    from vigil.streaming.online import BUCKETS, OnlineFeatures
+    op = OnlineFeatures(W)
+    op.init(types.SimpleNamespace(getValueState=lambda *a: _Value(), getMapState=lambda *a: _Map()))
+    states = (op.meta, op.recent, op.devices, op.buckets, op.rows)
+    costs, minute = [], 60_000_000
+    for batch in range(100):
+        t = np.arange(1000) * (6 * minute // 100) + batch * 60 * minute
+        pdf = pd.DataFrame({"customer_id": 1, "transaction_id": np.arange(1000) + batch * 1000, "ts_us": t, "amount": 1.0,
+                            "device_id": [f"d{batch}-{i}" for i in range(1000)], "ingest": True})
+        before = sum(s.calls for s in states)
+        out = op._process((1,), pdf)
+        costs.append(sum(s.calls for s in states) - before)
+        assert out["distinct_device_count_so_far"].iloc[-1] == 1000 * (batch + 1) and out["is_new_device"].all()
+        assert out["velocity_count_1440m"].iloc[-1] == min(1000 * (batch + 1) - 1, 23_999)
+    assert max(costs[50:]) <= 1.1 * max(costs[25:50]) and max(costs) < 3000
+    assert len(op.devices.own) == 100_000 and len(op.buckets.own) <= BUCKETS + 5
+    assert not op.meta.own[4] and not op.recent.own[1]
+
+
+def test_expired_state_is_forgotten(spark):
+    """One row per batch and a lifetime far below the time between batches."""
+    import uuid
+    from vigil.session import shared_dir
+    from vigil.streaming.online import enable_state_store, online_features, prepare, stage_chunks
+    enable_state_store(spark)
+    base = shared_dir(spark, f"expire-{uuid.uuid4().hex[:8]}")
+    stage_chunks(prepare(toy(spark)), F.col("transaction_id"), f"{base}/src")
+    schema = spark.read.parquet(f"{base}/src").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/src")
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        (online_features(stream, W, ttl_ms=1, velocity_ttl_ms=1).writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start().awaitTermination())
+    finally:
+        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+    rows = spark.read.parquet(f"{base}/out").collect()
+    assert len(rows) == len(TOY)
+    for r in rows:
+        assert tuple(r[c] for c in COLS) == (0, 0, 0, 0, 0, 0, 1e6, 1, 1)
+
+
+def test_chunks_are_whole_batches(spark):
+    """Chunks with fewer rows than files still have their number of files."""
+    import uuid
+    from vigil.session import shared_dir
+    from vigil.streaming.online import stage_chunks
+    base = shared_dir(spark, f"chunks-{uuid.uuid4().hex[:8]}")
+    df = spark.createDataFrame([(k, c) for c, n in ((0, 1), (1, 9), (2, 2)) for k in range(n)], "k long, c int")
+    stage_chunks(df, F.col("c"), f"{base}/src", files=3)
+    seen = []
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 3).parquet(f"{base}/src")
+    stream.writeStream.foreachBatch(lambda b, i: seen.append(sorted({r.c for r in b.collect()}))).option(
+        "checkpointLocation", f"{base}/ck").trigger(availableNow=True).start().awaitTermination()
+    assert seen == [[0], [1], [2]]
+
+
 def test_initial_state_warm_up(spark):
     """Stream only the second half with the first half as initial state:
     features of the second half equal the full replay."""

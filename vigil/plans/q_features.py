@@ -123,7 +123,7 @@ SELECT a.transaction_id, a.customer_id,
                 1e6) AS seconds_since_last_txn
 FROM tx a""")
 def q_recency(spark, sf_dir):
-    return (fe.add_recency(events_tx(spark, sf_dir))
+    return (fe.causal_features(events_tx(spark, sf_dir), FeatureConfig(windows_minutes=()))
             .select("transaction_id", "customer_id", "seconds_since_last_txn"))
 
 
@@ -131,7 +131,7 @@ def q_recency(spark, sf_dir):
 WITH {TX_EVENTS}, {_NOSPLIT}, {velocity_sql(EVENT_WINDOWS)}
 SELECT transaction_id, {', '.join(f'velocity_count_{w}m' for w in EVENT_WINDOWS)} FROM vel""")
 def q_velocity_count(spark, sf_dir):
-    out = fe.add_velocity(events_tx(spark, sf_dir), EVENT_WINDOWS)
+    out = fe.causal_features(events_tx(spark, sf_dir), FeatureConfig(windows_minutes=EVENT_WINDOWS))
     return out.select("transaction_id", *[f"velocity_count_{w}m" for w in EVENT_WINDOWS])
 
 
@@ -139,7 +139,7 @@ def q_velocity_count(spark, sf_dir):
 WITH {TX_EVENTS}, {_NOSPLIT}, {velocity_sql(EVENT_WINDOWS)}
 SELECT transaction_id, {', '.join(f'velocity_amount_{w}m' for w in EVENT_WINDOWS)} FROM vel""")
 def q_velocity_amount(spark, sf_dir):
-    out = fe.add_velocity(events_tx(spark, sf_dir), EVENT_WINDOWS)
+    out = fe.causal_features(events_tx(spark, sf_dir), FeatureConfig(windows_minutes=EVENT_WINDOWS))
     return out.select("transaction_id", *[F.round(f"velocity_amount_{w}m", 2).alias(f"velocity_amount_{w}m")
                                           for w in EVENT_WINDOWS])
 
@@ -155,9 +155,7 @@ rec AS (
 SELECT v.*, r.seconds_since_last_txn FROM vel v JOIN rec r USING (transaction_id)""")
 def q_velocity_orders(spark, sf_dir):
     """Recency and velocity on day-grained orders (real timestamp ties)."""
-    tx = fe.with_micros(orders_tx(spark, sf_dir)).repartition(ROLES.customer)
-    tx = tx.withColumn("seconds_since_last_txn", fe.recency_column())
-    tx = tx.withColumns(dict(fe.velocity_columns(ORDER_WINDOWS)))
+    tx = fe.causal_features(orders_tx(spark, sf_dir), FeatureConfig(windows_minutes=ORDER_WINDOWS))
     return tx.select("transaction_id", *_vel_cols(ORDER_WINDOWS), "seconds_since_last_txn")
 
 
@@ -172,7 +170,7 @@ SELECT a.transaction_id,
 FROM tx a""")
 def q_is_new_device(spark, sf_dir):
     """Causal device consistency (no seeded devices), one history per customer."""
-    out = fe.add_device_consistency(events_tx(spark, sf_dir))
+    out = fe.causal_features(events_tx(spark, sf_dir), FeatureConfig(windows_minutes=()))
     return out.select("transaction_id", "is_new_device", "distinct_device_count_so_far")
 
 

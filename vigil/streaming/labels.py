@@ -40,14 +40,15 @@ def delayed_label_join(scores: DataFrame, labels: DataFrame, max_delay: str = "7
 
 def replay_label_join(spark: SparkSession, scores: DataFrame, labels: DataFrame, score_chunk: F.Column,
                       label_chunk: F.Column, max_delay: str = "7 days", watermark: str = "1 day",
-                      name: str = "labels") -> DataFrame:
-    """Harness: replay both tables as file streams (one chunk per micro-batch
-    each) through the interval join; returns the joined rows."""
+                      name: str = "labels", files: int = 4, key: str = ROLES.transaction_id) -> DataFrame:
+    """Harness: replay both tables as file streams (one whole chunk of
+    ``files`` files per micro-batch each, so both watermarks advance by whole
+    chunks) through the interval join; returns the joined rows."""
     base = shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    stage_chunks(scores, score_chunk, f"{base}/scores")
-    stage_chunks(labels, label_chunk, f"{base}/labels")
-    s = spark.readStream.schema(scores.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/scores")
-    lab = spark.readStream.schema(labels.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/labels")
+    stage_chunks(scores, score_chunk, f"{base}/scores", files=files, by=key)
+    stage_chunks(labels, label_chunk, f"{base}/labels", files=files, by=key)
+    s = spark.readStream.schema(scores.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/scores")
+    lab = spark.readStream.schema(labels.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/labels")
     with state_partitions(spark):
         q = (delayed_label_join(s, lab, max_delay, watermark).writeStream.format("parquet")
              .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")

@@ -1,11 +1,20 @@
 """Streaming twin of the causal features.
 
 ``transformWithStateInPandas`` keyed by customer keeps, per customer:
-  events   ListState (us, amount, id): committed transactions inside the
-           largest window (evicted as time advances; T2, T3)
-  meta     ValueState (last, maxnow, devices): the last committed time (T5),
-           the largest committed time (for eviction) and the distinct
-           devices seen so far (T6)
+  meta     ValueState: the last committed time (T5), the largest one, the number
+           of devices seen, and the devices themselves while there are few (T6)
+  recent   ValueState: committed transactions inside the largest window, while
+           there are few (T2, T3)
+  devices  MapState device -> first time, beyond ``FEW_DEVICES``: a batch looks
+           up its own devices only, each entry has its own lifetime
+  buckets  MapState time bucket -> (rows, amount, chunks), beyond
+           ``FEW_EVENTS``: partial sums of a 96th of the largest window
+  rows     MapState (bucket, chunk) -> times and amounts of one batch's rows
+A busy customer's batch reads the partial sums (about a hundred), and exact
+rows only of buckets where a window of the batch begins or ends; it appends
+chunks and drops buckets that have left the largest window. Most customers have
+few events and devices: two reads and two writes. Both layouts give the same
+features.
 
 Two-phase contract per transaction (T1): features are computed from state
 that excludes the transaction, then it is committed. Inside a micro-batch a
@@ -13,7 +22,8 @@ customer's rows are ordered by (ts, transaction_id) and processed with
 vectorised numpy (prefix counts + searchsorted), so a hot customer costs
 O(m log m) per batch, not a Python loop per row. Rows with ``ingest`` false
 are scored but not committed (T7). An ``initialState`` DataFrame of past
-transactions warms the state up (T9). Optional state TTL (T4).
+transactions warms the state up (T9). Optional state TTL (T4). Customers and
+ids may be of any type; rows without a customer are one customer.
 
 The windows are ``lower < ts <= now`` over committed events, the same
 definition as the batch operators, so with chronological arrival the stream
@@ -40,67 +50,132 @@ TS_US = "ts_us"
 INPUT_COLS = [ROLES.customer, ROLES.transaction_id, TS_US, ROLES.amount, ROLES.device, "ingest"]
 
 
-def output_schema(windows_minutes, passthrough_ddl: str = "") -> str:
+#: a customer with more events in the window, or more devices, has them in maps
+FEW_EVENTS, FEW_DEVICES = 512, 128
+#: time buckets in the largest window
+BUCKETS = 96
+
+
+def output_schema(windows_minutes, passthrough_ddl: str = "", key_type: str = "long", id_type: str = "long") -> str:
     vel = ", ".join(f"velocity_count_{w}m long, velocity_amount_{w}m double" for w in windows_minutes)
     extra = f", {passthrough_ddl}" if passthrough_ddl else ""
-    return (f"{ROLES.customer} long, {ROLES.transaction_id} long, {TS_US} long, {vel}, "
-            "seconds_since_last_txn double, is_new_device int, distinct_device_count_so_far long" + extra)
+    return (f"{ROLES.customer} {key_type}, {ROLES.transaction_id} {id_type}, {TS_US} long, " + (f"{vel}, " if vel else "")
+            + "seconds_since_last_txn double, is_new_device int, distinct_device_count_so_far long" + extra)
 
 
 class OnlineFeatures(StatefulProcessor):
     def __init__(self, windows_minutes=DEFAULT_WINDOWS_MINUTES, ttl_ms: int | None = None,
-                 passthrough=(), velocity_ttl_ms: int | None = None):
+                 passthrough=(), velocity_ttl_ms: int | None = None, few_events: int = FEW_EVENTS, few_devices: int = FEW_DEVICES):
         self.passthrough = list(passthrough)
         self.windows = [int(w) for w in windows_minutes]
         self.w_us = [w * 60_000_000 for w in self.windows]
         self.max_w = max(self.w_us) if self.w_us else 0
+        self.width = max(1, self.max_w // BUCKETS)
+        self.few_events, self.few_devices = few_events, few_devices
         self.ttl_ms = ttl_ms
         # events are of no use beyond the largest window; kept twice as long
         self.velocity_ttl_ms = velocity_ttl_ms or (2 * self.max_w // 1000 if ttl_ms and self.max_w else None)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        ttl = self.ttl_ms
-        self.events = handle.getListState("events", "us long, amount double, id long", self.velocity_ttl_ms)
-        # last committed time, largest committed time, distinct devices so far
-        self.meta = handle.getValueState("meta", "last long, maxnow long, devices array<string>", ttl)
-
-    # -- state helpers (about four state calls per key and micro-batch) ----
-    def _load_events(self):
-        rows = list(self.events.get()) if self.events.exists() else []
-        if not rows:
-            return np.empty(0, np.int64), np.empty(0, np.float64), np.empty(0, np.int64)
-        us, amt, ids = zip(*rows)
-        return np.asarray(us, np.int64), np.asarray(amt, np.float64), np.asarray(ids, np.int64)
+        ttl, short = self.ttl_ms, self.velocity_ttl_ms
+        self.meta = handle.getValueState("meta", "last long, maxnow long, n long, many boolean, devices array<string>", ttl)
+        self.recent = handle.getValueState("recent", "busy boolean, us array<long>, amount array<double>", short)
+        self.devices = handle.getMapState("devices", "device string", "us long", ttl)
+        self.buckets = handle.getMapState("buckets", "bucket long", "n long, total double, chunks int", short)
+        self.rows = handle.getMapState("rows", "bucket long, chunk int", "us array<long>, amount array<double>", short)
+
+    # -- events inside the largest window ------------------------------
+    def _events(self, wanted: np.ndarray):
+        """(sums, us, amount): partial sums of busy customers (bucket -> n,
+        total, chunks), and exact rows: all of them, or those of the ``wanted``
+        buckets."""
+        found = self.recent.get()
+        if found is None:
+            return None, np.empty(0, np.int64), np.empty(0)
+        if not found[0]:
+            return None, np.asarray(found[1], np.int64), np.asarray(found[2], np.float64)
+        sums = {k[0]: tuple(v) for k, v in self.buckets.iterator()}
+        us, amount = [np.empty(0, np.int64)], [np.empty(0)]
+        for b in wanted.tolist():
+            for chunk in range(sums[b][2] if b in sums else 0):
+                part = self.rows.getValue((b, chunk))
+                if part is not None:
+                    us.append(np.asarray(part[0], np.int64))
+                    amount.append(np.asarray(part[1], np.float64))
+        return sums, np.concatenate(us), np.concatenate(amount)
+
+    def _add_events(self, sums, us, amount, cutoff: int, old_us, old_amount) -> None:
+        """Append committed rows, drop what has left the largest window."""
+        if sums is None:
+            us, amount = np.append(old_us, us), np.append(old_amount, amount)
+            keep = us > cutoff
+            us, amount = us[keep], amount[keep]
+            if len(us) <= self.few_events:
+                self.recent.update((False, us.tolist(), amount.tolist()))
+                return
+            sums = {}
+        gone = [b for b in sums if (b + 1) * self.width <= cutoff + 1]
+        for b in gone:
+            for chunk in range(sums[b][2]):
+                self.rows.removeKey((b, chunk))
+            self.buckets.removeKey((b,))
+        own = us // self.width
+        for b in np.unique(own).tolist():
+            if (b + 1) * self.width <= cutoff + 1:
+                continue
+            at = own == b
+            n, total, chunks = sums.get(b, (0, 0.0, 0)) if b not in gone else (0, 0.0, 0)
+            self.rows.updateValue((b, chunks), (us[at].tolist(), amount[at].tolist()))
+            self.buckets.updateValue((b,), (n + int(at.sum()), float(total + amount[at].sum()), chunks + 1))
+        self.recent.update((True, [], []))
+
+    def _clear_events(self) -> None:
+        for state in (self.recent, self.buckets, self.rows):
+            state.clear()
+
+    @staticmethod
+    def _upto(x: np.ndarray, width: int, sums, us: np.ndarray, cum: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State rows and amounts at or before each time: whole buckets before
+        the time's own, and the exact rows of that one."""
+        at = np.searchsorted(us, x, side="right")
+        if sums is None:
+            return at, cum[at]
+        order = np.array(sorted(sums), np.int64)
+        n = np.concatenate([[0], np.cumsum([sums[b][0] for b in order.tolist()])]) if len(order) else np.zeros(1, np.int64)
+        total = np.concatenate([[0.0], np.cumsum([sums[b][1] for b in order.tolist()])]) if len(order) else np.zeros(1)
+        whole = np.searchsorted(order, x // width)
+        begin = np.searchsorted(us, x // width * width, side="left")
+        return n[whole] + at - begin, total[whole] + cum[at] - cum[begin]
+
+    # -- devices ---------------------------------------------------------
+    def _known_devices(self, meta, wanted) -> set:
+        if not meta[3]:
+            return set(meta[4])
+        return {d for d in wanted if self.devices.containsKey((d,))}
 
     def _load_meta(self):
         m = self.meta.get()
-        if m is None:
-            return None, None, []
-        return m[0], m[1], list(m[2] or [])
-
-    def _commit(self, us, amt, ids, devs, e_us, meta, known: set):
-        """Fold committed rows (in arrival order) into state: append the new
-        events, rewriting the list only when some events left the largest
-        window; one value write for times and devices."""
+        return (None, None, 0, False, []) if m is None else (m[0], m[1], m[2], m[3], list(m[4] or []))
+
+    def _commit(self, us, amount, devs, meta, known: set, sums, old_us, old_amount):
+        """Fold committed rows (in arrival order) into state."""
         if len(us) == 0:
             return
-        _, prev_max, dev_list = meta
+        _, prev_max, n, many, few = meta
         new_max = int(us.max()) if prev_max is None else max(int(prev_max), int(us.max()))
-        cutoff = new_max - self.max_w
-        new_rows = [(int(a), float(b), int(c)) for a, b, c in zip(us, amt, ids) if a > cutoff]
-        if len(e_us) and e_us.min() <= cutoff:
-            kept = [(int(a), float(b), int(c)) for a, b, c in zip(*self._events_cache) if a > cutoff]
-            if kept or new_rows:
-                self.events.put(kept + new_rows)
-            else:
-                self.events.clear()   # a list state cannot hold an empty list
-        elif new_rows:
-            self.events.appendList(new_rows)
-        for d in dict.fromkeys(devs):
-            if d not in known:
-                known.add(d)
-                dev_list.append(d)
-        self.meta.update((int(us[-1]), new_max, dev_list))
+        if self.max_w:
+            self._add_events(sums, us, amount, new_max - self.max_w, old_us, old_amount)
+        first = {}
+        for d, t in zip(devs, us.tolist()):
+            first.setdefault(d, t)
+        new = [d for d in first if d not in known]
+        few = [*few, *new] if not many else []
+        if not many and len(few) > self.few_devices:
+            new, few, many = few, [], True
+        if many:
+            for d in {*new, *(first if self.ttl_ms else ())}:  # a device seen again lives on
+                self.devices.updateValue((d,), (first.get(d, int(us[0])),))
+        self.meta.update((int(us[-1]), new_max, n + sum(d not in known for d in first), many, few))
 
     # -- the operator --------------------------------------------------
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -111,32 +186,26 @@ class OnlineFeatures(StatefulProcessor):
         pdf = pdf.sort_values([TS_US, ROLES.transaction_id], kind="mergesort").reset_index(drop=True)
         t = pdf[TS_US].to_numpy(np.int64)
         a = pdf[ROLES.amount].to_numpy(np.float64)
-        ids = pdf[ROLES.transaction_id].to_numpy(np.int64)
-        devs = pdf[ROLES.device].astype(object).to_numpy()
+        devs = ["" if d is None or d != d else d for d in pdf[ROLES.device].astype(object)]
         commit = pdf["ingest"].fillna(True).to_numpy(bool) if "ingest" in pdf else np.ones(len(pdf), bool)
         m = len(pdf)
 
-        e_us, e_amt, e_ids = self._load_events()
-        self._events_cache = (e_us, e_amt, e_ids)
+        lower = [t - w for w in self.w_us]
+        sums, e_us, e_amt = self._events(np.unique(np.concatenate([t, *lower]) // self.width)) if self.windows else (None, t[:0], a[:0])
         order = np.argsort(e_us, kind="mergesort")
-        s_us, s_amt = e_us[order], e_amt[order]
-        s_cum = np.concatenate([[0.0], np.cumsum(s_amt)])
+        s_us, s_cum = e_us[order], np.concatenate([[0.0], np.cumsum(e_amt[order])])
         # exclusive prefix counts/sums of committed in-batch rows
         cm = np.concatenate([[0], np.cumsum(commit)])
         ca = np.concatenate([[0.0], np.cumsum(np.where(commit, a, 0.0))])
         idx = np.arange(m)
-        out = {ROLES.customer: np.full(m, key[0]), ROLES.transaction_id: ids, TS_US: t}
-        for w, wu in zip(self.windows, self.w_us):
-            lower = t - wu
-            hi = np.searchsorted(s_us, t, side="right")
-            lo = np.searchsorted(s_us, lower, side="right")
-            n_state = hi - lo
-            sum_state = s_cum[hi] - s_cum[lo]
-            blo = np.minimum(np.searchsorted(t, lower, side="right"), idx)
-            n_batch = cm[idx] - cm[blo]
-            sum_batch = ca[idx] - ca[blo]
-            out[f"velocity_count_{w}m"] = (n_state + n_batch).astype(np.int64)
-            out[f"velocity_amount_{w}m"] = np.maximum(sum_state + sum_batch, 0.0)
+        out = {ROLES.customer: pd.Series([key[0]] * m, dtype=object), ROLES.transaction_id: pdf[ROLES.transaction_id], TS_US: t}
+        if self.windows:
+            n_now, sum_now = self._upto(t, self.width, sums, s_us, s_cum)
+        for w, low in zip(self.windows, lower):
+            n_low, sum_low = self._upto(low, self.width, sums, s_us, s_cum)
+            blo = np.minimum(np.searchsorted(t, low, side="right"), idx)
+            out[f"velocity_count_{w}m"] = (n_now - n_low + cm[idx] - cm[blo]).astype(np.int64)
+            out[f"velocity_amount_{w}m"] = np.maximum(sum_now - sum_low + ca[idx] - ca[blo], 0.0)
         # recency: last committed time before each row
         meta = self._load_meta()
         last0 = meta[0]
@@ -147,8 +216,8 @@ class OnlineFeatures(StatefulProcessor):
         has_prev = (prev_pos >= 0) | (last0 is not None)
         out["seconds_since_last_txn"] = np.where(has_prev, (t - prev_t) / 1e6, FIRST_TXN_SENTINEL)
         # devices: state set S plus committed in-batch devices before the row
-        known = set(meta[2])
-        n_s = len(known)
+        known = self._known_devices(meta, set(devs))
+        n_s = meta[2]
         in_state = np.fromiter((d in known for d in devs), bool, count=m)
         same_dev_before = (pd.Series(commit.astype(np.int64)).groupby(pd.Series(devs)).cumsum().to_numpy()
                            - commit.astype(np.int64))
@@ -158,7 +227,7 @@ class OnlineFeatures(StatefulProcessor):
         out["is_new_device"] = (~seen).astype(np.int32)
         out["distinct_device_count_so_far"] = (n_s + new_before + (~seen)).astype(np.int64)
 
-        self._commit(t[commit], a[commit], ids[commit], list(devs[commit]), e_us, meta, known)
+        self._commit(t[commit], a[commit], [d for d, c in zip(devs, commit.tolist()) if c], meta, known, sums, e_us, e_amt)
         for c in self.passthrough:
             out[c] = pdf[c].to_numpy()
         res = pd.DataFrame(out)
@@ -169,12 +238,11 @@ class OnlineFeatures(StatefulProcessor):
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Warm-up with past transactions, committed in time order."""
         h = initialState.sort_values([TS_US, ROLES.transaction_id], kind="mergesort")
-        e_us, e_amt, e_ids = self._load_events()
-        self._events_cache = (e_us, e_amt, e_ids)
+        devs = ["" if d is None or d != d else d for d in h[ROLES.device].astype(object)]
         meta = self._load_meta()
-        self._commit(h[TS_US].to_numpy(np.int64), h[ROLES.amount].to_numpy(np.float64),
-                     h[ROLES.transaction_id].to_numpy(np.int64), list(h[ROLES.device]), e_us,
-                     meta, set(meta[2]))
+        sums, e_us, e_amt = self._events(np.empty(0, np.int64))
+        self._commit(h[TS_US].to_numpy(np.int64), h[ROLES.amount].to_numpy(np.float64), devs, meta,
+                     self._known_devices(meta, set(devs)), sums, e_us, e_amt)
 
     def close(self) -> None:
         pass
@@ -186,14 +254,15 @@ class EventTimeOrderedFeatures(OnlineFeatures):
     arrival order within the watermark delay gives the batch features. An
     event-time timer per key fires when the watermark passes the newest
     buffered row; rows at or before the watermark are processed, the rest
-    stay buffered."""
+    stay buffered. Another timer drops a customer's events once the watermark
+    has passed their largest window."""
 
     def __init__(self, windows_minutes=DEFAULT_WINDOWS_MINUTES, ttl_ms: int | None = None,
-                 passthrough=(), velocity_ttl_ms: int | None = None, passthrough_ddl: str = ""):
+                 passthrough=(), velocity_ttl_ms: int | None = None, passthrough_ddl: str = "", id_type: str = "long"):
         super().__init__(windows_minutes, ttl_ms, passthrough, velocity_ttl_ms)
         own = [c for c in self.passthrough if c not in INPUT_COLS]
         self.waiting = [ROLES.transaction_id, TS_US, ROLES.amount, ROLES.device, "ingest", "emit", *own]
-        self.waiting_ddl = (f"{ROLES.transaction_id} long, {TS_US} long, {ROLES.amount} double, {ROLES.device} string, "
+        self.waiting_ddl = (f"{ROLES.transaction_id} {id_type}, {TS_US} long, {ROLES.amount} double, {ROLES.device} string, "
                             "ingest boolean, emit boolean" + (f", {passthrough_ddl}" if passthrough_ddl else ""))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -222,6 +291,12 @@ class EventTimeOrderedFeatures(OnlineFeatures):
             self.pending.clear()
         if len(ready):
             yield self._process(key, ready.reset_index(drop=True))
+        newest = self._load_meta()[1]
+        if newest is not None and self.max_w:
+            if newest + self.max_w < wm_us:
+                self._clear_events()
+            else:
+                self.handle.registerTimer((newest + self.max_w) // 1000 + 1)
 
 
 def prepare(tx: DataFrame, keep=()) -> DataFrame:
@@ -239,7 +314,8 @@ def prepare(tx: DataFrame, keep=()) -> DataFrame:
 def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
                     initial_state: DataFrame | None = None, ttl_ms: int | None = None,
                     dedup_within_watermark: str | None = None, passthrough=(),
-                    event_time_order: str | None = None, velocity_ttl_ms: int | None = None) -> DataFrame:
+                    event_time_order: str | None = None, velocity_ttl_ms: int | None = None,
+                    few_events: int = FEW_EVENTS, few_devices: int = FEW_DEVICES) -> DataFrame:
     """Streaming features keyed by customer. ``dedup_within_watermark``
     (e.g. '1 hour') drops repeated transaction ids (T8; needs a watermark
     on ts, so it applies to streams carrying ``ts``). ``passthrough``
@@ -262,6 +338,7 @@ def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
     keep = [c for c in passthrough if c not in INPUT_COLS] + (["emit"] if "emit" in s.columns else [])
     ddl = ", ".join(f"`{c}` {s.schema[c].dataType.simpleString()}" for c in passthrough)
     s = prepare(s, keep=keep)
+    types = [s.schema[c].dataType.simpleString() for c in (ROLES.customer, ROLES.transaction_id)]
     init = None
     if initial_state is not None:
         init = prepare(initial_state).groupBy(ROLES.customer)
@@ -270,13 +347,13 @@ def online_features(stream: DataFrame, windows_minutes=DEFAULT_WINDOWS_MINUTES,
         return s.groupBy(ROLES.customer).transformWithStateInPandas(
             statefulProcessor=EventTimeOrderedFeatures(
                 windows_minutes, ttl_ms, passthrough, velocity_ttl_ms,
-                ", ".join(f"`{c}` {s.schema[c].dataType.simpleString()}" for c in passthrough if c not in INPUT_COLS)),
-            outputStructType=output_schema(windows_minutes, ddl), outputMode="Append",
+                ", ".join(f"`{c}` {s.schema[c].dataType.simpleString()}" for c in passthrough if c not in INPUT_COLS), types[1]),
+            outputStructType=output_schema(windows_minutes, ddl, *types), outputMode="Append",
             timeMode="EventTime", initialState=init)
     time_mode = "ProcessingTime" if ttl_ms else "None"
     return s.groupBy(ROLES.customer).transformWithStateInPandas(
-        statefulProcessor=OnlineFeatures(windows_minutes, ttl_ms, passthrough, velocity_ttl_ms),
-        outputStructType=output_schema(windows_minutes, ddl), outputMode="Append",
+        statefulProcessor=OnlineFeatures(windows_minutes, ttl_ms, passthrough, velocity_ttl_ms, few_events, few_devices),
+        outputStructType=output_schema(windows_minutes, ddl, *types), outputMode="Append",
         timeMode=time_mode, initialState=init)
 
 
@@ -317,22 +394,36 @@ class state_partitions:
         return False
 
 
-def stage_chunks(df: DataFrame, chunk: F.Column, folder: str, drop=(), files: int = 1) -> None:
-    """Write ``df`` chunk by chunk in ascending order, each as up to ``files``
-    files dealt by customer, so a file source that takes ``files`` at a time
-    reads a customer's rows in that order."""
+def _files(spark: SparkSession, folder: str) -> int:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(f.getPath().getName().endswith(".parquet") for f in fs.listStatus(path)) if fs.exists(path) else 0
+
+
+def stage_chunks(df: DataFrame, chunk: F.Column, folder: str, drop=(), files: int = 1, by: str | None = None) -> None:
+    """Write ``df`` chunk by chunk in ascending order, each as exactly
+    ``files`` files dealt by customer (or ``by``): where a chunk has rows for
+    fewer, empty files make up the number. A file source that takes ``files`` at
+    a time so reads whole chunks, and no batch mixes two."""
+    spark = df.sparkSession
     staged = df.withColumn("_chunk", chunk)
     chunks = [r[0] for r in staged.select("_chunk").distinct().orderBy("_chunk").collect()]
-    by = ROLES.customer if ROLES.customer in df.columns else df.columns[0]
+    by = by or (ROLES.customer if ROLES.customer in df.columns else df.columns[0])
+    none = staged.limit(0).drop("_chunk", *drop)
+    before = _files(spark, folder)
     for c in chunks:  # bounded: one write per chunk value
-        (staged.where(F.col("_chunk") == c).drop("_chunk", *drop)
+        (staged.where(F.col("_chunk").eqNullSafe(F.lit(c))).drop("_chunk", *drop)
          .repartition(files, by).write.mode("append").parquet(folder))
+        after = _files(spark, folder) if files > 1 else before + 1
+        for _ in range(files - (after - before)):
+            none.coalesce(1).write.mode("append").parquet(folder)
+        before += files
 
 
 def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=DEFAULT_WINDOWS_MINUTES,
            name: str = "replay", initial_state: DataFrame | None = None, passthrough=(),
            model=None, maps=None, threshold: float = 0.5, event_time_order: str | None = None,
-           files: int = 1) -> DataFrame:
+           files: int = 1, few_events: int = FEW_EVENTS, few_devices: int = FEW_DEVICES) -> DataFrame:
     """Test/benchmark harness: write ``tx`` chunk by chunk in ascending order,
     ``files`` files each (so the file source sees them in that order), run
     the streaming features over them ``files`` per micro-batch, and return
@@ -346,7 +437,7 @@ def replay(spark: SparkSession, tx: DataFrame, chunk: F.Column, windows_minutes=
     schema = spark.read.parquet(src).schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(src)
     feats = online_features(stream, windows_minutes, initial_state=initial_state, passthrough=passthrough,
-                            event_time_order=event_time_order)
+                            event_time_order=event_time_order, few_events=few_events, few_devices=few_devices)
     if model is not None:
         feats = score_stream(feats, maps, model, threshold)
     with state_partitions(spark):
