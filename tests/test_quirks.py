@@ -149,19 +149,33 @@ def test_smote_invariants(spark):
         assert ok
 
 
-def test_smote_blocked_knn_equals_broadcast_knn(spark):
+@pytest.mark.parametrize("kind,tile,group", [("spread", 40, 3), ("clusters", 40, 1), ("copies", 25, 4), ("one", 5000, None)])
+def test_neighbours_by_brute_force(spark, kind, tile, group):
+    from vigil.operators import neighbours
     rng = np.random.default_rng(5)
-    n = 1500
-    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.normal(size=n), "c": rng.normal(size=n),
-                        "label": (rng.uniform(size=n) < 0.04).astype(np.int32)})
-    df = spark.createDataFrame(pdf)
-    a, ia = smote(df, ["a", "b", "c"], "label", seed=2)
-    b, ib = smote(df, ["a", "b", "c"], "label", seed=2, max_broadcast_rows=10, block_rows=16)
-    assert (ia["knn"], ib["knn"]) == ("broadcast", "blocked")
-    sa = a.where("synthetic = 1").toPandas().sort_values(["a", "b", "c"]).reset_index(drop=True)
-    sb = b.where("synthetic = 1").toPandas().sort_values(["a", "b", "c"]).reset_index(drop=True)
-    assert len(sa) == len(sb) == ia["generated"]
-    assert np.allclose(sa[["a", "b", "c"]].to_numpy(), sb[["a", "b", "c"]].to_numpy(), atol=1e-12)
+    n, names = 900, ["a", "b", "c"]
+    x = rng.normal(size=(n, 3))
+    if kind == "clusters":
+        x = x * 0.01 + rng.integers(0, 30, (n, 1)) * [5.0, 1.0, 0.0]
+    if kind == "copies":
+        x[:300] = x[0]  # a third of the rows are one
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names)).repartition(5)
+    placed = neighbours.indexed(df, names, n).cache()
+    got = neighbours.nearest(placed, names, 5, n, tile, group).toPandas().sort_values(["_mi", "_rank"])
+    x = placed.toPandas().sort_values("_mi")[names].to_numpy()
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=-1)
+    np.fill_diagonal(d, np.inf)
+    assert (got["_mi"].to_numpy() == np.repeat(np.arange(n), 5)).all() and (got["_rank"].to_numpy() == np.tile(np.arange(5), n)).all()
+    assert np.allclose(got["_d"].to_numpy().reshape(n, 5), np.sort(d, axis=1)[:, :5], rtol=1e-12, atol=1e-15)
+    assert np.allclose(d[got["_mi"], got["_nn"]], got["_d"], rtol=1e-12, atol=1e-15)
+    assert got.groupby("_mi")["_nn"].nunique().eq(5).all()
+    tiles = neighbours._tiles(placed, names, 5, tile)
+    pairs = [(e["q"], r.r) for r in neighbours._pairs(tiles, -(-n // tile), 3, 3, tile).collect() for e in r.need]
+    if kind == "clusters":
+        assert len(pairs) < 0.6 * (-(-n // tile)) ** 2
+    if kind == "copies":  # copies find each other in their own tile
+        same = {r.tile for r in tiles.collect() if np.frombuffer(r.balls)[3] == 0}
+        assert len(same) > 9 and all(q == r for q, r in pairs if q in same)
 
 
 @pytest.mark.parametrize("table", ["events", "orders"])

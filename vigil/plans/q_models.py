@@ -50,6 +50,28 @@ def q_smote(spark, sf_dir):
     return out
 
 
+NEIGHBOUR_LABEL, NEIGHBOUR_K, VECTOR_SIZE = 1, 5, 64
+
+
+@query("smote_neighbours", f"""
+WITH m AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label = {NEIGHBOUR_LABEL}),
+d AS (SELECT a.vec_id, b.vec_id AS neighbour, list_distance(a.x, b.x) AS d FROM m a JOIN m b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, neighbour) - 1 AS rank FROM d)
+SELECT vec_id, rank, neighbour, round(d, 6) AS distance FROM r WHERE rank < {NEIGHBOUR_K}""")
+def q_smote_neighbours(spark, sf_dir):
+    """The five nearest of every vector of one class among its class."""
+    from vigil.operators import neighbours
+    names = [f"x{i}" for i in range(VECTOR_SIZE)]
+    rows = read_table(spark, sf_dir, "embeddings").where(F.col("label") == NEIGHBOUR_LABEL).select(
+        "vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
+    n = rows.count()
+    placed = neighbours.indexed(rows, names, n)
+    found = neighbours.nearest(placed, names, NEIGHBOUR_K, n)
+    ids = placed.select("_mi", "vec_id")
+    return (found.join(ids, "_mi").join(ids.select(F.col("_mi").alias("_nn"), F.col("vec_id").alias("neighbour")), "_nn")
+            .select("vec_id", F.col("_rank").alias("rank"), "neighbour", F.round(F.sqrt("_d"), 6).alias("distance")))
+
+
 def _score(spark, sf_dir, kind):
     f = _features(spark, sf_dir)
     fcols = CFG.feature_columns()
