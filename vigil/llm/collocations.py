@@ -40,6 +40,8 @@ SHARD_PHRASES = 3_000_000
 RANGE_BYTES = 24 << 20
 #: phrases of a range that wait for a union
 WAIT_PHRASES = 2_000_000
+#: shares of a language's phrases that are ranked by themselves before the last ranking
+SHARES = 64
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 
 # byte classes (fixed values): blanks part words, the others part pieces
@@ -263,8 +265,12 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     gone = held.groupBy("lang", "phrase").agg(F.max("more").alias("more"))
     left = best.join(gone, ["lang", "phrase"], "left").where(
         F.col("more").isNull() | (F.col("more") * 100 < F.col("a") * inside_share))
-    order = Window.partitionBy("lang").orderBy(F.col("cut.score").desc(), F.col("a").desc(), F.col("phrase"))
-    top = left.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= first)
+    order = (F.col("cut.score").desc(), F.col("a").desc(), F.col("phrase"))
+    # the first of every share of a language, so that no task sorts all its phrases
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    some = left.withColumn("share", share).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= first)
+    top = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= first)
     return top.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n",
         F.col("cut.score").cast("long").alias("score"))
