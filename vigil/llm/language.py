@@ -146,8 +146,9 @@ def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", size: i
             .where("lang is not null and text is not null"))
     total = rows.mapInArrow(task, out).groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
     by_rank = Window.partitionBy("lang").orderBy(F.desc("n"), "ngram")
-    return (total.withColumn("rank", F.row_number().over(by_rank) - 1).where(F.col("rank") < size)
-            .select("lang", "ngram", "rank"))
+    # filtered as it is numbered, so every task passes on its first rows only
+    return (total.withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= size)
+            .select("lang", "ngram", (F.col("rank") - 1).alias("rank")))
 
 
 def predict(df: DataFrame, profiles: list[tuple[str, int, int]], text_col: str = "text",
