@@ -252,6 +252,18 @@ def test_secrets_by_brute_force(spark, docs):
     assert secrets.scan(no_rows(spark)).count() == 0
 
 
+def test_secrets_beside_columns_named_as_inner_ones(spark):
+    names = ["kind", "i", "gap", "n", "start", "end", "counts", "m", "p", "_row", "_rest", "_text", "_spans", "_a", "score", "a.b"]
+    rows = odd_rows(spark).select("doc_id", "text").where("doc_id is not null").unionByName(
+        spark.createDataFrame([(50, "secret=abcdefghijkl")], "doc_id long, text string"))
+    out = secrets.scan(rows.select("*", *[F.lit("mine").alias(n) for n in names])).collect()
+    assert sorted(r.doc_id for r in out) == sorted(r.doc_id for r in rows.collect())
+    assert all(r[n] == "mine" for r in out for n in names)
+    assert [tuple(s) for r in out if r.doc_id == 50 for s in r.spans] == [(0, 0, 19)]
+    alone = secrets.scan(rows.select("text")).collect()
+    assert len(alone) == len(out) and sum(len(r.spans) for r in alone) == sum(len(r.spans) for r in out)
+
+
 def test_battery_adds_random_strings_only(spark):
     rng = random.Random(2)
     key = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))

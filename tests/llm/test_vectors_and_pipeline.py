@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.helpers import TEXTS, odd_rows
@@ -62,6 +63,20 @@ def test_stages_keep_the_columns_and_clean_documents(spark):
     assert counts[0] == len(TEXTS) - 3 and counts[1] == counts[0] - 1 and counts[2] == counts[3] == counts[1]
 
 
+def test_language_stage_rejects_far_texts_and_fills_lang(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    clean = docs.where("length(text) > 400").withColumn("lang", F.when(F.col("doc_id") % 5 > 0, F.col("lang")))
+    far = ["Съешь же ещё этих мягких французских булок, да выпей чаю " * 9, "九月の空は高く、風は涼しい。" * 30]
+    rows = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate(far)]
+    given = clean.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id: r for r in dict(corpus_pipeline.STAGES)["language_id"](spark, given, "/nowhere").collect()}
+    was = {r.doc_id: r for r in docs.join(clean.select("doc_id"), "doc_id").collect()}
+    assert min(kept) >= 0 and len(kept) >= 0.99 * len(was)
+    assert all(kept[i].text == was[i].text and kept[i].lang for i in kept)
+    filled = [kept[i].lang == was[i].lang for i in kept if i % 5 == 0]
+    assert sum(filled) >= 0.95 * len(filled)
+
+
 def test_stages_take_an_empty_table(spark):
     docs = _documents(spark).limit(0)
     for name, stage in corpus_pipeline.STAGES:

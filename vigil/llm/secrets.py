@@ -271,19 +271,23 @@ def scan(df: DataFrame, text_col: str = "text", out_col: str = "spans", false_sh
     """The other columns of ``df`` with ``spans``: an array of (start, kind,
     end) in code points, by start, then kind as in ``KINDS``.
 
-    Null and empty texts have no spans. Repeated rows stay, each with its own
-    spans. A column that bears the output's name is replaced.
+    Null and empty texts have no spans, an empty table gives an empty one, long
+    texts are read whole. Repeated rows stay, each with its own spans. A column
+    that bears the output's name is replaced; others may have any name.
     """
-    found = matches(df.select(*others(df, out_col)), text_col)
-    kept = others(df, text_col, out_col)
+    rest = others(df, text_col, out_col)
+    # the other columns travel in one, so that none meets an inner name
+    packed = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(True)
+    found = matches(df.select(F.col(f"`{text_col}`").alias("_text"), packed.alias("_rest")), "_text")
     last = len(KINDS) - 1
     added = random_strings(found.where(f"counts and kind = {last}").select("_row", "kind", "start", "end", "m"), false_share)
     spans = (found.where(f"counts and kind <> {last}").select("_row", "kind", "start", "end")
              .unionByName(added.select("_row", "kind", "start", "end"))
-             .groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias(out_col)))
-    rows = found.select(*kept, "_row").dropDuplicates(["_row"])
+             .groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("_spans")))
+    rows = found.select("_rest", "_row").dropDuplicates(["_row"])
     none = F.array().cast("array<struct<start:long,kind:int,end:long>>")
-    return rows.join(spans, "_row", "left").withColumn(out_col, F.coalesce(out_col, none)).drop("_row")
+    return rows.join(spans, "_row", "left").select(
+        *[F.col("_rest")[c].alias(c) for c in rest], F.coalesce("_spans", none).alias(out_col))
 
 
 def labels(spans: Column) -> Column:
