@@ -20,20 +20,30 @@ from vigil.llm.common import written
 #: a passage of over 50 words begins at about 230 bytes, so the repeats stage
 #: looks for strings of 200
 PASSAGE_BYTES, PASSAGE_ANCHOR = 200, 48
+#: language_id: share of texts with a language below the usual score, and how
+#: much further below it a text is of no learned language
+FAR_SHARE, FAR = 0.001, 0.1
 #: rows with secrets whose spans may be broadcast
 BROADCAST_ROWS = 50_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language: those without a letter are rejected. Profiles
-    are learned from all rows with a language; where none has one, there is no
-    profile to compare with and every text with a letter stays."""
+    """Documents of a learned language. Those without a letter are rejected, and
+    those as far from every profile as no text with a language is: a score more
+    than FAR below that which all but FAR_SHARE of the texts with a language
+    reach. A null ``lang`` becomes the predicted one. Profiles are learned from
+    all rows with a language; where none has one, there is no profile to
+    compare with and every text with a letter stays."""
     profiles = [tuple(r) for r in language.learn(docs).collect()]
     if not profiles:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    known = language.predict(docs.withColumn("_text", F.col("text")), profiles, "_text",
-                             pred_col="_lang_pred", score_col="_score")
-    return known.where(F.col("_lang_pred") != language.UNKNOWN).select(*docs.columns)
+    # predicted once, for the measure and for the choice
+    known = written(language.predict(docs.withColumn("_text", F.col("text")), profiles, "_text",
+                                     pred_col="_lang_pred", score_col="_score"), "predicted")
+    known = known.where(F.col("_lang_pred") != language.UNKNOWN)
+    usual = known.where("lang is not null").agg(F.percentile_approx("_score", FAR_SHARE, 10_000)).first()[0]
+    new = {"lang": F.coalesce("lang", "_lang_pred")}
+    return known.where(F.col("_score") >= (usual or 0.0) - FAR).select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
