@@ -7,7 +7,8 @@ from tests.conftest import SF_SMALL
 from vigil.plans import catalog as _c
 
 _c.load_all()
-SLOW = {"score_gbt", "train_flow", "score_rf", "tree_importance", "tree_explanations"}  # test_models covers them
+# test_models and test_registry cover them
+SLOW = {"score_gbt", "train_flow", "score_rf", "tree_importance", "tree_explanations", "retrain_flow"}
 
 
 @pytest.fixture(scope="module")

@@ -72,6 +72,8 @@ class FeatureConfig:
     # "continuous": one history per customer across splits.
     scope: str = "per_split"
     roles: Roles = field(default_factory=Roles)
+    # columns of the source that are model inputs as they are
+    raw_inputs: tuple = ()
 
     def velocity_columns(self) -> list[str]:
         cols = []
@@ -82,7 +84,7 @@ class FeatureConfig:
     def feature_columns(self, extra_leading: tuple = ()) -> list[str]:
         """Ordered model input columns (leading raw columns, then amount,
         recency, velocities, encodings, device consistency)."""
-        return (list(extra_leading)
+        return (list(extra_leading) + list(self.raw_inputs)
                 + [self.roles.amount, "seconds_since_last_txn"]
                 + self.velocity_columns()
                 + ["merchant_risk_score", "merchant_category_risk_score",

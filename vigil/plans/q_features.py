@@ -414,3 +414,29 @@ def q_feature_matrix_string_ids(spark, sf_dir):
                              hot_key_rows=SKEW_ROWS)
     return out.select("transaction_id", "split", "seconds_since_last_txn", *_vel_cols(EVENT_WINDOWS), "is_new_device",
                       "distinct_device_count_so_far")
+
+
+# ---------------------------------------------------------------- raw model inputs
+RAW_INPUTS = tuple(f"V{i}" for i in range(1, 29))
+
+
+def profiled_tx(spark, sf_dir):
+    """Events with 28 raw model inputs: the leading numbers of the customer's
+    vector, null where the customer has none."""
+    vectors = read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("_vec"), *[F.col("embedding")[i].alias(v) for i, v in enumerate(RAW_INPUTS)])
+    events = read_table(spark, sf_dir, "events")
+    return transactions_from_events(events.join(vectors, events["user_id"] == vectors["_vec"], "left"), keep=RAW_INPUTS)
+
+
+@query("feature_matrix_raw_inputs", f"""
+SELECT f.*, {', '.join(f'CAST(e.embedding[{i + 1}] AS DOUBLE) AS {v}' for i, v in enumerate(RAW_INPUTS))}
+FROM ({ORACLE["feature_matrix"]}) f JOIN events ev ON ev.event_id = f.transaction_id
+LEFT JOIN embeddings e ON e.vec_id = ev.user_id""")
+def q_feature_matrix_raw_inputs(spark, sf_dir, hot_key_rows=None):
+    """The feature matrix with raw inputs of the source before the computed ones."""
+    cfg = FeatureConfig(windows_minutes=_FM_WINDOWS, raw_inputs=RAW_INPUTS)
+    f = build_features(profiled_tx(spark, sf_dir), cfg, hot_key_rows=hot_key_rows).features
+    rounded = {"amount": 2, "merchant_risk_score": 6, "merchant_category_risk_score": 6}
+    return f.select("transaction_id", "split", "label", *[
+        F.round(c, rounded[c]).alias(c) if c in rounded else F.col(c) for c in cfg.feature_columns()])

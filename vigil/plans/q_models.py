@@ -3,18 +3,22 @@ retrain flows (rows-only checks except the class weights)."""
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import functions as F
 
 from vigil.config import FLAG_THRESHOLD, FeatureConfig
 from vigil.functions.columns import flag
 from vigil.operators import models as md
 from vigil.operators.smote import smote
-from vigil.operators.split import in_split, time_split
+from vigil.operators.split import in_split, regime_cut, time_split
 from vigil.plans.catalog import query
 from vigil.plans.feature_pipeline import build_features
-from vigil.plans.q_features import events_tx
+from vigil.plans.q_features import RAW_INPUTS, events_tx, profiled_tx
 from vigil.plans.sqlparts import SPLIT, TX_EVENTS
-from vigil.plans.training import train_flow, retrain_flow
+from vigil.plans.training import compare_flow, live_signals, retrain_flow, serve, train_flow
+from vigil.session import shared_dir
 from vigil.sources.tables import read_table
 
 CFG = FeatureConfig()
@@ -119,24 +123,115 @@ def q_train_flow(spark, sf_dir):
     return b.metrics
 
 
+#: boosting rounds of the registered flows that fit several models
+FLOW_ROUNDS = 30
+#: days in one drift cycle of the retrain flow
+CYCLE_DAYS = 3
+RISK_MODEL = "risk_model"
+
+
+@query("trained_comparison")
+def q_trained_comparison(spark, sf_dir):
+    """Three kinds of models on raw and computed inputs, at 0.5 and the last one
+    also at its tuned threshold, on the same test rows."""
+    cfg = FeatureConfig(raw_inputs=RAW_INPUTS)
+    tx = profiled_tx(spark, sf_dir).fillna(0.0, subset=list(RAW_INPUTS))
+    return compare_flow(tx, cfg=cfg, params={"gbt": {"maxIter": FLOW_ROUNDS}})
+
+
+def _registry(spark):
+    from vigil.plans.registry import Registry
+    return Registry(spark, shared_dir(spark, f"registry-{uuid.uuid4().hex}"))
+
+
+def live_feeds(tx):
+    """Feeds of labelled live rows: the later half as it is, and in a changed
+    regime, where amounts are three times as large."""
+    live = regime_cut(tx, 0.5).where("regime = 'after'").drop("regime")
+    return {"same": live, "changed": live.withColumn("amount", F.col("amount") * 3)}
+
+
 @query("retrain_flow")
 def q_retrain_flow(spark, sf_dir):
-    """Decide -> challenger on the newest half -> both models on the
-    challenger's test rows -> gate. Forced, as in a scheduled retrain;
-    logistic regression keeps the flow fast."""
+    """A boosted champion of the earlier half is registered and served on two
+    feeds of the later half. Per feed: drift of the cycles against the stored
+    reference and realised F1 -> decision -> where it says so a challenger on
+    the newest half, both on its test rows -> gate -> stage of the registry."""
+    tx = events_tx(spark, sf_dir)
+    old = regime_cut(tx, 0.5).where("regime = 'before'").drop("regime")
+    trained = train_flow(old, kind="gbt", maxIter=FLOW_ROUNDS)
+    day = F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / CYCLE_DAYS)
+    rows = []
+    for feed, live in live_feeds(tx).items():
+        registry = _registry(spark)
+        registry.promote(RISK_MODEL, registry.register(RISK_MODEL, "champion", trained))
+        champion = registry.load(RISK_MODEL)
+        realized, drift = live_signals(champion, live, RISK_MODEL, day)
+        realized, drift = realized.checkpoint(), drift.checkpoint()
+        rec = retrain_flow(old.unionByName(live), champion, realized, drift, RISK_MODEL, kind="gbt", registry=registry,
+                           maxIter=FLOW_ROUNDS)
+        d, g, fp = rec["decision"], rec.get("gate") or {}, rec.get("challenger_fingerprint") or {}
+        r, s = realized.first(), drift.first()
+        rows.append((feed, r["f1"], rec["champion_metrics"]["f1"], s["consecutive_significant_cycles"],
+                     s["n_significant_features"], d["should_retrain"], ",".join(d["triggers"]), d["severity"], rec["action"],
+                     g.get("champion_value"), g.get("challenger_value"), g.get("gain"), g.get("promote"),
+                     fp.get("n_rows"), fp.get("content_sha256"), registry.current(RISK_MODEL)))
+    return spark.createDataFrame(rows, (
+        "feed string, f1 double, base_f1 double, consecutive_significant_cycles long, n_significant_features long, "
+        "should_retrain boolean, triggers string, severity string, action string, champion_value double, "
+        "challenger_value double, gain double, promote boolean, challenger_rows long, challenger_sha256 string, "
+        "production_version string"))
+
+
+def _half(name: str) -> str:
+    """The split of the earlier half, under names of its own."""
+    return re.sub(r"\b(ranked|stx)\b", rf"{name}_\1", SPLIT.replace("FROM tx", f"FROM {name}"))
+
+
+@query("model_registry_roundtrip", f"""
+WITH {TX_EVENTS}, {SPLIT},
+old AS (SELECT * EXCLUDE (i, n) FROM (SELECT *, row_number() OVER (ORDER BY us, transaction_id) - 1 AS i, count(*) OVER () AS n FROM tx)
+        WHERE i < CAST(floor(n * 0.5::DOUBLE) AS BIGINT)),
+{_half("old")},
+fits AS (SELECT 'v1' AS version, * FROM old_stx WHERE split = 'train' UNION ALL SELECT 'v2', * FROM stx WHERE split = 'train'),
+g AS (SELECT version, avg(label) AS m, count(DISTINCT (customer_id, device_id)) AS d FROM fits GROUP BY version),
+r AS (SELECT version, merchant_id, (sum(label) + any_value(g.m) * 20.0) / (count(label) + 20.0) AS risk
+      FROM fits JOIN g USING (version) GROUP BY version, merchant_id),
+steps AS (SELECT * FROM (VALUES (1, 'promoted first', 'v1', 'Production', NULL), (2, 'promoted second', 'v2', 'Archived', 'Production'),
+                                (3, 'rolled back', 'v1', 'Production', 'Archived')) t(step, what, version, v1_stage, v2_stage))
+SELECT CAST(step AS BIGINT) AS step, what, version, v1_stage, coalesce(v2_stage, 'Staging') AS v2_stage,
+       (SELECT count(*) FROM stx WHERE split = 'test') AS n_rows, CAST(0 AS BIGINT) AS n_unequal, any_value(g.d) AS n_devices,
+       count(*) AS n_merchants, round(sum(r.risk), 6) AS merchant_risk_sum, round(any_value(g.m), 9) AS global_mean
+FROM steps JOIN g USING (version) JOIN r USING (version) GROUP BY ALL""")
+def q_model_registry_roundtrip(spark, sf_dir):
+    """Two versions are registered; after each promotion and a rollback the
+    bundle in production is read back and serves the test rows. ``n_unequal``:
+    rows whose score or flag differs from the version's own in memory."""
     tx = events_tx(spark, sf_dir)
-    champion = train_flow(tx, kind="lr")
-    realized = champion.metrics.select(F.lit("risk_model").alias("model"), "f1", "recall")
-    rec = retrain_flow(tx, champion, realized, None, model_key="risk_model", force=True, kind="lr")
-    g = rec["gate"]
-    d = rec["decision"]
-    fp = rec["challenger_fingerprint"]
-    row = (bool(d["should_retrain"]), d["severity"], rec["action"], float(g["champion_value"]),
-           float(g["challenger_value"]), float(g["gain"]), bool(g["promote"]), int(fp["n_rows"]),
-           fp["content_sha256"])
-    return spark.createDataFrame([row], "should_retrain boolean, severity string, action string, "
-                                        "champion_value double, challenger_value double, gain double, "
-                                        "promote boolean, challenger_rows long, challenger_sha256 string")
+    fitted = {"v1": train_flow(regime_cut(tx, 0.5).where("regime = 'before'").drop("regime"), kind="lr"),
+              "v2": train_flow(tx, kind="lr")}
+    st, info = time_split(tx)
+    test = st.where(in_split(st, info, "test")).drop("split")
+    own = {v: serve(b, test).select("transaction_id", F.struct("score", "flagged").alias("own")).checkpoint()
+           for v, b in fitted.items()}
+    registry, out = _registry(spark), []
+    for version, bundle in fitted.items():
+        registry.register(RISK_MODEL, version, bundle)
+    for step, (what, version) in enumerate([("promoted first", "v1"), ("promoted second", "v2"), ("rolled back", "v1")], 1):
+        (registry.rollback if what == "rolled back" else registry.promote)(RISK_MODEL, version)
+        served = registry.load(RISK_MODEL)
+        stage = {r["version"]: r["stage"] for r in registry.versions(RISK_MODEL).collect()}  # two rows
+        same = F.struct("score", "flagged").eqNullSafe(F.col("own"))
+        scores = serve(served, test).join(own[version], "transaction_id", "full_outer").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(~same).alias("n_unequal"))
+        risk = served.risk_maps.merchant.agg(F.count(F.lit(1)).alias("n_merchants"),
+                                             F.round(F.sum("merchant_risk_score"), 6).alias("merchant_risk_sum"))
+        devices = served.known_devices.agg(F.count(F.lit(1)).alias("n_devices"))
+        out.append(scores.crossJoin(risk).crossJoin(devices).select(  # one row each
+            F.lit(step).cast("long").alias("step"), F.lit(what).alias("what"), F.lit(served.info["version"]).alias("version"),
+            F.lit(stage["v1"]).alias("v1_stage"), F.lit(stage["v2"]).alias("v2_stage"), "n_rows", "n_unequal", "n_devices",
+            "n_merchants", "merchant_risk_sum", F.round(F.lit(served.risk_maps.global_mean), 9).alias("global_mean")))
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 def _tree_attributions(spark, sf_dir):

@@ -24,6 +24,10 @@ CANONICAL_SCHEMA = T.StructType([
 ])
 
 
+#: ids may be strings in the source
+ID_COLUMNS = ("transaction_id", "customer_id", "merchant_id")
+
+
 class MissingColumnsError(ValueError):
     pass
 
@@ -35,11 +39,13 @@ def require_columns(df: DataFrame, columns) -> None:
         raise MissingColumnsError(f"missing required columns: {missing}")
 
 
-def to_transactions(df: DataFrame, mapping: dict[str, Column | str]) -> DataFrame:
+def to_transactions(df: DataFrame, mapping: dict[str, Column | str], keep=()) -> DataFrame:
     """Generic adapter: ``mapping`` maps canonical name -> source column or
-    expression. Unmapped canonical columns become typed nulls; only canonical
-    columns are kept (helper columns are dropped). Null amounts are rejected
+    expression. Unmapped canonical columns become typed nulls. Of the other
+    columns those in ``keep`` stay, as doubles (raw model inputs, which must be
+    there); helper columns are dropped. Ids that are strings stay strings. Null amounts are rejected
     downstream by ``reject_null_amounts``."""
+    require_columns(df, keep)
     cols = []
     for field in CANONICAL_SCHEMA.fields:
         src = mapping.get(field.name)
@@ -47,8 +53,10 @@ def to_transactions(df: DataFrame, mapping: dict[str, Column | str]) -> DataFram
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
         else:
             c = F.col(src) if isinstance(src, str) else src
-            cols.append(c.cast(field.dataType).alias(field.name))
-    return df.select(*cols)
+            own = df.select(c).schema[0].dataType
+            kind = own if field.name in ID_COLUMNS and isinstance(own, T.StringType) else field.dataType
+            cols.append(c.cast(kind).alias(field.name))
+    return df.select(*cols, *[F.col(f"`{k}`").cast("double").alias(k) for k in keep])
 
 
 def reject_null_amounts(tx: DataFrame) -> DataFrame:
@@ -61,10 +69,10 @@ def event_merchant_key() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-def transactions_from_events(events: DataFrame) -> DataFrame:
+def transactions_from_events(events: DataFrame, keep=()) -> DataFrame:
     """events -> canonical: merchant = props.k, category = k % 10,
     device = 'DEV_' || (k div 5), label = error event with value > 60.
-    Rows without a usable amount are rejected."""
+    Rows without a usable amount are rejected; columns in ``keep`` stay."""
     k = event_merchant_key()
     return reject_null_amounts(to_transactions(events, {
         "transaction_id": "event_id",
@@ -75,7 +83,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
         "ts": "ts",
         "amount": "value",
         "label": ((F.col("event_type") == "error") & (F.col("value") > 60)).cast("int"),
-    }))
+    }, keep))
 
 
 def transactions_from_orders(orders: DataFrame) -> DataFrame:
