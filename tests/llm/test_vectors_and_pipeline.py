@@ -46,6 +46,43 @@ def test_odd_vectors(spark):
     assert neighbors.nearest(df.limit(0)).count() == 0
 
 
+def test_recall_on_the_given_table(spark):
+    folder = "/root/testdata/sf0.1"
+    x = {r.vec_id: np.array(r.embedding, np.float64) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+         if r.embedding and all(e is not None and np.isfinite(e) for e in r.embedding) and any(r.embedding)}
+    ids = sorted(x)
+    want = _brute(ids, np.array([x[i] for i in ids]), 20, 20)
+    got = {}
+    for r in neighbors.nearest(spark.read.parquet(f"{folder}/embeddings.parquet")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert np.mean([len(got[q] & set(want[q])) / 20 for q in want]) >= 0.9
+
+
+def test_measured_shape_prunes_where_vectors_cluster():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(300, 32))
+    grouped = centres[rng.integers(0, 300, 30_000)] + 0.1 * rng.normal(size=(30_000, 32))
+    apart = rng.normal(size=(30_000, 32))
+    shares = []
+    for x in (grouped, apart):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        square = (x ** 2).sum(axis=1)
+        raised = np.sqrt(np.maximum(0.0, square.max() - square))
+        forest, most = neighbors.measured(x, raised, len(x), 20)
+        up, q = np.column_stack([x, raised]), np.arange(500, 600)
+        leaves, found, scored = forest.leaves(up), [], []
+        for i, probes in zip(q, forest.probes(np.column_stack([x[q], np.zeros(len(q))]), most)):
+            near = x @ x[i]
+            near[i] = -np.inf
+            met = [leaves[:, t] == leaf for t, leaf in probes]
+            found.append(np.any(met, axis=0)[np.argsort(-near)[:20]].mean())
+            scored.append(np.sum(met) / len(x))
+        assert np.mean(found) >= 0.9
+        shares.append(np.mean(scored))
+    assert shares[0] < 0.3 and shares[0] < shares[1] / 3
+
+
 def _documents(spark):
     return odd_rows(spark).selectExpr("doc_id", "text", "cast(null as string) as lang", "'s' as source",
                                       "cast(length(text) as long) as n_chars", "'kept' as extra", "'mine' as n_bytes", "'mine' as spans")

@@ -3,11 +3,18 @@ random-projection trees, searched through one priority queue for all trees.
 
 Trees are fitted on a bounded sample; every row is indexed. A vector x becomes
 (x, sqrt(M^2 - |x|^2)) with M the greatest norm, and a query (q, 0), so the
-largest inner product is the smallest angle. A query walks all trees best
-first: one queue holds nodes of every tree by how far the query lies on the
-wrong side of the planes above them, and the first leaves that it yields are
-searched. Leaves and their queries meet in cells of bounded size; each cell
-scores its rows exactly and keeps the best of each query.
+largest inner product is the smallest angle. All nodes of one level of a tree
+share a direction and have their own cuts. A query walks all trees best first:
+one queue holds nodes of every tree by how far the query lies on the wrong side
+of the cuts above them, and the first leaves that it yields are searched. Leaves
+and their queries meet in cells of bounded size; each cell scores its rows
+exactly and keeps the best of each query.
+
+How many trees, how deep, and how many leaves a query searches is measured: for
+some vectors of the sample the nearest others are found by brute force, and of
+all shapes in which the queue reaches ``recall`` of them the one that scores
+and sends the fewest rows is taken. In a sample the nearest lie farther off than
+in the whole table, which makes the measure a cautious one.
 
 Equal vectors are one class with its smallest ids, so a very common vector is
 indexed and searched once.
@@ -26,68 +33,120 @@ from pyspark.sql import types as T
 
 from vigil.llm.common import bounded_batches, written
 
+#: most trees; half and a quarter of them are tried too
 TREES = 8
-#: share of all leaves that a query searches; recall 0.95 on unstructured
-#: unit vectors of 64 dimensions, more where vectors cluster
-LEAF_SHARE = 0.15
-#: rows that a leaf should hold, and the depth that bounds the planes' size
-LEAF_ROWS = 800
-MAX_DEPTH = 10
-#: vectors that the trees are fitted on
-SAMPLE = 20_000
+#: share of the sample's nearest that a query must reach
+RECALL = 0.95
+#: least rows of a leaf, and the depth that bounds the number of cuts
+LEAF_ROWS = 100
+MAX_DEPTH = 12
+#: vectors that the trees are fitted on, at most SAMPLE_BYTES of them, and how
+#: many of these are asked to measure recall
+SAMPLE = 65_536
+SAMPLE_BYTES = 64 << 20
+ASKED = 128
+#: what sending a query to a leaf costs, in rows scored
+SEND = 50
 #: rows and queries that meet in one cell
 CELL_ROWS = 4096
 CELL_QUERIES = 4096
 
 
 class Forest:
-    """Planes of all trees: normals (trees, 2**depth - 1, dims), thresholds."""
+    """Directions of the levels of all trees (trees, depth, dims) and cuts of
+    their nodes (trees, 2**depth - 1), medians of the sample's members."""
 
     def __init__(self, sample: np.ndarray, depth: int, trees: int, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.depth, self.trees = depth, trees
-        nodes = (1 << depth) - 1
-        self.normals = rng.normal(size=(trees, nodes, sample.shape[1]))
-        self.cuts = np.zeros((trees, nodes))
+        normals = rng.normal(size=(trees, depth, sample.shape[1]))
+        self.normals = normals / np.linalg.norm(normals, axis=2, keepdims=True)
+        self.cuts = np.zeros((trees, (1 << depth) - 1))
         for t in range(trees):
-            members = {0: np.arange(len(sample))}
-            for node in range(nodes):
-                own = members.pop(node, np.empty(0, np.int64))
-                side = sample[own] @ self.normals[t, node]
-                self.cuts[t, node] = np.median(side) if len(own) else 0.0
-                right = side > self.cuts[t, node]
-                members[2 * node + 1], members[2 * node + 2] = own[~right], own[right]
+            place = np.zeros(len(sample), np.int64)
+            for level in range(depth):
+                side = sample @ self.normals[t, level]
+                order = np.lexsort((side, place))
+                begins = np.searchsorted(place[order], np.arange((1 << level) + 1))
+                first, size = begins[:-1], np.diff(begins)
+                middle = side[order[np.minimum(first + size // 2, len(sample) - 1)]]
+                self.cuts[t, (1 << level) - 1:(2 << level) - 1] = np.where(size > 0, middle, 0.0)
+                place = 2 * place + (side > self.cuts[t, (1 << level) - 1 + place])
+
+    def cut_down(self, depth: int, trees: int) -> Forest:
+        """The first levels of the first trees."""
+        out = object.__new__(Forest)
+        out.depth, out.trees = depth, trees
+        out.normals, out.cuts = self.normals[:trees, :depth], self.cuts[:trees, :(1 << depth) - 1]
+        return out
 
     def leaves(self, points: np.ndarray) -> np.ndarray:
         """Leaf of each point in each tree: (points, trees)."""
         out = np.empty((len(points), self.trees), np.int32)
         for t in range(self.trees):
-            node = np.zeros(len(points), np.int64)
-            for _ in range(self.depth):
-                right = np.einsum("nd,nd->n", points, self.normals[t, node]) > self.cuts[t, node]
-                node = 2 * node + 1 + right
-            out[:, t] = node - (1 << self.depth) + 1
+            side = points @ self.normals[t].T
+            place = np.zeros(len(points), np.int64)
+            for level in range(self.depth):
+                place = 2 * place + (side[:, level] > self.cuts[t, (1 << level) - 1 + place])
+            out[:, t] = place
         return out
 
     def probes(self, points: np.ndarray, most: int) -> list[list[tuple[int, int]]]:
         """The first ``most`` (tree, leaf) that the shared queue yields for each point."""
-        side = np.einsum("nd,tkd->ntk", points, self.normals) - self.cuts
-        inner, out = (1 << self.depth) - 1, []
-        for margins in side:
-            queue = [(0.0, t, 0) for t in range(self.trees)]
-            rows, found = margins.tolist(), []
+        sides = np.einsum("nd,tkd->ntk", points, self.normals).tolist()
+        cuts, inner, out = self.cuts.tolist(), (1 << self.depth) - 1, []
+        for side in sides:
+            queue = [(0.0, t, 0, 0) for t in range(self.trees)]
+            found = []
             while queue and len(found) < most:
-                wrong, t, node = heapq.heappop(queue)
+                wrong, t, node, level = heapq.heappop(queue)
                 if node >= inner:
                     found.append((t, node - inner))
                     continue
-                m = rows[t][node]
-                heapq.heappush(queue, (max(wrong, m), t, 2 * node + 1))
-                heapq.heappush(queue, (max(wrong, -m), t, 2 * node + 2))
+                m = side[t][level] - cuts[t][node]
+                heapq.heappush(queue, (max(wrong, m), t, 2 * node + 1, level + 1))
+                heapq.heappush(queue, (max(wrong, -m), t, 2 * node + 2, level + 1))
             out.append(found)
         return out
 
 
+def measured(points: np.ndarray, raised: np.ndarray, rows: int, k: int, trees: int = TREES,
+             recall: float = RECALL, leaf_rows: int = LEAF_ROWS) -> tuple[Forest, int]:
+    """The forest over the sample ``points`` (``raised``: their last component)
+    and the number of leaves to search in a table of ``rows`` vectors."""
+    n = len(points)
+    deepest = min(MAX_DEPTH, int(math.log2(max(1, n / 16))), max(0, math.ceil(math.log2(max(1, rows) / leaf_rows))))
+    up = np.column_stack([points, raised])
+    forest = Forest(up, deepest, trees)
+    if deepest == 0:
+        return forest, trees
+    asked = np.arange(min(ASKED, n))
+    score = points[asked] @ points.T
+    score[asked, asked] = -math.inf
+    k = min(k, n - 1)
+    near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+    places = forest.leaves(up)[near]  # (asked, k, trees)
+    flat = np.column_stack([points[asked], np.zeros(len(asked))])
+    sides = np.einsum("nd,tkd->ntk", flat, forest.normals)
+    wrong, best = np.zeros((len(asked), trees, 1)), None
+    for depth in range(1, deepest + 1):
+        m = sides[:, :, depth - 1, None] - forest.cuts[None, :, (1 << depth - 1) - 1:(1 << depth) - 1]
+        wrong = np.stack([np.maximum(wrong, m), np.maximum(wrong, -m)], axis=3).reshape(len(asked), trees, -1)
+        own = places >> (deepest - depth)
+        at = np.take_along_axis(wrong, own.transpose(0, 2, 1), 2)  # (asked, trees, k)
+        for some in sorted({max(1, trees // 4), max(1, trees // 2), trees}):
+            queue = np.sort(wrong[:, :some].reshape(len(asked), -1), axis=1)
+            # leaves that the queue yields up to and with the first that holds the neighbour
+            turn = np.array([np.searchsorted(q, a, side="right") for q, a in zip(queue, at[:, :some].min(axis=1))])
+            most = max(some, int(np.sort(turn.reshape(-1))[math.ceil(recall * turn.size) - 1]))
+            leaf = rows / (1 << depth)
+            cost = most * (leaf + SEND * math.ceil(leaf / CELL_ROWS))
+            if best is None or cost < best[0]:
+                best = cost, depth, some, most
+    _, depth, some, most = best
+    return forest.cut_down(depth, some), most
+
+
 def _matrix(column) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -111,7 +170,7 @@ def classes(df: DataFrame, id_col: str, vector_col: str, keep: int, every: int)
 
 
 def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, every: int = 20,
-            trees: int = TREES, leaf_share: float = LEAF_SHARE, leaf_rows: int = LEAF_ROWS,
+            trees: int = TREES, recall: float = RECALL, leaf_rows: int = LEAF_ROWS,
             sample: int = SAMPLE) -> DataFrame:
     """The k nearest found of every row whose id is divisible by ``every``:
     query_id, rank (from 1), vec_id, score.
@@ -133,12 +192,12 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     found = found.where(F.size("vector") == dims)
     norm2 = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     most = found.agg(F.max(norm2)).first()[0]
-    depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(1, n) / leaf_rows))))
-    picked = found.orderBy(F.xxhash64("class_id")).limit(sample).select("vector").toArrow()
+    picked = (found.orderBy(F.xxhash64("class_id"), "class_id").limit(max(ASKED, min(sample, SAMPLE_BYTES // (8 * dims))))
+              .select("vector").toArrow())
     points = _matrix(picked.column(0))
     raised = np.sqrt(np.maximum(0.0, most - (points ** 2).sum(axis=1)))
-    forest = spark.sparkContext.broadcast(Forest(np.column_stack([points, raised]), depth, trees))
-    probes = max(trees, math.ceil(leaf_share * trees * (1 << depth)))
+    shape, probes = measured(points, raised, n, k, trees, recall, leaf_rows)
+    trees, forest = shape.trees, spark.sparkContext.broadcast(shape)
 
     def index(batches):
         for batch in batches:
