@@ -26,6 +26,7 @@ K_WORDS = 2
 SIGNATURE = 32
 #: a run of more code points, or with a letter of these scripts, has no words
 LONGEST_WORD = 32
+_WIDE = r"[\x{E00}-\x{10FFFF}]"  # where all these scripts lie; a quick test
 _NO_BLANKS = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 #: low bits of a packed k-mer that hold its position: more words than a row can hold
 POSITION_BITS = 26
@@ -70,9 +71,11 @@ def _words(text: Column) -> Column:
     without = lambda w: (F.length(w) > LONGEST_WORD) | w.rlike(_NO_BLANKS)
     grams = lambda w: _let(F.split(w, ""), lambda cs: F.transform(cs, lambda c, i: F.concat(
         c, F.coalesce(F.get(cs, i + 1), F.lit("")), F.coalesce(F.get(cs, i + 2), F.lit("")))))
-    parted = F.flatten(F.transform(runs, lambda w: F.when(without(w), grams(w)).otherwise(F.array(w))))
-    # most texts have only words
-    return F.when(text.rlike(rf"\S{{{LONGEST_WORD + 1}}}|{_NO_BLANKS}"), parted).otherwise(runs)
+    parted = lambda ws: F.flatten(F.transform(ws, lambda w: F.when(without(w), grams(w)).otherwise(F.array(w))))
+    # most texts have only words, which is told by lengths alone
+    script = (F.octet_length(text) > F.length(text)) & text.rlike(_WIDE) & text.rlike(_NO_BLANKS)
+    some = lambda ws: script | F.exists(ws, lambda w: F.length(w) > LONGEST_WORD)
+    return _let(runs, lambda ws: F.when(some(ws), parted(ws)).otherwise(ws))
 
 
 def numbered_kmers(text: Column) -> Column:
