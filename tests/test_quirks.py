@@ -224,3 +224,13 @@ def test_string_positions_inside_a_run_of_ties(spark, limit):
                   key=lambda r: (r[0], r[1] is None, (r[1] or "").encode()))
     at = [0, 1, 2, 3, 4, 700, 1500, 2700, 2701, 2702, 2703, 2704, 2705, len(ids) - 1]
     assert keys_at(rows, ["ts", "id"], at, max_candidates=limit) == {i: want[i] for i in at}
+
+
+def test_ranking_metrics_beyond_the_range_of_an_int(spark):
+    """60,000 positives times 60,000 negatives is more than an int holds."""
+    df = spark.range(120_000).select((F.col("id") % 4 / 4.0).alias("score"), F.when(F.col("id") % 8 < 4, 1).otherwise(0).alias("label"))
+    cv = rk.curve(df, "score", "label")
+    assert {f.name: f.dataType.simpleString() for f in cv.schema if f.name in ("p_total", "n_total", "tp", "fp")} == dict.fromkeys(
+        ("p_total", "n_total", "tp", "fp"), "bigint")
+    got = rk.ranking_summary(cv).first()
+    assert got["roc_auc"] == pytest.approx(0.5) and got["pr_auc"] == pytest.approx(0.5)
