@@ -10,6 +10,7 @@ from vigil.operators import features as fe
 from vigil.operators.hotkeys import range_features
 from vigil.operators.order import BLOCK, range_blocks
 from vigil.operators.split import SPLITS, time_split
+from vigil.plans.feature_pipeline import build_features
 from vigil.plans.q_features import events_tx
 
 W = (10, 60, 1440, 10080)
@@ -75,3 +76,18 @@ def test_string_and_null_keys(spark):
 def test_plan_has_one_range_shuffle_of_rows_and_no_join_back(spark):
     plan = range_features(_odd(spark), W, ["customer_id"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan  # after the sorted blocks rows leave as they come
+
+
+def test_feature_tasks_follow_the_rows(spark, monkeypatch):
+    """The windows' tasks grow with the table instead of their memory, two
+    sorts serve all of them, and the features stay the same."""
+    tx = events_tx(spark, SF_SMALL)
+    cfg = FeatureConfig(windows_minutes=W)
+    want = build_features(tx, cfg).features.orderBy("transaction_id").collect()
+    monkeypatch.setattr(fe, "TASK_ROWS", 50)
+    many = build_features(tx, cfg).features
+    assert many.rdd.getNumPartitions() == -(-tx.count() // 50)
+    assert many._jdf.queryExecution().executedPlan().toString().count("Sort [split") == 2
+    got = many.orderBy("transaction_id").collect()
+    for a, b in zip(want, got, strict=True):
+        assert [round(v, 9) if isinstance(v, float) else v for v in a] == [round(v, 9) if isinstance(v, float) else v for v in b]
