@@ -143,6 +143,32 @@ def test_state_calls_stay_bounded():
     assert not op.meta.own[4] and not op.recent.own[1]
 
 
+def test_a_small_batch_of_one_customer_is_cheap():
+    """Features of a dozen rows cost little more than the DataFrame that carries
+    them, since a batch calls the operator once per customer."""
+    import time
+    import types
+
+    import numpy as np
+
+    from vigil.streaming.online import OnlineFeatures
+    op = OnlineFeatures(W)
+    op.init(types.SimpleNamespace(getValueState=lambda *a: _Value(), getMapState=lambda *a: _Map()))
+    own, bare = [], []
+    for batch in range(200):
+        t = (np.arange(13) * 3600 + batch * 604_800) * 1_000_000
+        pdf = pd.DataFrame({"customer_id": 1, "transaction_id": np.arange(13) + batch * 13, "ts_us": t, "amount": 1.0,
+                            "device_id": [f"d{i % 5}" for i in range(13)], "ingest": True})
+        begin = time.perf_counter()
+        out = op._process((1,), pdf)
+        own.append(time.perf_counter() - begin)
+        columns = {c: out[c].to_numpy() for c in out}
+        begin = time.perf_counter()
+        pd.DataFrame(columns)
+        bare.append(time.perf_counter() - begin)
+    assert np.median(own) < 5 * np.median(bare), (np.median(own), np.median(bare))
+
+
 def test_expired_state_is_forgotten(spark):
     """One row per batch and a lifetime far below the time between batches."""
     import uuid

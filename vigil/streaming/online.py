@@ -63,6 +63,28 @@ def output_schema(windows_minutes, passthrough_ddl: str = "", key_type: str = "l
             + "seconds_since_last_txn double, is_new_device int, distinct_device_count_so_far long" + extra)
 
 
+# A batch calls the operator once per customer, mostly with a few rows, where
+# pandas costs far more than the work; arrays and one DataFrame at the end do it.
+def _in_order(t: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Positions in (ts, id) order."""
+    by_id = np.argsort(ids, kind="stable")
+    return by_id[np.argsort(t[by_id], kind="stable")]
+
+
+def _devices(pdf: pd.DataFrame) -> np.ndarray:
+    """Devices as objects, an absent one as ""."""
+    devs = pdf[ROLES.device].to_numpy(object)
+    return np.where(pd.isna(devs), "", devs)
+
+
+def _flag(pdf: pd.DataFrame, name: str) -> np.ndarray:
+    """A flag column; absent flags hold."""
+    if name not in pdf:
+        return np.ones(len(pdf), bool)
+    flags = pdf[name]
+    return flags.to_numpy() if flags.dtype == bool else flags.fillna(True).to_numpy(bool)
+
+
 class OnlineFeatures(StatefulProcessor):
     def __init__(self, windows_minutes=DEFAULT_WINDOWS_MINUTES, ttl_ms: int | None = None,
                  passthrough=(), velocity_ttl_ms: int | None = None, few_events: int = FEW_EVENTS, few_devices: int = FEW_DEVICES):
@@ -183,22 +205,25 @@ class OnlineFeatures(StatefulProcessor):
 
     def _process(self, key, pdf: pd.DataFrame) -> pd.DataFrame:
         """Features for ``pdf`` (one key's rows) from state, then commit."""
-        pdf = pdf.sort_values([TS_US, ROLES.transaction_id], kind="mergesort").reset_index(drop=True)
-        t = pdf[TS_US].to_numpy(np.int64)
-        a = pdf[ROLES.amount].to_numpy(np.float64)
-        devs = ["" if d is None or d != d else d for d in pdf[ROLES.device].astype(object)]
-        commit = pdf["ingest"].fillna(True).to_numpy(bool) if "ingest" in pdf else np.ones(len(pdf), bool)
         m = len(pdf)
+        t, ids = pdf[TS_US].to_numpy(np.int64), pdf[ROLES.transaction_id].to_numpy()
+        order = _in_order(t, ids)
+        t, ids = t[order], ids[order]
+        a = pdf[ROLES.amount].to_numpy(np.float64)[order]
+        devs = _devices(pdf)[order].tolist()
+        commit = _flag(pdf, "ingest")[order]
 
         lower = [t - w for w in self.w_us]
         sums, e_us, e_amt = self._events(np.unique(np.concatenate([t, *lower]) // self.width)) if self.windows else (None, t[:0], a[:0])
-        order = np.argsort(e_us, kind="mergesort")
-        s_us, s_cum = e_us[order], np.concatenate([[0.0], np.cumsum(e_amt[order])])
+        by_time = np.argsort(e_us, kind="mergesort")
+        s_us, s_cum = e_us[by_time], np.concatenate([[0.0], np.cumsum(e_amt[by_time])])
         # exclusive prefix counts/sums of committed in-batch rows
         cm = np.concatenate([[0], np.cumsum(commit)])
         ca = np.concatenate([[0.0], np.cumsum(np.where(commit, a, 0.0))])
         idx = np.arange(m)
-        out = {ROLES.customer: pd.Series([key[0]] * m, dtype=object), ROLES.transaction_id: pdf[ROLES.transaction_id], TS_US: t}
+        customer = np.empty(m, object)
+        customer[:] = key[0]
+        out = {ROLES.customer: customer, ROLES.transaction_id: ids, TS_US: t}
         if self.windows:
             n_now, sum_now = self._upto(t, self.width, sums, s_us, s_cum)
         for w, low in zip(self.windows, lower):
@@ -219,26 +244,29 @@ class OnlineFeatures(StatefulProcessor):
         known = self._known_devices(meta, set(devs))
         n_s = meta[2]
         in_state = np.fromiter((d in known for d in devs), bool, count=m)
-        same_dev_before = (pd.Series(commit.astype(np.int64)).groupby(pd.Series(devs)).cumsum().to_numpy()
-                           - commit.astype(np.int64))
-        seen = in_state | (same_dev_before > 0)
-        first_new = commit & ~in_state & (same_dev_before == 0)
+        in_batch, met = np.zeros(m, bool), set()
+        for i, (d, c) in enumerate(zip(devs, commit.tolist())):
+            in_batch[i] = d in met
+            if c:
+                met.add(d)
+        seen = in_state | in_batch
+        first_new = commit & ~seen
         new_before = np.cumsum(first_new) - first_new
         out["is_new_device"] = (~seen).astype(np.int32)
         out["distinct_device_count_so_far"] = (n_s + new_before + (~seen)).astype(np.int64)
 
         self._commit(t[commit], a[commit], [d for d, c in zip(devs, commit.tolist()) if c], meta, known, sums, e_us, e_amt)
         for c in self.passthrough:
-            out[c] = pdf[c].to_numpy()
-        res = pd.DataFrame(out)
+            out[c] = pdf[c].to_numpy()[order]
         if "emit" in pdf:  # ingest-only rows (S9) update state but emit nothing
-            res = res[pdf["emit"].fillna(True).to_numpy(bool)]
-        return res
+            emit = _flag(pdf, "emit")[order]
+            out = {c: v[emit] for c, v in out.items()}
+        return pd.DataFrame(out)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Warm-up with past transactions, committed in time order."""
         h = initialState.sort_values([TS_US, ROLES.transaction_id], kind="mergesort")
-        devs = ["" if d is None or d != d else d for d in h[ROLES.device].astype(object)]
+        devs = _devices(h).tolist()
         meta = self._load_meta()
         sums, e_us, e_amt = self._events(np.empty(0, np.int64))
         self._commit(h[TS_US].to_numpy(np.int64), h[ROLES.amount].to_numpy(np.float64), devs, meta,
