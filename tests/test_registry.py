@@ -85,3 +85,34 @@ def test_adapters_keep_string_ids_and_named_inputs(spark):
     assert "helper" not in kinds and out.first()["customer_id"] == "c 1"
     with pytest.raises(MissingColumnsError):
         to_transactions(df, mapping, keep=["v", "w"])
+
+
+def _is_kept(df):
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return "LogicalRDD" in plan and "UDF" not in plan and "Join" not in plan and "Aggregate" not in plan
+
+
+def test_the_drift_reference_scores_its_rows_once(spark, bundle, monkeypatch):
+    """The exact edges read the training rows several times."""
+    from vigil.plans import training
+    seen, fit = [], training.fit_profile
+    monkeypatch.setattr(training, "fit_profile", lambda train, *a: seen.append(train) or fit(train, *a))
+    training.with_profile(bundle)
+    assert len(seen) == 1 and _is_kept(seen[0])
+    assert seen[0].count() == bundle.features.where("split = 'train'").count()
+
+
+def test_bins_are_found_in_a_literal_array(spark):
+    """One comparison for each halving, not one for each edge of each feature."""
+    import math
+
+    import numpy as np
+    from vigil.operators.drift import _binned
+    values = [-math.inf, -1.0, 0.0, 0.5, 1.0, 2.5, 9.0, math.inf, math.nan, None]
+    edges = {f"f{i}": sorted(e) for i, e in enumerate([[0.0, 1.0, 2.0], [0.5] * 9, [], [-math.inf, 1.0, math.inf], *[[*map(float, range(9))]] * 9])}
+    df = spark.createDataFrame([(k, *[v] * len(edges)) for k, v in enumerate(values)], ", ".join(["k int", *[f"{f} double" for f in edges]]))
+    out = _binned(df, edges, ["k"])
+    known = [(k, v) for k, v in enumerate(values) if v is not None and not math.isnan(v)]
+    assert {(r.k, r.feature): r.bin for r in out.collect()} == {
+        (k, f): int(np.searchsorted(es, v, side="right")) for k, v in known for f, es in edges.items()}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") < sum(map(len, edges.values()))

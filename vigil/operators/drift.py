@@ -2,8 +2,8 @@
 
 Plan: the two values beside each quantile of every feature are found together
 by exact selection (``select.values_at``, the same method at every size); the
-edges (features x 11 numbers, a proven small size) become literals. A second single pass finds each value's bin by a
-tree of comparisons and counts per feature, bin and optional groups (e.g. an
+edges (features x 11 numbers, a proven small size) become literals. A second single pass finds each value's bin by
+halving them and counts per feature, bin and optional groups (e.g. an
 hourly window) - no row is shuffled, only partial counts. A value's bin is the number of edges at or below it, so
 repeated edges yield empty bins exactly like a histogram over non-decreasing edges. PSI per
 feature is an aggregate over the unpivoted (feature, bin) rows.
@@ -27,7 +27,8 @@ from vigil.config import (
     PSI_MODERATE, PSI_SIGNIFICANT,
 )
 from vigil.functions.columns import psi_band
-from vigil.operators.select import cuts_below, values_at
+from vigil.operators.joins import kept
+from vigil.operators.select import values_at
 
 
 def _clean(col: str):
@@ -68,10 +69,22 @@ def quantile_edges(reference: DataFrame, features, bins: int = PSI_BINS,
 
 def _binned(df: DataFrame, edges: dict[str, list[float]], keep) -> DataFrame:
     """One narrow row per feature value: the kept columns, feature, bin. A
-    value's bin is the number of inner edges at or below it."""
-    codes = [F.struct(F.lit(f).alias("feature"), F.when(_clean(f).isNotNull(), cuts_below(_clean(f), es)).alias("bin"))
-             for f, es in edges.items()]
-    return df.select(*keep, F.inline(F.array(*codes))).where("bin is not null")
+    value's bin is the number of inner edges at or below it, found by halving
+    the edges in a literal array. (A tree of comparisons per feature is too large
+    a method for the JVM to compile.)"""
+    sizes = [len(es) for es in edges.values()]
+    starts = [sum(sizes[:i]) for i in range(len(sizes))]
+    cuts = F.array(*[F.lit(float(e)) for es in edges.values() for e in es]).cast("array<double>")
+    of = F.col("_feature")
+    rows = (df.select(*keep, F.posexplode(F.array(*[_clean(f) for f in edges])).alias("_feature", "_value")).where("_value is not null")
+            .withColumns({"_lo": F.lit(0), "_hi": F.get(F.array(*map(F.lit, sizes)), of), "_start": F.get(F.array(*map(F.lit, starts)), of)}))
+    for _ in range(max(sizes).bit_length()):
+        mid = F.shiftright(F.col("_lo") + F.col("_hi"), 1)
+        rows = rows.withColumn("_mid", mid).withColumn("_less", F.col("_value") < F.get(cuts, F.col("_start") + F.col("_mid")))
+        left = F.col("_lo") < F.col("_hi")
+        rows = rows.withColumns({"_lo": F.when(left & ~F.col("_less"), F.col("_mid") + 1).otherwise(F.col("_lo")),
+                                 "_hi": F.when(left & F.col("_less"), F.col("_mid")).otherwise(F.col("_hi"))})
+    return rows.select(*keep, F.get(F.array(*map(F.lit, edges)), of).alias("feature"), F.col("_lo").alias("bin"))
 
 
 def bin_counts(df: DataFrame, edges: dict[str, list[float]], groups=()) -> DataFrame:
