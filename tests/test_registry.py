@@ -102,6 +102,19 @@ def test_the_drift_reference_scores_its_rows_once(spark, bundle, monkeypatch):
     assert seen[0].count() == bundle.features.where("split = 'train'").count()
 
 
+def test_both_feeds_register_one_drift_reference(spark, bundle, monkeypatch):
+    from vigil.operators import decisions
+    from vigil.plans import training
+    fitted, histories, fit, streak = [], [], training.fit_profile, decisions.alert_streak
+    monkeypatch.setattr(training, "fit_profile", lambda *a: fitted.append(1) or fit(*a))
+    monkeypatch.setattr(decisions, "alert_streak", lambda h, *a: histories.append(h) or streak(h, *a))
+    monkeypatch.setattr(q_models, "train_flow", lambda *a, **k: bundle)
+    monkeypatch.setattr(q_models, "retrain_flow", lambda *a, **k: {
+        "decision": {"should_retrain": False, "triggers": [], "severity": "none"}, "champion_metrics": {"f1": 0.0}, "action": "no_retrain"})
+    assert q_models.q_retrain_flow(spark, SF_SMALL).count() == 2
+    assert len(fitted) == 1 and len(histories) == 2 and all(map(_is_kept, histories))
+
+
 def test_bins_are_found_in_a_literal_array(spark):
     """One comparison for each halving, not one for each edge of each feature."""
     import math

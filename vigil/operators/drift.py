@@ -220,6 +220,8 @@ def profile_drift(profile: DriftProfile, current: DataFrame, groups=(), moderate
     score = score if score in current.columns else None
     if edges:
         psi = psi_from_counts(profile.bins(spark), bin_counts(current, edges, groups), groups)
+        if score and len(edges) > 1:  # the report and the score's drift read it: all values are counted once
+            psi = kept(psi)
     else:
         kinds = [f"`{g}` {current.schema[g].dataType.simpleString()}" for g in groups]
         psi = spark.createDataFrame([], ", ".join([*kinds, "feature string, psi double"]))
